@@ -105,56 +105,102 @@ REGION_ORDER = [
     "Pays de la Loire", "Provence-Alpes-Cote d'Azur", "Autres",
 ]
 
-# Department code -> name, by present region
-DEPARTMENTS_BY_REGION = {
-    "Auvergne-Rhone-Alpes": {
-        "01": "Ain", "03": "Allier", "07": "Ardeche", "15": "Cantal", "26": "Drome", "38": "Isere",
-        "42": "Loire", "43": "Haute-Loire", "63": "Puy-de-Dome", "69": "Rhone", "73": "Savoie",
-        "74": "Haute-Savoie",
-    },
-    "Bourgogne-Franche-Comte": {
-        "21": "Cote-d'Or", "25": "Doubs", "39": "Jura", "58": "Nievre", "70": "Haute-Saone",
-        "71": "Saone-et-Loire", "89": "Yonne", "90": "Territoire de Belfort",
-    },
-    "Bretagne": {
-        "22": "Cotes-d'Armor", "29": "Finistere", "35": "Ille-et-Vilaine", "56": "Morbihan",
-    },
-    "Centre-Val de Loire": {
-        "18": "Cher", "28": "Eure-et-Loir", "36": "Indre", "37": "Indre-et-Loire",
-        "41": "Loir-et-Cher", "45": "Loiret",
-    },
-    "Corse": {"2A": "Corse-du-Sud", "2B": "Haute-Corse"},
-    "Grand Est": {
-        "08": "Ardennes", "10": "Aube", "51": "Marne", "52": "Haute-Marne",
-        "54": "Meurthe-et-Moselle", "55": "Meuse", "57": "Moselle", "67": "Bas-Rhin",
-        "68": "Haut-Rhin", "88": "Vosges",
-    },
-    "Hauts-de-France": {
-        "02": "Aisne", "59": "Nord", "60": "Oise", "62": "Pas-de-Calais", "80": "Somme",
-    },
-    "Ile-de-France": {
-        "75": "Paris", "77": "Seine-et-Marne", "78": "Yvelines", "91": "Essonne",
-        "92": "Hauts-de-Seine", "93": "Seine-Saint-Denis", "94": "Val-de-Marne", "95": "Val-d'Oise",
-    },
-    "Normandie": {
-        "14": "Calvados", "27": "Eure", "50": "Manche", "61": "Orne", "76": "Seine-Maritime",
-    },
-    "Nouvelle-Aquitaine": {
-        "16": "Charente", "17": "Charente-Maritime", "19": "Correze", "23": "Creuse",
-        "24": "Dordogne", "33": "Gironde", "40": "Landes", "47": "Lot-et-Garonne",
-        "64": "Pyrenees-Atlantiques", "79": "Deux-Sevres", "86": "Vienne", "87": "Haute-Vienne",
-    },
-    "Occitanie": {
-        "09": "Ariege", "11": "Aude", "12": "Aveyron", "30": "Gard", "31": "Haute-Garonne",
-        "32": "Gers", "34": "Herault", "46": "Lot", "48": "Lozere", "65": "Hautes-Pyrenees",
-        "66": "Pyrenees-Orientales", "81": "Tarn", "82": "Tarn-et-Garonne",
-    },
-    "Pays de la Loire": {
-        "44": "Loire-Atlantique", "49": "Maine-et-Loire", "53": "Mayenne", "72": "Sarthe",
-        "85": "Vendee",
-    },
-    "Provence-Alpes-Cote d'Azur": {
-        "04": "Alpes-de-Haute-Provence", "05": "Hautes-Alpes", "06": "Alpes-Maritimes",
-        "13": "Bouches-du-Rhone", "83": "Var", "84": "Vaucluse",
-    },
+# Department code -> (name, present region)
+DEPARTMENTS = {
+    "01": ("Ain", "Auvergne-Rhone-Alpes"),
+    "02": ("Aisne", "Hauts-de-France"),
+    "03": ("Allier", "Auvergne-Rhone-Alpes"),
+    "04": ("Alpes-de-Haute-Provence", "Provence-Alpes-Cote d'Azur"),
+    "05": ("Hautes-Alpes", "Provence-Alpes-Cote d'Azur"),
+    "06": ("Alpes-Maritimes", "Provence-Alpes-Cote d'Azur"),
+    "07": ("Ardeche", "Auvergne-Rhone-Alpes"),
+    "08": ("Ardennes", "Grand Est"),
+    "09": ("Ariege", "Occitanie"),
+    "10": ("Aube", "Grand Est"),
+    "11": ("Aude", "Occitanie"),
+    "12": ("Aveyron", "Occitanie"),
+    "13": ("Bouches-du-Rhone", "Provence-Alpes-Cote d'Azur"),
+    "14": ("Calvados", "Normandie"),
+    "15": ("Cantal", "Auvergne-Rhone-Alpes"),
+    "16": ("Charente", "Nouvelle-Aquitaine"),
+    "17": ("Charente-Maritime", "Nouvelle-Aquitaine"),
+    "18": ("Cher", "Centre-Val de Loire"),
+    "19": ("Correze", "Nouvelle-Aquitaine"),
+    "21": ("Cote-d'Or", "Bourgogne-Franche-Comte"),
+    "22": ("Cotes-d'Armor", "Bretagne"),
+    "23": ("Creuse", "Nouvelle-Aquitaine"),
+    "24": ("Dordogne", "Nouvelle-Aquitaine"),
+    "25": ("Doubs", "Bourgogne-Franche-Comte"),
+    "26": ("Drome", "Auvergne-Rhone-Alpes"),
+    "27": ("Eure", "Normandie"),
+    "28": ("Eure-et-Loir", "Centre-Val de Loire"),
+    "29": ("Finistere", "Bretagne"),
+    "2A": ("Corse-du-Sud", "Corse"),
+    "2B": ("Haute-Corse", "Corse"),
+    "30": ("Gard", "Occitanie"),
+    "31": ("Haute-Garonne", "Occitanie"),
+    "32": ("Gers", "Occitanie"),
+    "33": ("Gironde", "Nouvelle-Aquitaine"),
+    "34": ("Herault", "Occitanie"),
+    "35": ("Ille-et-Vilaine", "Bretagne"),
+    "36": ("Indre", "Centre-Val de Loire"),
+    "37": ("Indre-et-Loire", "Centre-Val de Loire"),
+    "38": ("Isere", "Auvergne-Rhone-Alpes"),
+    "39": ("Jura", "Bourgogne-Franche-Comte"),
+    "40": ("Landes", "Nouvelle-Aquitaine"),
+    "41": ("Loir-et-Cher", "Centre-Val de Loire"),
+    "42": ("Loire", "Auvergne-Rhone-Alpes"),
+    "43": ("Haute-Loire", "Auvergne-Rhone-Alpes"),
+    "44": ("Loire-Atlantique", "Pays de la Loire"),
+    "45": ("Loiret", "Centre-Val de Loire"),
+    "46": ("Lot", "Occitanie"),
+    "47": ("Lot-et-Garonne", "Nouvelle-Aquitaine"),
+    "48": ("Lozere", "Occitanie"),
+    "49": ("Maine-et-Loire", "Pays de la Loire"),
+    "50": ("Manche", "Normandie"),
+    "51": ("Marne", "Grand Est"),
+    "52": ("Haute-Marne", "Grand Est"),
+    "53": ("Mayenne", "Pays de la Loire"),
+    "54": ("Meurthe-et-Moselle", "Grand Est"),
+    "55": ("Meuse", "Grand Est"),
+    "56": ("Morbihan", "Bretagne"),
+    "57": ("Moselle", "Grand Est"),
+    "58": ("Nievre", "Bourgogne-Franche-Comte"),
+    "59": ("Nord", "Hauts-de-France"),
+    "60": ("Oise", "Hauts-de-France"),
+    "61": ("Orne", "Normandie"),
+    "62": ("Pas-de-Calais", "Hauts-de-France"),
+    "63": ("Puy-de-Dome", "Auvergne-Rhone-Alpes"),
+    "64": ("Pyrenees-Atlantiques", "Nouvelle-Aquitaine"),
+    "65": ("Hautes-Pyrenees", "Occitanie"),
+    "66": ("Pyrenees-Orientales", "Occitanie"),
+    "67": ("Bas-Rhin", "Grand Est"),
+    "68": ("Haut-Rhin", "Grand Est"),
+    "69": ("Rhone", "Auvergne-Rhone-Alpes"),
+    "70": ("Haute-Saone", "Bourgogne-Franche-Comte"),
+    "71": ("Saone-et-Loire", "Bourgogne-Franche-Comte"),
+    "72": ("Sarthe", "Pays de la Loire"),
+    "73": ("Savoie", "Auvergne-Rhone-Alpes"),
+    "74": ("Haute-Savoie", "Auvergne-Rhone-Alpes"),
+    "75": ("Paris", "Ile-de-France"),
+    "76": ("Seine-Maritime", "Normandie"),
+    "77": ("Seine-et-Marne", "Ile-de-France"),
+    "78": ("Yvelines", "Ile-de-France"),
+    "79": ("Deux-Sevres", "Nouvelle-Aquitaine"),
+    "80": ("Somme", "Hauts-de-France"),
+    "81": ("Tarn", "Occitanie"),
+    "82": ("Tarn-et-Garonne", "Occitanie"),
+    "83": ("Var", "Provence-Alpes-Cote d'Azur"),
+    "84": ("Vaucluse", "Provence-Alpes-Cote d'Azur"),
+    "85": ("Vendee", "Pays de la Loire"),
+    "86": ("Vienne", "Nouvelle-Aquitaine"),
+    "87": ("Haute-Vienne", "Nouvelle-Aquitaine"),
+    "88": ("Vosges", "Grand Est"),
+    "89": ("Yonne", "Bourgogne-Franche-Comte"),
+    "90": ("Territoire de Belfort", "Bourgogne-Franche-Comte"),
+    "91": ("Essonne", "Ile-de-France"),
+    "92": ("Hauts-de-Seine", "Ile-de-France"),
+    "93": ("Seine-Saint-Denis", "Ile-de-France"),
+    "94": ("Val-de-Marne", "Ile-de-France"),
+    "95": ("Val-d'Oise", "Ile-de-France"),
 }

@@ -15,7 +15,7 @@ def col(c: str | Column) -> Column:
 
 def decimal_comma(c: str | Column) -> Column:
     """'1234,5' -> 1234.5; null when the text is not a number (never an ANSI error)."""
-    return F.regexp_replace(col(c), ",", ".").try_cast("double")
+    return F.translate(col(c), ",", ".").try_cast("double")
 
 
 def first_int(c: str | Column) -> Column:
