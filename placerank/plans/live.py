@@ -10,7 +10,7 @@ from placerank import fixed
 from placerank.functions.geo import in_bbox
 from placerank.functions.scores import clip, nearest_of
 from placerank.operators.clean import with_missing
-from placerank.operators.dedupe import keep_last
+from placerank.operators.dedupe import keep_last, stable_id
 from placerank.operators.joins import null_safe_join
 from placerank.operators.sets import union_all
 from placerank.operators.spatial import competition_pressure
@@ -52,13 +52,17 @@ def live_enrich(live: DataFrame, base: DataFrame, since: str | None = None, *, t
 
 
 def unified_clubs(base: DataFrame, live: Sequence[DataFrame]) -> DataFrame:
-    """Batch clubs and live clubs (the last source that has a club wins) within the country."""
+    """Batch clubs and live clubs (the last source that has a club wins) within the country.
+
+    ``place_id`` tells rows apart, as two batch clubs may share a name.
+    """
     parts = [base]
     if live:
         parts.append(keep_last(live, ["club_id"], [F.col("event_time").desc_nulls_last()]))
     df = union_all(parts)
     texts = {"department": "N/A", "commune": "N/A", "name": "Sans nom", "type": "N/A", "stream_source": BATCH}
-    return df.fillna(texts).filter(in_bbox("lat", "lon", fixed.BBOX_WIDE))
+    kept = df.fillna(texts).filter(in_bbox("lat", "lon", fixed.BBOX_WIDE))
+    return kept.withColumn("place_id", stable_id("stream_source", "club_id", "name", "lat", "lon"))
 
 
 def score_base(df: DataFrame, score: str = "zone_score", out: str = "score_base", default: float = fixed.SCORE_DEFAULT) -> DataFrame:
@@ -70,8 +74,8 @@ def score_base(df: DataFrame, score: str = "zone_score", out: str = "score_base"
     )
 
 
-def base_pressure(clubs: DataFrame, *, club_id: str = "club_id", **kw) -> DataFrame:
-    """(club_id, base_pressure, base_nearest_km) among the batch clubs."""
+def base_pressure(clubs: DataFrame, *, club_id: str = "place_id", **kw) -> DataFrame:
+    """(place_id, base_pressure, base_nearest_km) among the batch clubs."""
     batch = clubs.filter(F.col("stream_source") == BATCH)
     return competition_pressure(
         batch, batch, target_id=club_id, competitor_id=club_id, intensity=fixed.BASE_INTENSITY,
@@ -79,8 +83,8 @@ def base_pressure(clubs: DataFrame, *, club_id: str = "club_id", **kw) -> DataFr
     )
 
 
-def event_pressure(clubs: DataFrame, *, club_id: str = "club_id", **kw) -> DataFrame:
-    """(club_id, event_pressure, event_nearest_km) of the live clubs on all clubs."""
+def event_pressure(clubs: DataFrame, *, club_id: str = "place_id", **kw) -> DataFrame:
+    """(place_id, event_pressure, event_nearest_km) of the live clubs on all clubs."""
     live = clubs.filter(F.col("stream_source") == LIVE)
     return competition_pressure(
         clubs, live, target_id=club_id, competitor_id=club_id, intensity=fixed.LIVE_INTENSITY,
@@ -88,7 +92,7 @@ def event_pressure(clubs: DataFrame, *, club_id: str = "club_id", **kw) -> DataF
     )
 
 
-def live_score(clubs: DataFrame, *, club_id: str = "club_id", **kw) -> DataFrame:
+def live_score(clubs: DataFrame, *, club_id: str = "place_id", **kw) -> DataFrame:
     """Scores of all clubs under batch and live pressure. ``club_id`` must be unique over both sources."""
     pressed = (
         score_base(clubs)
