@@ -6,11 +6,11 @@ it measures them small and otherwise shuffles both sides on the bucket, splittin
 
 Two things keep a crowded bucket from producing all its pairs:
 
-* places at one position are merged into one row with a weight before the join;
-* in a bucket with more than ``dense_at`` positions, positions are merged further into the cells of a
-  finer grid. Bounds on the distance to a fine cell settle most of them at once (all inside the radius,
-  all outside, or farther than another cell), and only the undecided cells are opened. The result is
-  the same as from all pairs.
+* places are merged into the cells of a finer grid, each with a weight and its extent, before the join.
+  Copies at one position become one row, and a cell holding a single position gives its exact distance;
+* for a cell with several positions, bounds on the distance settle most points at once (all inside the
+  radius, all outside, or farther than another cell). Only the undecided cells are opened, and their
+  positions compared one by one. The result is the same as from all pairs.
 
 Without ``exact`` a place is seen when its bucket is at most ``span`` away on both axes, whatever the
 distance. With ``exact`` the reach of the copies follows from the radius and the latitude, so that
@@ -76,23 +76,13 @@ def neighbor_join(
     )
 
 
-def _place_cells(places: DataFrame, deg: float, fine: int, dense_at: int) -> DataFrame:
-    """Positions merged into fine cells where a bucket is dense, else left alone (one cell each).
-
-    Input: _lat, _lon, _w (weight). Output adds the bucket, and the cell as (_cy, _cx).
-    """
-    lat_b, lon_b = grid_key("_lat", "_lon", deg)
-    keyed = places.withColumns({"lat_b": lat_b, "lon_b": lon_b})
-    dense = (
-        keyed.groupBy("lat_b", "lon_b").agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > dense_at).select("lat_b", "lon_b", F.lit(True).alias("_dense"))
-    )
-    step = deg / fine
-    return keyed.join(dense, ["lat_b", "lon_b"], "left").withColumns(
-        {
-            "_cy": F.when(F.col("_dense"), F.floor(F.col("_lat") / step).cast("double")).otherwise(F.col("_lat")),
-            "_cx": F.when(F.col("_dense"), F.floor(F.col("_lon") / step).cast("double")).otherwise(F.col("_lon")),
-        }
+def _fine_cells(places: DataFrame, lat: str, lon: str, deg: float, fine: int) -> DataFrame:
+    """Places with their bucket and their cell (_cy, _cx) on a grid ``fine`` times finer."""
+    lat_b, lon_b = grid_key(lat, lon, deg)
+    cy, cx = grid_key(lat, lon, deg / fine)
+    return _located(places, lat, lon).select(
+        F.col(lat).alias("_lat"), F.col(lon).alias("_lon"),
+        lat_b.alias("lat_b"), lon_b.alias("lon_b"), cy.alias("_cy"), cx.alias("_cx"),
     )
 
 
@@ -133,7 +123,7 @@ def proximity_metrics(
     radius_km: float | None = None, exact: bool = False,
     point: tuple[str, str] = ("lat", "lon"), place: tuple[str, str] = ("lat", "lon"),
     nearest: str | None = "nearest_km", within: str | None = "n_within",
-    fine: int = 16, dense_at: int = 256,
+    fine: int = 16,
 ) -> DataFrame:
     """Per point: distance to the nearest place and number of places within ``radius_km``.
 
@@ -146,17 +136,12 @@ def proximity_metrics(
     if count and radius_km is None:
         raise ValueError("counting needs radius_km")
 
-    positions = (
-        _located(places, *place)
-        .groupBy(F.col(place[0]).alias("_lat"), F.col(place[1]).alias("_lon"))
-        .agg(F.count("*").alias("_w"))
-    )
-    celled = _place_cells(positions, deg, fine, dense_at)
+    celled = _fine_cells(places, *place, deg, fine)
     cells = celled.groupBy("lat_b", "lon_b", "_cy", "_cx").agg(
-        F.sum("_w").alias("_w"), F.count("*").alias("_np"),
+        F.count("*").alias("_w"),
         F.min("_lat").alias("_south"), F.max("_lat").alias("_north"),
         F.min("_lon").alias("_west"), F.max("_lon").alias("_east"),
-    )
+    ).withColumn("_single", (F.col("_south") == F.col("_north")) & (F.col("_west") == F.col("_east")))
 
     def around(df: DataFrame) -> DataFrame:
         if not exact:
@@ -172,7 +157,7 @@ def proximity_metrics(
     if exact:
         pairs = pairs.filter(F.col("_low") <= radius_km * (1 + _TIGHT))
 
-    single = F.col("_np") == 1
+    single = F.col("_single")
     r = F.lit(radius_km)
     aggs = [F.min("_high").alias("_best"), F.min(F.when(single, F.col("_high"))).alias("_nearest")]
     if count:
@@ -180,8 +165,8 @@ def proximity_metrics(
         aggs.append(F.sum(F.when(settled, F.col("_w")).otherwise(F.lit(0))).alias("_count"))
     first = pairs.groupBy(point_id).agg(*aggs)
 
-    # open the cells the bounds leave undecided; nothing to do unless some bucket is dense
-    open_cells = near.filter(F.col("_np") > 1)
+    # open the cells that the bounds leave undecided
+    open_cells = near.filter(~single)
     undecided = (
         targets.join(open_cells, ["lat_b", "lon_b"]).withColumns({"_low": low, "_high": high})
         .join(first.select(point_id, "_best"), point_id)
@@ -193,9 +178,9 @@ def proximity_metrics(
     undecided = undecided.withColumn("_border", border).filter(keep | F.col("_border")).select(
         point_id, "_plat", "_plon", "_hy", "_hx", "_cy", "_cx", "_border"
     )
-    inner = celled.filter("_dense").select(
-        F.col("lat_b").alias("_hy"), F.col("lon_b").alias("_hx"), "_cy", "_cx", "_lat", "_lon", "_w"
-    )
+    inner = celled.groupBy(
+        F.col("lat_b").alias("_hy"), F.col("lon_b").alias("_hx"), "_cy", "_cx", "_lat", "_lon"
+    ).agg(F.count("*").alias("_w"))
     opened = undecided.join(inner, ["_hy", "_hx", "_cy", "_cx"]).withColumn(
         "_d", haversine_km("_plat", "_plon", "_lat", "_lon")
     )
@@ -256,11 +241,8 @@ def count_within(
         .withColumn("_d", haversine_km("_plat", "_plon", "lat", "lon"))
         .groupBy(point_id).agg(F.count_distinct(F.when(F.col("_d") <= radius_km, F.col("_id"))).alias("_multi"))
     )
-    zero = F.lit(0).cast("long")
-    return simple.join(multi, point_id, "full").select(
-        point_id,
-        (F.coalesce(F.col("_simple"), zero) + F.coalesce(F.col("_multi"), zero)).alias(within),
-    )
+    both = simple.toDF(point_id, within).union(multi)
+    return both.groupBy(point_id).agg(F.sum(within).alias(within))
 
 
 def within_radius_pairs(
