@@ -114,9 +114,9 @@ def neighbor_expand(spark, d):
     return spatial.expand_neighbors(counted, 2).groupBy("lat_b", "lon_b").agg(F.sum("n").alias("n"))
 
 
-def pairs_sql(places: str, deg: str, span: int, lat: str = "lat", lon: str = "lon") -> str:
+def pairs_sql(places: str, deg: str, span: int, lat: str = "lat", lon: str = "lon", name: str = "p") -> str:
     """Candidate pairs under the bucket rule, written as a range condition."""
-    return f"""p AS (SELECT c.cell_id, s.*, {hav_sql('c.lat', 'c.lon', f's.{lat}', f's.{lon}')} AS km FROM cells c JOIN {places} s
+    return f"""{name} AS (SELECT c.cell_id, s.*, {hav_sql('c.lat', 'c.lon', f's.{lat}', f's.{lon}')} AS km FROM cells c JOIN {places} s
   ON abs({bucket_sql('c.lat', deg)} - {bucket_sql(f's.{lat}', deg)}) <= {span}
  AND abs({bucket_sql('c.lon', deg)} - {bucket_sql(f's.{lon}', deg)}) <= {span})"""
 
