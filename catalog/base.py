@@ -72,16 +72,16 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         department.alias("department"),
         F.concat(department, F.lpad((k % 9).cast("string"), 3, "0")).alias("commune"),
         *[c.alias(n) for n, c in spot("c_custkey", CELL).items()],
-        F.col("c_acctbal").alias("income"),
-        ((k * 37) % 101 / F.lit(100.0)).alias("target_share"),
+        ((F.col("c_acctbal") + 1000) / 7.0).alias("income"),
+        ((k * 37) % 101 / F.lit(101.0)).alias("target_share"),
     )
 
 
 CELLS_SQL = f"""cells AS (
   SELECT c_custkey AS cell_id, lpad(c_nationkey::VARCHAR, 2, '0') AS department,
          lpad(c_nationkey::VARCHAR, 2, '0') || lpad((c_custkey % 9)::VARCHAR, 3, '0') AS commune,
-         {spot_sql('c_custkey', CELL)}, c_acctbal AS income,
-         ((c_custkey * 37) % 101) / 100e0 AS target_share
+         {spot_sql('c_custkey', CELL)}, (c_acctbal + 1000) / 7e0 AS income,
+         ((c_custkey * 37) % 101) / 101e0 AS target_share
   FROM customer)"""
 
 

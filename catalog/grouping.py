@@ -50,7 +50,7 @@ def state_by_group(spark, d):
 
 
 @query(f"""
-WITH {CELLS_SQL} SELECT commune, department, count(*) AS n_cells, round(avg(income), 5) AS income_avg,
+WITH {CELLS_SQL} SELECT commune, department, count(*) AS n_cells, round(avg(income), 6) AS income_avg,
   round(avg(target_share), 6) AS share_avg, round(avg(lat), 6) AS lat_center, round(avg(lon), 6) AS lon_center
 FROM cells GROUP BY commune, department HAVING count(*) >= 3""")
 def zone_rollup(spark, d):
@@ -59,7 +59,7 @@ def zone_rollup(spark, d):
         averages={"income_avg": "income", "share_avg": "target_share"},
     )
     return out.withColumns({
-        "income_avg": F.round("income_avg", 5),
+        "income_avg": F.round("income_avg", 6),
         **{c: F.round(c, 6) for c in ("share_avg", "lat_center", "lon_center")},
     })
 
