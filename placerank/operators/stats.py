@@ -11,14 +11,23 @@ from placerank.operators.joins import null_safe_join
 
 
 def one_row(df: DataFrame, **aggs: Column) -> dict[str, Column]:
-    """Aggregates of the whole table as Columns usable in any other DataFrame.
-
-    One struct-valued scalar subquery, so all statistics come from a single pass.
-    """
+    """Aggregates of the whole table as Columns usable in any other DataFrame, each mentioned once or twice."""
     row = df.agg(F.struct(*[a.alias(name) for name, a in aggs.items()]).alias("stats")).scalar()
     return {name: row[name] for name in aggs}
 
 
+def with_stats(df: DataFrame, source: DataFrame | None = None, name: str = "_stats", **aggs: Column) -> DataFrame:
+    """Add aggregates of the whole table (or of ``source``) as one struct column.
+
+    Use this when several expressions need the statistics: the subquery then stands in the plan once,
+    while every mention of a ``one_row`` Column is planned anew.
+    """
+    row = (df if source is None else source).agg(
+        F.struct(*[a.alias(key) for key, a in aggs.items()]).alias("stats")
+    )
+    return df.withColumn(name, row.scalar())
+
+
 def min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in cols for f in (F.min, F.max)])
 
@@ -29,10 +38,12 @@ def minmax(df: DataFrame, cols: Mapping[str, str], degenerate: float) -> DataFra
     for i, c in enumerate(cols):
         aggs[f"lo{i}"] = F.min(c).cast("double")
         aggs[f"hi{i}"] = F.max(c).cast("double")
-    s = one_row(df, **aggs)
-    return df.withColumns(
-        {out: normalize(c, s[f"lo{i}"], s[f"hi{i}"], degenerate) for i, (c, out) in enumerate(cols.items())}
-    )
+    return with_stats(df, **aggs).withColumns(
+        {
+            out: normalize(c, F.col(f"_stats.lo{i}"), F.col(f"_stats.hi{i}"), degenerate)
+            for i, (c, out) in enumerate(cols.items())
+        }
+    ).drop("_stats")
 
 
 def median_by(df: DataFrame, keys: Sequence[str], column: str, accuracy: int = 10000,

@@ -13,7 +13,7 @@ from placerank.operators.joins import join_keys
 from placerank.operators.rank import top_k, top_k_per
 from placerank.operators.rollup import rollup
 from placerank.operators.spatial import proximity_metrics
-from placerank.operators.stats import one_row
+from placerank.operators.stats import one_row, with_stats
 from placerank.session import cut_lineage
 
 Bounds = tuple[Column, Column]
@@ -38,9 +38,12 @@ def competition_metrics(
     )
 
 
-def _bounds(df: DataFrame, column: str, degenerate_lo: float = 0.0) -> Bounds:
-    s = one_row(df, lo=F.min(column).cast("double"), hi=F.max(column).cast("double"))
-    return s["lo"], s["hi"]
+def _with_bounds(df: DataFrame, column: str, bounds: Bounds | None) -> tuple[DataFrame, Column, Column]:
+    """The table with its own range of a column, unless the range is given."""
+    if bounds:
+        return df, *bounds
+    ranged = with_stats(df, name="_range", lo=F.min(column).cast("double"), hi=F.max(column).cast("double"))
+    return ranged, F.col("_range.lo"), F.col("_range.hi")
 
 
 def competition_score(
@@ -48,9 +51,9 @@ def competition_score(
     far_km: float = fixed.FAR_CLUB_KM, bonus: float = fixed.FAR_CLUB_BONUS,
 ) -> DataFrame:
     """Few clubs score high; a far nearest club adds a bonus, up to 1."""
-    lo, hi = bounds or _bounds(df, count)
+    df, lo, hi = _with_bounds(df, count, bounds)
     base = invert(normalize(count, lo, hi, 0.5))
-    return df.withColumn("competition_score", capped_bonus(base, F.col(distance) > far_km, bonus))
+    return df.withColumn("competition_score", capped_bonus(base, F.col(distance) > far_km, bonus)).drop("_range")
 
 
 def join_prices(
@@ -74,9 +77,10 @@ def property_score(
     df: DataFrame, price: str = "price_m2", cap: float = fixed.PRICE_CAP, bounds: Bounds | None = None
 ) -> DataFrame:
     """Cheap scores high. Normalised over all rows, then rows above the cap are left out."""
-    lo, hi = bounds or _bounds(df, price)
+    df, lo, hi = _with_bounds(df, price, bounds)
     norm = normalize(price, lo, hi, 0.5)
-    return df.withColumns({f"{price}_norm": norm, "property_score": invert(norm)}).filter(F.col(price) <= cap)
+    scored = df.withColumns({f"{price}_norm": norm, "property_score": invert(norm)}).drop("_range")
+    return scored.filter(F.col(price) <= cap)
 
 
 def join_demand(cells: DataFrame, demand: DataFrame, *, cell_id: str = "cell_id", accuracy: int = 1000) -> DataFrame:
@@ -90,8 +94,8 @@ def join_demand(cells: DataFrame, demand: DataFrame, *, cell_id: str = "cell_id"
 
 def demand_factor(df: DataFrame, index: str = "demand_index", bounds: Bounds | None = None) -> DataFrame:
     """Index normalised over the rows at hand."""
-    lo, hi = bounds or _bounds(df, index)
-    return df.withColumn(f"{index}_norm", normalize(index, lo, hi, 0.5))
+    df, lo, hi = _with_bounds(df, index, bounds)
+    return df.withColumn(f"{index}_norm", normalize(index, lo, hi, 0.5)).drop("_range")
 
 
 def composite(
@@ -143,15 +147,19 @@ def score_cells(
     if cut:
         joined = cut_lineage(joined)
     affordable = F.when(F.col("price_m2") <= cap, F.col("demand_index").cast("double"))
-    s = one_row(
+    ranged = with_stats(
         joined,
         n_lo=F.min("n_clubs").cast("double"), n_hi=F.max("n_clubs").cast("double"),
         p_lo=F.min("price_m2"), p_hi=F.max("price_m2"), d_lo=F.min(affordable), d_hi=F.max(affordable),
     )
-    scored = competition_score(joined, bounds=(s["n_lo"], s["n_hi"]))
-    scored = property_score(scored, cap=cap, bounds=(s["p_lo"], s["p_hi"]))
-    scored = demand_factor(scored, bounds=(s["d_lo"], s["d_hi"]))
-    return composite(scored, weights)
+
+    def bounds(c: str) -> Bounds:
+        return F.col(f"_stats.{c}_lo"), F.col(f"_stats.{c}_hi")
+
+    scored = competition_score(ranged, bounds=bounds("n"))
+    scored = property_score(scored, cap=cap, bounds=bounds("p"))
+    scored = demand_factor(scored, bounds=bounds("d"))
+    return composite(scored.drop("_stats"), weights)
 
 
 def top_cells(scored: DataFrame, k: int = fixed.TOP_CELLS, *, cell_id: str = "cell_id") -> DataFrame:
