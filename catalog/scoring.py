@@ -206,11 +206,12 @@ def export_top(spark, d):
 
 
 EXPORT_SQL = f"""{SENSITIVITY_SQL},
-ex AS (SELECT s.cell_id, s.commune, s.department, s.lat, s.lon, s.score, s.competition_score, s.access_score, s.property_score,
-  s.income_score, s.stability::SMALLINT AS stability, s.target_share, s.demand_index, s.club_km, s.n_clubs::SMALLINT AS n_clubs, s.price_m2,
-  coalesce(p.n_sales, -1)::INTEGER AS n_sales, m.c_nationkey::DOUBLE AS ind, m.c_acctbal AS ind_snv, s.n_stops::INTEGER AS n_stops, s.road_km,
-  CASE WHEN score > 0.8 THEN 'A+' WHEN score > 0.7 THEN 'A' WHEN score > 0.6 THEN 'B' WHEN score > 0.5 THEN 'C' ELSE 'D' END AS grade,
-  CASE WHEN n_clubs = 0 THEN 'Zone blanche' WHEN n_clubs <= 2 THEN 'Faible' WHEN n_clubs <= 5 THEN 'Concurrentiel' ELSE 'Sature' END AS competition_label,
+ex AS (SELECT s.cell_id, s.commune, s.department, s.lat, s.lon, s.score::FLOAT::DOUBLE AS score,
+  s.competition_score::FLOAT::DOUBLE AS competition_score, s.access_score::FLOAT::DOUBLE AS access_score,
+  s.stability::SMALLINT AS stability, s.demand_index, s.n_clubs::SMALLINT AS n_clubs, s.price_m2::FLOAT::DOUBLE AS price_m2,
+  coalesce(p.n_sales, -1)::INTEGER AS n_sales, m.c_nationkey::DOUBLE AS ind, m.c_acctbal::FLOAT::DOUBLE AS ind_snv, s.n_stops::INTEGER AS n_stops,
+  CASE WHEN s.score > 0.8 THEN 'A+' WHEN s.score > 0.7 THEN 'A' WHEN s.score > 0.6 THEN 'B' WHEN s.score > 0.5 THEN 'C' ELSE 'D' END AS grade,
+  CASE WHEN s.n_clubs = 0 THEN 'Zone blanche' WHEN s.n_clubs <= 2 THEN 'Faible' WHEN s.n_clubs <= 5 THEN 'Concurrentiel' ELSE 'Sature' END AS competition_label,
   (m.c_nationkey * 25)::INTEGER AS population
   FROM stable s JOIN customer m ON s.cell_id = m.c_custkey
   LEFT JOIN prices p ON s.department = p.department AND substr(s.commune, 3, 3) = p.commune)"""

@@ -15,22 +15,26 @@ _E2 = 2 / 298.257222101 - (1 / 298.257222101) ** 2
 _E = math.sqrt(_E2)
 
 
-def haversine_km(
-    lat1: str | Column, lon1: str | Column, lat2: str | Column, lon2: str | Column
-) -> Column:
-    """Great-circle distance in km; null if any coordinate is null."""
-    lat1, lon1, lat2, lon2 = (F.radians(col(c)) for c in (lat1, lon1, lat2, lon2))
-    return chord_to_km(
-        F.pow(F.sin((lat2 - lat1) / 2), 2.0)
-        + F.cos(lat1) * F.cos(lat2) * F.pow(F.sin((lon2 - lon1) / 2), 2.0)
-    )
+def chord_sql(dlat: str, dlon: str, cos1: str, cos2: str) -> str:
+    """Haversine term for coordinate differences in degrees."""
+    return f"(pow(sin(radians({dlat}) / 2), 2) + {cos1} * {cos2} * pow(sin(radians({dlon}) / 2), 2))"
 
 
-def chord_to_km(a: Column) -> Column:
-    """Distance of the haversine term ``a``; rounding may lift a slightly over 1."""
-    return 2 * fixed.EARTH_RADIUS_KM * F.atan2(
-        F.sqrt(a), F.sqrt(F.when(a < 1.0, 1.0 - a).when(a.isNotNull(), F.lit(0.0)))
-    )
+def arc_km_sql(a: str) -> str:
+    """Distance of a haversine term; rounding may lift it slightly over 1."""
+    return f"{2 * fixed.EARTH_RADIUS_KM}D * asin(sqrt(CASE WHEN {a} > 1 THEN 1 ELSE {a} END))"
+
+
+def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    return arc_km_sql(chord_sql(f"({lat2} - {lat1})", f"({lon2} - {lon1})", f"cos(radians({lat1}))", f"cos(radians({lat2}))"))
+
+
+def haversine_km(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    """Great-circle distance in km between two points given by column names; null if any is null.
+
+    Built from one SQL text: the formula has some forty nodes, each a call to the JVM otherwise.
+    """
+    return F.expr(haversine_sql(lat1, lon1, lat2, lon2))
 
 
 def in_bbox(lat: str | Column, lon: str | Column, bbox=fixed.BBOX_STRICT) -> Column:
@@ -123,11 +127,7 @@ def epsg2154_to_wgs84(df: DataFrame, x: str, y: str, lon: str = "longitude", lat
 
 def register_haversine(spark: SparkSession, name: str = "haversine_km") -> None:
     """haversine_km(lat1, lon1, lat2, lon2) for SQL text, as a SQL function the optimizer inlines."""
-    term = (
-        "pow(sin(radians(lat2 - lat1) / 2), 2) + cos(radians(lat1)) * cos(radians(lat2)) "
-        "* pow(sin(radians(lon2 - lon1) / 2), 2)"
-    )
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(lat1 DOUBLE, lon1 DOUBLE, lat2 DOUBLE, lon2 DOUBLE) "
-        f"RETURNS DOUBLE RETURN 2 * {fixed.EARTH_RADIUS_KM}D * asin(least(1D, sqrt({term})))"
+        f"RETURNS DOUBLE RETURN {haversine_sql('lat1', 'lon1', 'lat2', 'lon2')}"
     )

@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from placerank import fixed
-from placerank.functions.geo import chord_to_km, grid_key, haversine_km
+from placerank.functions.geo import arc_km_sql, chord_sql, grid_key, haversine_km
 from placerank.functions.scores import clip, nearest_of, size_factor
 
 KM_PER_DEGREE = math.pi * fixed.EARTH_RADIUS_KM / 180
@@ -92,23 +92,20 @@ def _cell_bounds() -> tuple[Column, Column]:
     With a = sin²(dlat/2) + cos(lat1) cos(lat2) sin²(dlon/2), each factor is bounded on its own.
     A cell of one position gives its exact distance twice.
     """
-    lat, lon = F.col("_plat"), F.col("_plon")
-    south, north, west, east = (F.col(c) for c in ("_south", "_north", "_west", "_east"))
-    near_lat = F.greatest(south - lat, lat - north, F.lit(0.0))
-    near_lon = F.greatest(west - lon, lon - east, F.lit(0.0))
-    far_lat = F.greatest(F.abs(south - lat), F.abs(north - lat))
-    far_lon = F.greatest(F.abs(west - lon), F.abs(east - lon))
-    cos_south, cos_north = F.cos(F.radians(south)), F.cos(F.radians(north))
-    cos_low = F.least(cos_south, cos_north)
-    cos_high = F.when((south <= 0) & (north >= 0), F.lit(1.0)).otherwise(F.greatest(cos_south, cos_north))
-
-    def bound(dlat: Column, dlon: Column, cos2: Column) -> Column:
-        return chord_to_km(
-            F.pow(F.sin(F.radians(dlat) / 2), 2.0)
-            + F.cos(F.radians(lat)) * cos2 * F.pow(F.sin(F.radians(dlon) / 2), 2.0)
+    here, south, north = (f"cos(radians({c}))" for c in ("_plat", "_south", "_north"))
+    least = arc_km_sql(
+        chord_sql(
+            "greatest(_south - _plat, _plat - _north, 0D)", "greatest(_west - _plon, _plon - _east, 0D)",
+            here, f"least({south}, {north})",
         )
-
-    return bound(near_lat, near_lon, cos_low), bound(far_lat, far_lon, cos_high)
+    )
+    most = arc_km_sql(
+        chord_sql(
+            "greatest(abs(_south - _plat), abs(_north - _plat))", "greatest(abs(_west - _plon), abs(_east - _plon))",
+            here, f"CASE WHEN _south <= 0 AND _north >= 0 THEN 1D ELSE greatest({south}, {north}) END",
+        )
+    )
+    return F.expr(least), F.expr(most)
 
 
 def _with_bucket(points: DataFrame, point_id: str, lat: str, lon: str, deg: float) -> DataFrame:
