@@ -63,7 +63,9 @@ LIVE_COLUMNS = ["club_id", "name", "type", "commune", "department", "courts", "s
 
 
 def _live(spark, d):
-    return live.live_enrich(current(spark, d), base(spark, d), since=SINCE)
+    state = current(spark, d)
+    # an older copy of the same clubs, which the second one replaces
+    return live.live_enrich([state.withColumn("name", F.lit("stale")), state], base(spark, d), since=SINCE)
 
 
 @query(f"""
@@ -82,11 +84,7 @@ uni AS (SELECT club_id, name, type, commune, department, lat, lon, courts, sourc
 
 
 def unified(spark, d):
-    state = current(spark, d)
-    table_copy = live.live_enrich(state, base(spark, d), since=SINCE)
-    # the app's copy of the same clubs wins over the table's
-    app_copy = live.live_enrich(state, base(spark, d), since=SINCE)
-    return live.unified_clubs(base(spark, d), [table_copy.withColumn("name", F.lit("stale")), app_copy])
+    return live.unified_clubs(base(spark, d), _live(spark, d))
 
 
 @query(f"""

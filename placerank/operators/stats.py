@@ -98,34 +98,22 @@ def exact_quantiles(
     map-side combine), and just the few values between the brackets are ordered. A group of at most
     ``small`` rows is ordered whole. Both passes spread a hot group over all tasks.
     """
-    results = [_exact_quantiles(df, c, qs, list(keys), accuracy, small) for c in cols]
-    out = results[0]
-    for r in results[1:]:
-        if keys:
-            out = null_safe_join(out, r, keys, how="left")
-        else:
-            out = out.withColumns({c: r.select(c).scalar() for c in r.columns})
-    return out
-
-
-def _exact_quantiles(df, column, qs, keys, accuracy, small):
     x, margin = F.col("_x"), 4.0 / accuracy
-    values = df.select(*keys, F.col(column).cast("double").alias("_x"))
-    known = values.filter(x.isNotNull() & ~F.isnan(x))
-    wanted = list(qs.items())
+    wanted, keys = list(qs.items()), list(keys)
     edges = [e for _, q in wanted for e in (max(0.0, q - margin), min(1.0, q + margin))]
 
-    sketch = (
-        F.count("*").alias("n"),
-        F.min(x).alias("lo"),
-        F.max(x).alias("hi"),
-        F.percentile_approx(x, edges, accuracy).alias("edges"),
+    # one pass for all columns: the column's name becomes part of the key
+    melted = df.select(
+        *keys, F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_x")) for c in cols])).alias("_m")
+    ).select(*keys, "_m._col", F.nanvl("_m._x", F.lit(None)).alias("_x"))
+    by = [*keys, "_col"]
+    brackets = melted.groupBy(*by).agg(
+        F.struct(
+            F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"),
+            F.percentile_approx(x, edges, accuracy).alias("edges"),
+        ).alias("_b")
     )
-    if keys:
-        brackets = known.groupBy(*keys).agg(F.struct(*sketch).alias("_b"))
-        rows = null_safe_join(known, brackets, keys, how="inner")
-    else:
-        rows = known.withColumn("_b", known.agg(F.struct(*sketch).alias("_b")).scalar())
+    rows = null_safe_join(melted, brackets, by, how="inner")
 
     whole = F.col("_b.n") <= small
     inside, segment = F.lit(False), F.lit(0)
@@ -134,13 +122,14 @@ def _exact_quantiles(df, column, qs, keys, accuracy, small):
         hi = F.when(whole, F.col("_b.hi")).otherwise(F.col("_b.edges")[2 * i + 1])
         inside = inside | x.between(lo, hi)
         segment = segment + (x >= lo).cast("int") + (x > hi).cast("int")
-    # a segment is a contiguous range of values, so its smallest value places it in the order
+    # a segment is a contiguous range of values, so its smallest value places it in the order;
+    # nulls count 0 and only keep their group alive
     runs = (
-        rows.select(*keys, "_b.n", "_x", segment.alias("_seg"), F.when(inside, x).alias("_v"))
-        .groupBy(*keys, "n", "_seg", "_v")
-        .agg(F.count("*").alias("_c"), F.min("_x").alias("_min"))
+        rows.select(*by, "_b.n", "_x", segment.alias("_seg"), F.when(inside, x).alias("_v"))
+        .groupBy(*by, "n", "_seg", "_v")
+        .agg(F.count("_x").alias("_c"), F.min("_x").alias("_min"))
     )
-    order = Window.partitionBy(*keys, "n").orderBy("_min")
+    order = Window.partitionBy(*by, "n").orderBy("_min")
     runs = runs.withColumn("_end", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
 
     picks, outs = [], []
@@ -150,14 +139,12 @@ def _exact_quantiles(df, column, qs, keys, accuracy, small):
             hit = (F.col("_end") > index) & (F.col("_end") - F.col("_c") <= index)
             picks.append(F.max(F.when(hit, F.col("_min"))).alias(f"_{name}_{side}"))
         low, high = F.col(f"_{name}_f"), F.col(f"_{name}_g")
-        outs.append((low + (high - low) * (rank - F.floor(rank))).alias(f"{column}_{name}"))
-    picked = runs.groupBy(*keys, "n").agg(*picks).select(*keys, *outs)
-    if not keys:
-        # an empty table still gives its one row of nulls
-        return picked.agg(*[F.max(c).alias(c) for c in picked.columns])
-    # groups without any known value keep their row
-    groups = values.groupBy(*keys).agg(F.count("*").alias("_n")).drop("_n")
-    return null_safe_join(groups, picked, keys, how="left")
+        outs.append((low + (high - low) * (rank - F.floor(rank))).alias(name))
+    picked = runs.groupBy(*by, "n").agg(*picks).select(*by, *outs)
+    # without keys an empty table still gives its one row of nulls
+    return picked.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_col") == c, F.col(name))).alias(f"{c}_{name}") for c in cols for name, _ in wanted]
+    )
 
 
 def exact_median_by(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:

@@ -15,6 +15,7 @@ from placerank.operators.joins import null_safe_join
 from placerank.operators.sets import union_all
 from placerank.operators.spatial import competition_pressure
 from placerank.operators.stats import exact_median_by, exact_quantiles
+from placerank.session import cut_lineage
 
 BATCH, LIVE = "Batch", "Streaming"
 ZONE_COLUMNS = ["zone_score", "zone_access", "zone_income", "zone_price", "zone_demand", "zone_target_share"]
@@ -35,33 +36,36 @@ def normalize_base(clubs: DataFrame) -> DataFrame:
     )
 
 
-def live_enrich(live: DataFrame, base: DataFrame, since: str | None = None, *, time: str = "event_timestamp",
-                source: str = "Kafka", kind: str = "Club streaming") -> DataFrame:
-    """Live clubs since a moment, with the median zone values of the batch clubs of their department."""
-    fresh = live if since is None else live.filter(F.col(time) >= F.lit(since).cast(live.schema[time].dataType))
-    shaped = fresh.select(
-        F.col("club_id").cast("string").alias("club_id"), "name", F.lit(kind).alias("type"),
-        F.col("city").alias("commune"), "department",
-        F.col("latitude").cast("double").alias("lat"), F.col("longitude").cast("double").alias("lon"),
-        F.col("courts").cast("double").alias("courts"), F.lit(source).alias("source"),
-        F.lit(False).alias("saturated"), F.col("event_time").cast("string").alias("event_time"),
-        F.lit(LIVE).alias("stream_source"),
-    )
-    medians = exact_median_by(base, ["department"], ZONE_COLUMNS)
-    return null_safe_join(shaped, medians, ["department"], "left")
+def live_enrich(
+    states: Sequence[DataFrame], base: DataFrame, since: str | None = None, *, time: str = "event_timestamp",
+    source: str = "Kafka", kind: str = "Club streaming",
+) -> DataFrame:
+    """Live clubs since a moment, with the median zone values of the batch clubs of their department.
+
+    ``states`` hold the latest event per club; the last one that has a club wins.
+    """
+    def shaped(state: DataFrame) -> DataFrame:
+        fresh = state if since is None else state.filter(F.col(time) >= F.lit(since).cast(state.schema[time].dataType))
+        return fresh.select(
+            F.col("club_id").cast("string").alias("club_id"), "name", F.lit(kind).alias("type"),
+            F.col("city").alias("commune"), "department",
+            F.col("latitude").cast("double").alias("lat"), F.col("longitude").cast("double").alias("lon"),
+            F.col("courts").cast("double").alias("courts"), F.lit(source).alias("source"),
+            F.lit(False).alias("saturated"), F.col("event_time").cast("string").alias("event_time"),
+            F.lit(LIVE).alias("stream_source"),
+        )
 
+    clubs = keep_last([shaped(s) for s in states], ["club_id"], [F.col("event_time").desc_nulls_last()])
+    return null_safe_join(clubs, exact_median_by(base, ["department"], ZONE_COLUMNS), ["department"], "left")
 
-def unified_clubs(base: DataFrame, live: Sequence[DataFrame]) -> DataFrame:
-    """Batch clubs and live clubs (the last source that has a club wins) within the country.
+
+def unified_clubs(base: DataFrame, live: DataFrame) -> DataFrame:
+    """Batch and live clubs within the country, missing texts named.
 
     ``place_id`` tells rows apart, as two batch clubs may share a name.
     """
-    parts = [base]
-    if live:
-        parts.append(keep_last(live, ["club_id"], [F.col("event_time").desc_nulls_last()]))
-    df = union_all(parts)
     texts = {"department": "N/A", "commune": "N/A", "name": "Sans nom", "type": "N/A", "stream_source": BATCH}
-    kept = df.fillna(texts).filter(in_bbox("lat", "lon", fixed.BBOX_WIDE))
+    kept = union_all([base, live]).fillna(texts).filter(in_bbox("lat", "lon", fixed.BBOX_WIDE))
     return kept.withColumn("place_id", stable_id("stream_source", "club_id", "name", "lat", "lon"))
 
 
@@ -92,8 +96,13 @@ def event_pressure(clubs: DataFrame, *, club_id: str = "place_id", **kw) -> Data
     )
 
 
-def live_score(clubs: DataFrame, *, club_id: str = "place_id", **kw) -> DataFrame:
-    """Scores of all clubs under batch and live pressure. ``club_id`` must be unique over both sources."""
+def live_score(clubs: DataFrame, *, club_id: str = "place_id", cut: bool = True, **kw) -> DataFrame:
+    """Scores of all clubs under batch and live pressure. ``club_id`` must be unique over both sources.
+
+    The clubs are needed five times over; with ``cut`` they are computed once, into the checkpoint folder.
+    """
+    if cut:
+        clubs = cut_lineage(clubs)
     pressed = (
         score_base(clubs)
         .join(base_pressure(clubs, club_id=club_id, **kw), club_id, "left")
