@@ -41,14 +41,14 @@ CELL, CLUB, STOP, ROAD, USER, NATION = (
 def spot(key: str, multipliers: tuple[int, int]) -> dict[str, Column]:
     a, b = multipliers
     k = F.col(key).cast("long")
-    return {"lat": 43.0 + (k * a) % 6007 / F.lit(1000.0), "lon": -1.0 + (k * b) % 8009 / F.lit(1000.0)}
+    return {"lat": 43.0 + (k * a) % 6007 / F.lit(1001.0), "lon": -1.0 + (k * b) % 8009 / F.lit(1001.0)}
 
 
 def spot_sql(key: str, multipliers: tuple[int, int], lat: str = "lat", lon: str = "lon") -> str:
     a, b = multipliers
     k = f"{key}::BIGINT"
     return (
-        f"43e0 + (({k} * {a}) % 6007) / 1000e0 AS {lat}, -1e0 + (({k} * {b}) % 8009) / 1000e0 AS {lon}"
+        f"43e0 + (({k} * {a}) % 6007) / 1001e0 AS {lat}, -1e0 + (({k} * {b}) % 8009) / 1001e0 AS {lon}"
     )
 
 

@@ -8,6 +8,7 @@ from catalog.base import (
 from placerank import fixed
 from placerank.operators import dedupe, joins, rank, rollup as roll, sets, spatial, stats
 from placerank.plans import score
+from placerank.session import cut_lineage
 from placerank.sources import readers, writers
 
 
@@ -207,7 +208,9 @@ def join_broadcast(spark, d):
 WITH {CELLS_SQL}, {PRICES_SQL} SELECT cell_id, coalesce(p.price_m2, (SELECT quantile_disc(price_m2, 0.5) FROM prices)) AS price_m2
 FROM cells c LEFT JOIN prices p ON c.department = p.department AND substr(c.commune, 3, 3) = p.commune""")
 def join_composite(spark, d):
-    prices = stats.median_by(sales(spark, d), ["department", "commune"], "price_m2", ACCURACY, "price_m2", "n_sales")
+    prices = cut_lineage(
+        stats.median_by(sales(spark, d), ["department", "commune"], "price_m2", ACCURACY, "price_m2", "n_sales")
+    )
     joins.assert_unique(prices, ["department", "commune"])
     return score.join_prices(cells(spark, d), prices, accuracy=ACCURACY).select("cell_id", "price_m2")
 

@@ -10,6 +10,7 @@ from catalog.geography import pairs_sql
 from placerank import fixed
 from placerank.operators import stats
 from placerank.plans import access, exports, score
+from placerank.session import cut_lineage
 
 CAP = 2100.0
 
@@ -83,7 +84,10 @@ def competition_score(spark, d):
 
 
 def _prices(spark, d):
-    return stats.median_by(sales(spark, d), ["department", "commune"], "price_m2", ACCURACY, "price_m2", "n_sales")
+    """The price table is used twice, for the join and for its median."""
+    return cut_lineage(
+        stats.median_by(sales(spark, d), ["department", "commune"], "price_m2", ACCURACY, "price_m2", "n_sales")
+    )
 
 
 def property_sql(source: str) -> str:

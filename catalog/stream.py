@@ -42,7 +42,7 @@ cur AS (SELECT * FROM (FROM msg QUALIFY row_number() OVER (PARTITION BY club_id
 
 
 def run(spark, d, per_batch="2"):
-    tables = ev.EventTables(new_path(spark, "stream"))
+    tables = ev.EventTables(new_path(spark, "stream"), buckets=8)
     raw = read_events(spark, "text", write_messages(spark, d), maxFilesPerTrigger=per_batch)
     ev.run_stream(raw, tables, once=True)
     return tables
@@ -67,7 +67,7 @@ def stream_gold(spark, d):
 @query(f"""WITH {MESSAGES_SQL} SELECT (SELECT count(*) FROM msg) AS bronze, (SELECT count(*) FROM cur) AS silver, (SELECT count(*) FROM events) - (SELECT count(*) FROM msg) AS rejects""")
 def stream_replay(spark, d):
     """The same messages offered again under the same checkpoint change nothing."""
-    tables = ev.EventTables(new_path(spark, "stream"))
+    tables = ev.EventTables(new_path(spark, "stream"), buckets=8)
     path = write_messages(spark, d)
     for _ in range(2):
         ev.run_stream(read_events(spark, "text", path, maxFilesPerTrigger="3"), tables, once=True)

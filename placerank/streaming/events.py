@@ -3,18 +3,20 @@
 Each micro-batch writes new folders and never touches the ones readers use:
 
 * bronze/batch_id=N is overwritten when batch N is replayed, so nothing is logged twice;
-* silver/version=N holds the latest event of every key, deletions included, and is made from version
-  N-1 and batch N alone: a batch costs the number of keys, not the length of the history;
-* gold/version=N is the rollup of the active keys of silver/version=N.
+* silver holds the latest event of every key, deletions included, in buckets of the key's hash. Batch N
+  writes silver/version=N with just the buckets it touches, made from their versions before and the
+  batch; the newest version of each bucket is the state. A batch costs the keys of the buckets it
+  touches, not the length of the history;
+* gold/version=N is the rollup of the active keys after batch N.
 
-A version counts once its _SUCCESS marker is there, so a reader always finds a whole one.
+A version counts once its _SUCCESS marker is there, so a reader always finds whole buckets.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import (
     DoubleType, IntegerType, StringType, StructField, StructType, TimestampType,
@@ -85,9 +87,13 @@ def gold_by(current: DataFrame, key: str = "department") -> DataFrame:
 
 @dataclass(frozen=True)
 class EventTables:
-    """The folders of one stream."""
+    """The folders of one stream. ``buckets`` must stay the same over the life of the tables."""
 
     root: str
+    buckets: int = 64
+
+    def bucket(self, key: str = "club_id") -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
     @property
     def bronze(self) -> str:
@@ -121,12 +127,40 @@ class EventTables:
             if name.startswith("version=") and exists(spark, f"{table}/{name}/_SUCCESS")
         )
 
-    def read_state(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """Latest event per key, deletions included; empty before the first batch."""
-        known = [v for v in self.versions(spark, self.silver) if before is None or v < before]
-        if not known:
+    def state_parts(self, spark: SparkSession, before: int | None = None) -> dict[int, int]:
+        """Newest complete version of each bucket."""
+        parts = {}
+        for version in self.versions(spark, self.silver):
+            if before is None or version < before:
+                for name in children(spark, f"{self.silver}/version={version}"):
+                    if name.startswith("bucket="):
+                        parts[int(name.split("=")[1])] = version
+        return parts
+
+    def read_state(self, spark: SparkSession, before: int | None = None, only: set[int] | None = None) -> DataFrame:
+        """Latest event per key, deletions included; of some buckets, and before a batch, if wanted."""
+        paths = [
+            f"{self.silver}/version={v}/bucket={b}"
+            for b, v in self.state_parts(spark, before).items() if only is None or b in only
+        ]
+        if not paths:
             return spark.createDataFrame([], STATE_SCHEMA)
-        return spark.read.schema(STATE_SCHEMA).parquet(f"{self.silver}/version={known[-1]}")
+        return spark.read.schema(STATE_SCHEMA).parquet(*paths)
+
+    def drop_superseded(self, spark: SparkSession) -> None:
+        """Delete what neither the newest state nor the one before it, which readers may hold, needs."""
+        known = self.versions(spark, self.silver)
+        needed = set(self.state_parts(spark).items()) | set(self.state_parts(spark, before=known[-1]).items() if known else ())
+        for version in known:
+            names = [n for n in children(spark, f"{self.silver}/version={version}") if n.startswith("bucket=")]
+            gone = [n for n in names if (int(n.split("=")[1]), version) not in needed]
+            if names and len(gone) == len(names):
+                delete(spark, f"{self.silver}/version={version}")
+            else:
+                for name in gone:
+                    delete(spark, f"{self.silver}/version={version}/{name}")
+        for old in self.versions(spark, self.gold)[:-2]:
+            delete(spark, f"{self.gold}/version={old}")
 
     def read_silver(self, spark: SparkSession) -> DataFrame:
         return active(self.read_state(spark))
@@ -137,15 +171,19 @@ class EventTables:
         return spark.read.schema(STATE_SCHEMA).parquet(self.bronze)
 
     def read_gold(self, spark: SparkSession) -> DataFrame:
-        return gold_by(self.read_silver(spark))
+        """The rollup after the last batch."""
+        known = self.versions(spark, self.gold)
+        if not known:
+            return gold_by(self.read_silver(spark))
+        return spark.read.parquet(f"{self.gold}/version={known[-1]}")
 
 
 def append_bronze(batch: DataFrame, tables: EventTables, batch_id: int) -> None:
     batch.write.mode("overwrite").parquet(f"{tables.bronze}/batch_id={batch_id}")
 
 
-def process_batch(batch: DataFrame, batch_id: int, tables: EventTables, types=fixed.EVENT_TYPES, keep: int = 2) -> None:
-    """One micro-batch: log it, move silver and gold one version on, note the counts."""
+def process_batch(batch: DataFrame, batch_id: int, tables: EventTables, types=fixed.EVENT_TYPES) -> None:
+    """One micro-batch: log it, move the touched state and the rollup one version on, note the counts."""
     spark = batch.sparkSession
     batch.persist()
     try:
@@ -158,16 +196,19 @@ def process_batch(batch: DataFrame, batch_id: int, tables: EventTables, types=fi
         batch.unpersist()
     # read back: the source is parsed once, and silver sees exactly what bronze holds
     logged = spark.read.schema(STATE_SCHEMA).parquet(f"{tables.bronze}/batch_id={batch_id}")
-    before = tables.read_state(spark, before=batch_id)
-    new_silver = f"{tables.silver}/version={batch_id}"
-    latest_state(before.unionByName(logged)).write.mode("overwrite").parquet(new_silver)
-
-    current = active(spark.read.schema(STATE_SCHEMA).parquet(new_silver))
-    gold_by(current).write.mode("overwrite").parquet(f"{tables.gold}/version={batch_id}")
-    batch_summary(logged, current, batch_id).write.mode("overwrite").parquet(f"{tables.summary}/batch_id={batch_id}")
-    for table in (tables.silver, tables.gold):
-        for old in tables.versions(spark, table)[:-keep]:
-            delete(spark, f"{table}/version={old}")
+    # at most one row per bucket comes to the driver
+    touched = {r[0] for r in logged.select(tables.bucket().alias("bucket")).distinct().collect()}
+    if touched:
+        before = tables.read_state(spark, before=batch_id, only=touched)
+        moved = latest_state(before.unionByName(logged)).withColumn("bucket", tables.bucket())
+        (
+            moved.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
+            .parquet(f"{tables.silver}/version={batch_id}")
+        )
+        gold_by(tables.read_silver(spark)).write.mode("overwrite").parquet(f"{tables.gold}/version={batch_id}")
+    note = batch_summary(logged, tables.read_silver(spark), batch_id)
+    note.write.mode("overwrite").parquet(f"{tables.summary}/batch_id={batch_id}")
+    tables.drop_superseded(spark)
 
 
 def batch_summary(batch: DataFrame, current: DataFrame, batch_id: int) -> DataFrame:

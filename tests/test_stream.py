@@ -50,7 +50,7 @@ def silver(spark, tables):
 @pytest.mark.parametrize("backwards", [False, True])
 def test_state_does_not_depend_on_batches(spark, split, backwards):
     lines = MESSAGES[::-1] if backwards else MESSAGES
-    path, tables = new_path(spark, "in"), ev.EventTables(new_path(spark, "t"))
+    path, tables = new_path(spark, "in"), ev.EventTables(new_path(spark, "t"), buckets=3)
     it = iter(lines)
     for n in split:
         offer(spark, path, itertools.islice(it, n))
@@ -62,7 +62,7 @@ def test_state_does_not_depend_on_batches(spark, split, backwards):
 
 
 def test_replayed_batch_changes_nothing(spark):
-    path, tables = new_path(spark, "in"), ev.EventTables(new_path(spark, "t"))
+    path, tables = new_path(spark, "in"), ev.EventTables(new_path(spark, "t"), buckets=3)
     offer(spark, path, MESSAGES)
     consume(spark, path, tables)
     raw = spark.createDataFrame([(m,) for m in MESSAGES], "value string").withColumn("timestamp", F.current_timestamp())
@@ -73,7 +73,7 @@ def test_replayed_batch_changes_nothing(spark):
 
 
 def test_empty_batch_and_empty_tables(spark):
-    tables = ev.EventTables(new_path(spark, "t"))
+    tables = ev.EventTables(new_path(spark, "t"), buckets=3)
     assert tables.read_silver(spark).count() == 0 and tables.read_bronze(spark).count() == 0
     raw = spark.createDataFrame([], "value string, timestamp timestamp")
     ev.process_batch(ev.parse_events(raw), 0, tables)
@@ -81,18 +81,36 @@ def test_empty_batch_and_empty_tables(spark):
 
 
 def test_a_version_without_marker_is_not_read(spark):
-    path, tables = new_path(spark, "in"), ev.EventTables(new_path(spark, "t"))
+    path, tables = new_path(spark, "in"), ev.EventTables(new_path(spark, "t"), buckets=3)
     offer(spark, path, MESSAGES)
     consume(spark, path, tables)
     half = f"{tables.silver}/version=7"
     spark.range(3).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(half)
-    assert tables.versions(spark, tables.silver) == [0]
+    assert tables.versions(spark, tables.silver) == [0] and 7 not in tables.state_parts(spark).values()
     assert silver(spark, tables) == SILVER
 
 
 def test_bounded_run_stops(spark):
-    path, tables = new_path(spark, "in"), ev.EventTables(new_path(spark, "t"))
+    path, tables = new_path(spark, "in"), ev.EventTables(new_path(spark, "t"), buckets=3)
     offer(spark, path, MESSAGES)
     ev.run_stream(read_events(spark, "text", path), tables, duration=15, name="bounded")
     assert not [q for q in spark.streams.active if q.name == "bounded"]
     assert silver(spark, tables) == SILVER
+
+
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark):
+    path, tables = new_path(spark, "in"), ev.EventTables(new_path(spark, "t"), buckets=16)
+    lines = [message(i, "club_created", f"k{i}", "2024-01-01T00:00:00", 1) for i in range(40)]
+    offer(spark, path, lines)
+    consume(spark, path, tables)
+    first = tables.state_parts(spark)
+    for n, time in enumerate(("2024-01-02T00:00:00", "2024-01-03T00:00:00", "2024-01-04T00:00:00")):
+        offer(spark, path, [message(100 + n, "club_updated", "k7", time, 5 + n)])
+        consume(spark, path, tables)
+    last = tables.state_parts(spark)
+    assert set(first.values()) == {0}
+    assert sorted(last.values()).count(0) == len(first) - 1 and max(last.values()) == 3
+    state = {r["club_id"]: r["courts"] for r in tables.read_silver(spark).collect()}
+    assert len(state) == 40 and state["k7"] == 7
+    # version 1 held only the bucket that versions 2 and 3 replaced
+    assert tables.versions(spark, tables.silver) == [0, 2, 3]
