@@ -58,7 +58,8 @@ access AS (SELECT *, 0.6 * n_stops_norm + 0.4 * (1 - road_km_norm) AS access_sco
 
 
 def scored_access(spark, d):
-    return access.access_score(access.access_metrics(cells(spark, d), stops(spark, d), roads(spark, d)))
+    metrics = access.access_metrics(cells(spark, d), stops(spark, d), roads(spark, d), unique_stops=True)
+    return access.access_score(metrics)
 
 
 @query(f"""

@@ -207,13 +207,19 @@ def nearest_distance(points: DataFrame, places: DataFrame, *, point_id: str, deg
 def count_within(
     points: DataFrame, places: DataFrame, *, point_id: str, place_id: str, radius_km: float, deg: float,
     span: int | None = None, exact: bool = False, point: tuple[str, str] = ("lat", "lon"),
-    place: tuple[str, str] = ("lat", "lon"), within: str = "n_within", **kw,
+    place: tuple[str, str] = ("lat", "lon"), within: str = "n_within", unique_ids: bool = False, **kw,
 ) -> DataFrame:
     """Number of distinct place ids within the radius, per point that sees any place.
 
     Ids with one position are counted by position. The few ids with several positions are compared
     by themselves, and counted once however many of their positions lie within the radius.
+    ``unique_ids`` says that the places are keyed by the id already, which spares the search for those.
     """
+    if unique_ids:
+        return proximity_metrics(
+            points, places.filter(F.col(place_id).isNotNull()), point_id=point_id, deg=deg, span=span,
+            radius_km=radius_km, exact=exact, point=point, place=place, nearest=None, within=within, **kw,
+        )
     known = _located(places, *place).select(
         F.col(place_id).alias("_id"), F.col(place[0]).alias("lat"), F.col(place[1]).alias("lon")
     ).filter(F.col("_id").isNotNull())

@@ -14,16 +14,17 @@ from placerank.session import cut_lineage
 def access_metrics(
     cells: DataFrame, stops: DataFrame, roads: DataFrame, *, cell_id: str = "cell_id",
     stop: tuple[str, str] = ("lat", "lon"), road: tuple[str, str] = ("lat_center", "lon_center"), exact: bool = False,
-    cut: bool = True,
+    unique_stops: bool = False, cut: bool = True,
 ) -> DataFrame:
     """The cells with n_stops (0 if none) and road_km (null if no road is near).
 
-    With ``cut`` the two spatial joins run once and their result is kept in the checkpoint folder;
+    ``unique_stops`` says that no stop id repeats, as in a table of map nodes. With ``cut`` the two spatial joins run once and their result is kept in the checkpoint folder;
     the score needs it twice, for the ranges and for the rows.
     """
     near_stops = count_within(
         cells, stops, point_id=cell_id, place_id="osm_id", radius_km=fixed.STOP_RADIUS_KM,
         deg=fixed.STOP_GRID_DEG, span=fixed.STOP_SPAN, exact=exact, place=stop, within="n_stops",
+        unique_ids=unique_stops,
     )
     near_road = nearest_distance(
         cells, roads, point_id=cell_id, deg=fixed.ROAD_GRID_DEG, span=fixed.ROAD_SPAN, place=road, nearest="road_km",
