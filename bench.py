@@ -33,6 +33,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "7g"))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "1024")
         # no Python call sites in error messages: building a query takes a third less time
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

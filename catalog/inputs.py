@@ -229,31 +229,38 @@ def census_plan(spark, d):
 
 
 @query("""
-WITH e AS (SELECT p_partkey % 40 AS inst, count(*)::INTEGER AS courts, min(p_name) AS type FROM part WHERE contains(p_name, 'gear') GROUP BY 1),
+WITH e AS (SELECT l_suppkey AS inst, count(*)::INTEGER AS courts, min(p_name) AS type FROM lineitem JOIN part ON l_partkey = p_partkey
+  WHERE contains(p_name, 'gear') GROUP BY 1),
 a AS (SELECT s_name AS name, e.type, lpad((s_nationkey + 1)::VARCHAR, 2, '0') AS department, e.courts, 'registry' AS source,
-  4400 + s_suppkey % 31 AS kx FROM supplier JOIN e ON s_suppkey = inst WHERE s_acctbal > 0),
+  s_suppkey // 2 AS spot FROM supplier JOIN e ON s_suppkey = inst WHERE s_acctbal > 0),
 b AS (SELECT CASE WHEN s_nationkey < 12 THEN 'Gear ' || s_name ELSE 'Unit gear ' || s_suppkey END AS name, 'Club' AS type,
   lpad((s_nationkey + 1)::VARCHAR, 2, '0') AS department, NULL::INTEGER AS courts, 'companies' AS source, s_suppkey AS id FROM supplier
   WHERE s_acctbal < 5000 AND s_nationkey <> 7),
-d AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY kx ORDER BY courts DESC, source, name) = 1)
+d AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY spot ORDER BY courts DESC, source, name) = 1)
 SELECT name, type, department, courts, source FROM d UNION ALL SELECT name, type, department, courts, source FROM b""")
 def clubs_plan(spark, d):
     """Equipment counted per installation and companies by name, merged by position."""
-    part, supplier = table(spark, d, "part"), table(spark, d, "supplier")
-    equipment = part.select((F.col("p_partkey") % 40).cast("string").alias("installation_numero"), F.col("p_name").alias("type"))
+    supplier = table(spark, d, "supplier")
+    lines = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    equipment = lines.select(F.col("l_suppkey").cast("string").alias("installation_numero"), F.col("p_name").alias("type"))
     dep = F.lpad((F.col("s_nationkey") + 1).cast("string"), 2, "0")
     key = F.col("s_suppkey")
+    # two installations share a position; the companies lie further east
+    half = F.floor(key / 2)
+    place = F.concat_ws(
+        ",", (44.0 + half % 5000 / F.lit(1000.0)).cast("string"), (F.floor(half / 5000) / F.lit(1000.0)).cast("string")
+    )
     installations = supplier.select(
         key.cast("string").alias("numero"), F.col("s_name").alias("nom"), F.lit("Ville").alias("commune"), dep.alias("dep_code"),
-        F.when(F.col("s_acctbal") > 0, F.concat((44.0 + (key % 31) / 100.0).cast("string"), F.lit(",1.5"))).otherwise("?").alias("coordonnees"),
+        F.when(F.col("s_acctbal") > 0, place).otherwise("?").alias("coordonnees"),
     )
     x, y = "coordonneeLambertAbscisseEtablissement", "coordonneeLambertOrdonneeEtablissement"
     establishments = supplier.select(
         F.col("s_suppkey").cast("string").alias("siren"),
         F.when(F.col("s_acctbal") < 5000, "93.11Z").otherwise("47.11A").alias("activitePrincipaleEtablissement"),
         F.lit("A").alias("etatAdministratifEtablissement"),
-        F.when(F.col("s_nationkey") == 7, "[ND]").otherwise((700000 + key * 150).cast("string")).alias(x),
-        (6700000 + key * 150).cast("string").alias(y),
+        F.when(F.col("s_nationkey") == 7, "[ND]").otherwise((600000 + key * 150 % 300000).cast("string")).alias(x),
+        (6300000 + F.floor(key / 2000) * 150).cast("string").alias(y),
         F.when(F.col("s_nationkey") < 12, F.concat(F.lit("Gear "), F.col("s_name"))).alias("enseigne1Etablissement"),
         F.lit("Autre").alias("denominationUsuelleEtablissement"), F.lit("Ville").alias("libelleCommuneEtablissement"),
         F.concat(dep, F.lit("001")).alias("codeCommuneEtablissement"),

@@ -110,7 +110,8 @@ def _cell_bounds() -> tuple[Column, Column]:
 
 def _with_bucket(points: DataFrame, point_id: str, lat: str, lon: str, deg: float) -> DataFrame:
     lat_b, lon_b = grid_key(lat, lon, deg)
-    return _located(points, lat, lon).select(
+    # the filter on the id keeps the plan equal to its copy under the later join, so its shuffle is reused
+    return _located(points, lat, lon).filter(F.col(point_id).isNotNull()).select(
         point_id, F.col(lat).alias("_plat"), F.col(lon).alias("_plon"), lat_b.alias("lat_b"), lon_b.alias("lon_b")
     )
 
@@ -156,43 +157,49 @@ def proximity_metrics(
 
     single = F.col("_single")
     r = F.lit(radius_km)
-    aggs = [F.min("_high").alias("_best"), F.min(F.when(single, F.col("_high"))).alias("_nearest")]
+    aggs = []
+    if nearest is not None:
+        aggs += [F.min("_high").alias("_best"), F.min(F.when(single, F.col("_high"))).alias("_nearest")]
     if count:
         settled = F.when(single, F.col("_high") <= r).otherwise(F.col("_high") <= r * (1 - _TIGHT))
         aggs.append(F.sum(F.when(settled, F.col("_w")).otherwise(F.lit(0))).alias("_count"))
     first = pairs.groupBy(point_id).agg(*aggs)
 
     # open the cells that the bounds leave undecided
-    open_cells = near.filter(~single)
-    undecided = (
-        targets.join(open_cells, ["lat_b", "lon_b"]).withColumns({"_low": low, "_high": high})
-        .join(first.select(point_id, "_best"), point_id)
-    )
-    keep = F.lit(False)
-    if nearest is not None:
-        keep = keep | (F.col("_low") <= F.col("_best") * (1 + _TIGHT))
+    undecided = targets.join(near.filter(~single), ["lat_b", "lon_b"]).withColumns({"_low": low, "_high": high})
     border = (F.col("_low") <= r * (1 + _TIGHT)) & (F.col("_high") > r * (1 - _TIGHT)) if count else F.lit(False)
-    undecided = undecided.withColumn("_border", border).filter(keep | F.col("_border")).select(
-        point_id, "_plat", "_plon", "_hy", "_hx", "_cy", "_cx", "_border"
-    )
+    undecided = undecided.withColumn("_border", border)
+    if nearest is None:
+        undecided = undecided.filter("_border")
+    else:
+        # all columns of ``first`` are used here and below: the pairs are then joined and summed once
+        undecided = undecided.join(first, point_id)
+        closer = (F.col("_low") <= F.col("_best") * (1 + _TIGHT)) & (
+            F.col("_nearest").isNull() | (F.col("_low") <= F.col("_nearest"))
+        )
+        if count:
+            closer = closer & (F.col("_count") >= 0)
+        undecided = undecided.filter(closer | F.col("_border"))
+        first = first.filter(F.col("_best").isNotNull())
+    undecided = undecided.select(point_id, "_plat", "_plon", "_hy", "_hx", "_cy", "_cx", "_border")
     inner = celled.groupBy(
         F.col("lat_b").alias("_hy"), F.col("lon_b").alias("_hx"), "_cy", "_cx", "_lat", "_lon"
     ).agg(F.count("*").alias("_w"))
     opened = undecided.join(inner, ["_hy", "_hx", "_cy", "_cx"]).withColumn(
         "_d", haversine_km("_plat", "_plon", "_lat", "_lon")
     )
-    second_aggs = [F.min("_d").alias("_nearest2")]
+    second_aggs = [F.min("_d").alias("_nearest2")] if nearest is not None else []
     if count:
         hit = F.col("_border") & (F.col("_d") <= r)
         second_aggs.append(F.sum(F.when(hit, F.col("_w")).otherwise(F.lit(0))).alias("_count2"))
     second = opened.groupBy(point_id).agg(*second_aggs)
 
     out = first.join(second, point_id, "left")
-    found = nearest_of("_nearest", "_nearest2")
-    if exact:
-        found = F.when(found <= r, found)
     columns = [F.col(point_id)]
     if nearest is not None:
+        found = nearest_of("_nearest", "_nearest2")
+        if exact:
+            found = F.when(found <= r, found)
         columns.append(found.alias(nearest))
     if count:
         columns.append((F.col("_count") + F.coalesce(F.col("_count2"), F.lit(0))).cast("long").alias(within))

@@ -18,8 +18,9 @@ def access_metrics(
 ) -> DataFrame:
     """The cells with n_stops (0 if none) and road_km (null if no road is near).
 
-    ``unique_stops`` says that no stop id repeats, as in a table of map nodes. With ``cut`` the two spatial joins run once and their result is kept in the checkpoint folder;
-    the score needs it twice, for the ranges and for the rows.
+    ``unique_stops`` says that no stop id repeats, as in a table of map nodes. With ``cut`` the two
+    spatial joins run once and their result is kept in the checkpoint folder; the score needs it
+    twice, for the ranges and for the rows.
     """
     near_stops = count_within(
         cells, stops, point_id=cell_id, place_id="osm_id", radius_km=fixed.STOP_RADIUS_KM,

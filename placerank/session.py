@@ -20,6 +20,8 @@ def get_spark(app_name: str = "placerank", driver_memory: str | None = None, **c
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # sketches per group stay in the hash map up to this many groups in a task, instead of sorting all rows
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "1024")
         # no Python call sites in error messages: building a query takes a third less time
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # '01' must stay the string '01' when a partitioned table is read back
