@@ -130,12 +130,12 @@ scored AS (SELECT *, (0.30 * competition_score + 0.25 * access_score + 0.20 * pr
   * demand_index_norm AS score FROM dem)"""
 
 
-def scored(spark, d, cut=True):
-    """Cells with every sub-score and the composite score."""
-    located = stats.minmax(scored_access(spark, d), {"income": "income_score"}, degenerate=0.0)
-    return score.score_cells(
-        located, clubs(spark, d), _prices(spark, d), demand(spark, d), accuracy=ACCURACY, cap=CAP, cut=cut
-    )
+def scored(spark, d):
+    """Cells with every sub-score and the composite score; all joins run before the one cut."""
+    located = access.access_metrics(cells(spark, d), stops(spark, d), roads(spark, d), unique_stops=True, cut=False)
+    joined = score.gather_metrics(located, clubs(spark, d), _prices(spark, d), demand(spark, d), accuracy=ACCURACY)
+    normed = stats.minmax(access.access_score(joined), {"income": "income_score"}, degenerate=0.0)
+    return score.score_metrics(normed, cap=CAP)
 
 
 @query(f"""

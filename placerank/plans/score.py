@@ -131,21 +131,28 @@ def with_stability(df: DataFrame, stability: DataFrame, *, cell_id: str = "cell_
     return df.join(stability, cell_id, "left").withColumn("stability", F.coalesce(F.col("stability"), F.lit(0)))
 
 
-def score_cells(
+def gather_metrics(
     cells: DataFrame, clubs: DataFrame, prices: DataFrame, demand: DataFrame, *, cell_id: str = "cell_id",
-    accuracy: int = 1000, weights: Sequence[float] = fixed.WEIGHT_SETS["base"], cap: float = fixed.PRICE_CAP,
-    cut: bool = True,
+    accuracy: int = 1000, cut: bool = True,
 ) -> DataFrame:
-    """All sub-scores and the score of every cell within the price cap.
+    """Cells with everything the score needs: clubs around, demand index, price.
 
-    Three normalisations need the range of joined columns. They are taken in one pass, and with
-    ``cut`` the joins run once, their result being kept in the checkpoint folder.
+    The joins on the cell id come first and share one shuffle of the cells. With ``cut`` they run
+    once, their result being kept in the checkpoint folder; the normalisations then read single columns of it.
     """
     joined = competition_metrics(cells, clubs, cell_id=cell_id)
-    joined = join_prices(joined, prices, accuracy=accuracy)
     joined = join_demand(joined, demand, cell_id=cell_id, accuracy=accuracy)
-    if cut:
-        joined = cut_lineage(joined)
+    joined = join_prices(joined, prices, accuracy=accuracy)
+    return cut_lineage(joined) if cut else joined
+
+
+def score_metrics(
+    joined: DataFrame, weights: Sequence[float] = fixed.WEIGHT_SETS["base"], cap: float = fixed.PRICE_CAP
+) -> DataFrame:
+    """All sub-scores and the score of every cell within the price cap.
+
+    Competition and price are normalised over all cells, demand over those within the cap, in one pass.
+    """
     affordable = F.when(F.col("price_m2") <= cap, F.col("demand_index").cast("double"))
     ranged = with_stats(
         joined,
@@ -162,6 +169,16 @@ def score_cells(
     return composite(scored.drop("_stats"), weights)
 
 
+def score_cells(
+    cells: DataFrame, clubs: DataFrame, prices: DataFrame, demand: DataFrame, *, cell_id: str = "cell_id",
+    accuracy: int = 1000, weights: Sequence[float] = fixed.WEIGHT_SETS["base"], cap: float = fixed.PRICE_CAP,
+    cut: bool = True,
+) -> DataFrame:
+    """Score cells that carry access_score, income_score and target_share already."""
+    joined = gather_metrics(cells, clubs, prices, demand, cell_id=cell_id, accuracy=accuracy, cut=cut)
+    return score_metrics(joined, weights, cap)
+
+
 def top_cells(scored: DataFrame, k: int = fixed.TOP_CELLS, *, cell_id: str = "cell_id") -> DataFrame:
     return top_k(scored, [F.desc_nulls_last("score"), F.asc(cell_id)], k, rank="rank_score")
 
