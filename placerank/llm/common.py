@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from placerank.session import cut_lineage, new_path, shared_dir  # noqa: F401  (re-exported)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placerank.llm import exact, mixing, sharding
+from placerank.llm import exact, mixing, packing, sharding, simhash, warc
 from placerank.llm.common import LOWER, UPPER
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,13 @@ def query(sql: str | None = None):
     return register
 
 
+def tokenizer_file() -> str:
+    """Where the public vocabulary lies; installed on every executor with its package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -64,3 +71,28 @@ SELECT doc_id, size, source_size, target,
 FROM p""")
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.in_order(mixing.mix(table(spark, sf_dir, "documents"))).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file()).drop("row")
+
+
+@query()
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (
+  SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS h FROM p),
+b AS (  -- 5 hexadecimal digits are 20 bits, 4 characters of base32
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)), '') AS payload_digest FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = max(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> max(page_id) OVER w THEN max(page_id) OVER w END AS refers_to
+FROM b WINDOW w AS (PARTITION BY payload_digest)""")
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.roundtrip(table(spark, sf_dir, "pages"))
