@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placerank.llm import exact, mixing, packing, sharding, simhash, warc
+from placerank.llm import exact, mixing, packing, quality, sharding, simhash, vectors, warc
 from placerank.llm.common import LOWER, UPPER
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,22 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM b WINDOW w AS (PARTITION BY payload_digest)""")
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.roundtrip(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r(x, y) AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
+SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.x = e.vec_id) AS n_links,
+       least(e.vec_id, coalesce((SELECT min(y) FROM r WHERE r.x = e.vec_id), e.vec_id)) AS component_id,
+       e.vec_id <= coalesce((SELECT min(y) FROM r WHERE r.x = e.vec_id), e.vec_id) AS kept
+FROM embeddings e""")
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
