@@ -75,21 +75,28 @@ def token_ids(column: pa.Array, path: str, end: int = 1) -> tuple[np.ndarray, np
     # entries: distinct words with their space, then first words (without one) and whole texts, then the end id
     bounds = np.cumsum(np.asarray(pc.binary_length(flat.dictionary)).astype(np.int64) + 1)
     words = len(bounds)
-    word_ids = np.array(loaded.encode_batch_fast([" " + " ".join(flat.dictionary.to_pylist())], add_special_tokens=False)[0].ids if words else [], np.uint32)
+    word_ids = [np.zeros(0, np.uint32)]
+    for i in range(0, words, 4096):  # an encoding takes a hundred bytes a token, so not all at once
+        text = " " + " ".join(flat.dictionary.slice(i, 4096).to_pylist())
+        word_ids.append(np.array(loaded.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32))
+    word_ids = np.concatenate(word_ids)
     word_ends = np.searchsorted(np.cumsum(_byte_lengths(path)[word_ids]), bounds) + 1
     for i in whole:
         first[i] = column[i].as_py()
-    firsts = [e.ids for e in loaded.encode_batch_fast(first, add_special_tokens=False)] + [[end]]
+    firsts = [loaded.encode_batch_fast([t], add_special_tokens=False)[0].ids for t in first] + [[end]]
     lengths = np.concatenate([np.diff(word_ends, prepend=0), np.fromiter(map(len, firsts), np.int64, len(firsts))])
     values = np.concatenate([word_ids, np.fromiter((i for e in firsts for i in e), np.uint32)])
-    at = np.cumsum(lengths) - lengths
+    lengths = lengths.astype(np.int32)  # a chunk of texts has far fewer ids than 2**31
+    at = np.cumsum(lengths, dtype=np.int32) - lengths
     n = len(column)
     order[offsets[:-1]] = words + np.arange(n)
     order = np.insert(order, offsets[1:], len(lengths) - 1)
     many = lengths[order]
-    ends = np.cumsum(many)
-    ids = values[np.repeat(at[order] - (ends - many), many) + np.arange(int(ends[-1]) if len(ends) else 0)]
-    starts = np.concatenate([[0], ends[offsets[1:] + np.arange(n)]])
+    ends = np.cumsum(many, dtype=np.int32)
+    take = np.repeat(at[order] - (ends - many), many)
+    take += np.arange(len(take), dtype=np.int32)
+    ids = values[take]
+    starts = np.concatenate([[0], ends[offsets[1:] + np.arange(n)]]).astype(np.int64)
     return ids, starts
 
 
