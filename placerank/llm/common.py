@@ -26,7 +26,10 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
     held, size = [], 0
     for batch in batches:
         c = batch.column(column)
-        lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(c), 0)).astype(np.int64)
+        if pa.types.is_primitive(c.type):
+            lengths = np.zeros(batch.num_rows, np.int64)
+        else:
+            lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(c), 0)).astype(np.int64)
         start = 0
         for i, n in enumerate(lengths.tolist()):
             size += n + 16

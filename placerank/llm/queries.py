@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placerank.llm import exact, mixing, packing, quality, sharding, simhash, vectors, warc
+from placerank.llm import exact, mixing, packing, quality, sharding, simhash, substring, vectors, warc
 from placerank.llm.common import LOWER, UPPER
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,19 @@ SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.x = e.vec_id) AS n_links,
 FROM embeddings e""")
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(text, '[^\x20\x09-\x0D]+') END AS w FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS p, w FROM d WHERE len(w) >= 50),
+h AS (SELECT doc_id, p, sha256(array_to_string(w[p:p + 49], ' ')) AS k FROM s),
+m AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY k) AS first FROM h) WHERE first < doc_id),
+c AS (SELECT doc_id, list(DISTINCT q) AS gone FROM (SELECT doc_id, unnest(range(p, p + 50)) AS q FROM m) GROUP BY doc_id),
+k AS (SELECT d.doc_id, d.w, coalesce(c.gone, []) AS gone FROM d LEFT JOIN c USING (doc_id)),
+e AS (SELECT doc_id, q, w[q] AS t FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS q FROM k)),
+o AS (SELECT e.doc_id, array_to_string(list(e.t ORDER BY e.q), ' ') AS kept FROM e
+      ANTI JOIN (SELECT doc_id, unnest(gone) AS q FROM c) g ON e.doc_id = g.doc_id AND e.q = g.q GROUP BY e.doc_id)
+SELECT k.doc_id, len(k.w)::BIGINT AS n_words, len(k.gone)::BIGINT AS n_removed, sha256(coalesce(o.kept, '')) AS kept_sha256
+FROM k LEFT JOIN o USING (doc_id)""")
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
