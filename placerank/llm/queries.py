@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placerank.llm import exact, mixing, packing, quality, sharding, simhash, substring, vectors, warc
+from placerank.llm import exact, lm, mixing, packing, quality, sharding, simhash, substring, vectors, warc
 from placerank.llm.common import LOWER, UPPER
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,8 @@ SELECT k.doc_id, len(k.w)::BIGINT AS n_words, len(k.gone)::BIGINT AS n_removed,
 FROM k LEFT JOIN o USING (doc_id)""")
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_held_out(table(spark, sf_dir, "documents"))
