@@ -24,26 +24,26 @@ from pyspark.sql import DataFrame, functions as F
 from placerank.llm.common import chunks, crc32_mod, mix, spread, word_hashes, words
 
 BUCKETS, DIMENSIONS, NGRAMS = 1 << 18, 16, (3, 4)
+#: bytes of text scored at once
+CHUNK = 4 << 20
 SCORES = "doc_id long, held_out boolean, score double, predicted int"
 
 
 def ngram_buckets(entries: list[bytes], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(entry number, bucket) of each word's own feature and its n-grams, in the order of the entries."""
-    joined = np.frombuffer(b"".join(b"<" + e + b">" for e in entries), np.uint8).astype(np.uint64)
+    """(entry number, bucket) of each word's own feature and its n-grams."""
+    joined = np.frombuffer(b"".join(b"<" + e + b">" for e in entries), np.uint8)
     lengths = np.fromiter((len(e) + 2 for e in entries), np.int64, len(entries))
-    number = np.repeat(np.arange(len(entries)), lengths)
-    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(joined))  # bytes of the word from here on
+    number = np.repeat(np.arange(len(entries), dtype=np.int32), lengths)
+    left = np.repeat(np.cumsum(lengths, dtype=np.int32), lengths) - np.arange(len(joined), dtype=np.int32)  # bytes of the word from here on
     numbers, found = [np.arange(len(entries))], [hashes]
     for n in NGRAMS:
         at = np.flatnonzero(left >= n)
         gram = np.zeros(len(at), np.uint64)
         for i in range(n):
-            gram |= joined[at + i] << np.uint64(8 * i)
+            gram |= joined[at + i].astype(np.uint64) << np.uint64(8 * i)
         numbers.append(number[at])
         found.append(mix(gram + (np.uint64(n) << np.uint64(56))))
-    numbers, found = np.concatenate(numbers), np.concatenate(found) % np.uint64(BUCKETS)
-    order = np.argsort(numbers, kind="stable")
-    return numbers[order], found[order].astype(np.int64)
+    return np.concatenate(numbers), (np.concatenate(found) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 def pair_buckets(hashes: np.ndarray) -> np.ndarray:
@@ -116,30 +116,32 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, column: str = "q
     return train([(*features((r["text"] or "").encode()), r["label"]) for r in rows.toLocalIterator()])
 
 
+def scores(batch: pa.RecordBatch, table: np.ndarray, bias: float, column: str = "text") -> np.ndarray:
+    """Score of each row of a batch."""
+    encoded, starts = words(batch, column)
+    hashes, index = word_hashes(encoded)
+    number, bucket = ngram_buckets(encoded.dictionary.cast(pa.large_binary()).to_pylist(), hashes) if len(hashes) else (index, index)
+    own = np.bincount(number, table[bucket], len(hashes)) / np.maximum(1, np.bincount(number, minlength=len(hashes)))
+    per_word = own[index]
+    count = np.diff(starts)
+    full = np.flatnonzero(count)
+    first = starts[full]
+    if len(index) > 1:
+        per_word[1:] += table[pair_buckets(hashes[index])]
+        late = first[first > 0]  # a text's first word has no pair with the text before
+        per_word[late] -= table[_pairs_at(hashes, index, late)]
+    total = np.zeros(len(count))
+    if len(full):
+        total[full] = np.add.reduceat(per_word, first) / (2 * count[full] - 1)
+    return 1 / (1 + np.exp(-(total + bias)))
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0.3) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score, predicted."""
-    table, bias = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            encoded, starts = words(batch)
-            hashes, index = word_hashes(encoded)
-            number, bucket = ngram_buckets(encoded.dictionary.cast(pa.large_binary()).to_pylist(), hashes) if len(hashes) else (index, index)
-            own = np.bincount(number, table[bucket], len(hashes)) / np.maximum(1, np.bincount(number, minlength=len(hashes)))
-            per_word = own[index]
-            if len(index) > 1:
-                per_word[1:] += table[pair_buckets(hashes[index])]
-            count = np.diff(starts)
-            full = np.flatnonzero(count)
-            first = starts[full]
-            if len(index) > 1:  # a text's first word has no pair with the text before
-                late = first[first > 0]
-                per_word[late] -= table[_pairs_at(hashes, index, late)]
-            total = np.zeros(len(count))
-            if len(full):
-                total[full] = np.add.reduceat(per_word, first) / (2 * count[full] - 1)
-            z = total + bias
-            made = 1 / (1 + np.exp(-z))
+        for batch in chunks(batches, most=CHUNK):
+            made = scores(batch, *model)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(made, pa.float64()), pa.array((made >= threshold).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"],
@@ -150,6 +152,16 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0
     ).mapInArrow(run, SCORES)
 
 
+def accepted(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0.3) -> DataFrame:
+    """The rows of docs, with all columns, that score the threshold or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, most=CHUNK):
+            yield batch.filter(pa.array(scores(batch, *model) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _pairs_at(hashes: np.ndarray, index: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Buckets of the pairs that end at the given words."""
     with np.errstate(over="ignore"):
