@@ -42,7 +42,7 @@ ARC_FIELDS = {
     2: ["URL", "IP-address", "Archive-date", "Content-type", "Result-code", "Checksum", "Location", "Offset", "Filename", "Archive-length"],
 }
 REVISIT = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
-RECORDS = "page_id long, url string, ip string, date string, mime string, head binary, payload binary, payload_digest string"
+RECORDS = "page_id long, url string, ip string, date string, mime string, payload_bytes long, payload_digest string, member binary"
 READ = "page_id long, url string, record_id string, date string, record_type string, payload_bytes long, payload_digest string, refers_to_id string, payload binary"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # for URLs, as RFC 4122 lays down
 
@@ -96,14 +96,15 @@ def _files(df: DataFrame, base: str, ending: str, encode: Callable, opening: Cal
     return df.sparkSession.read.parquet(f"{base}/manifest")
 
 
-def _members(raw: bytes) -> Iterator[bytes]:
-    """The gzip members of a file, one after the other."""
+def _members(raw) -> Iterator[tuple[bytes, bytes]]:
+    """The gzip members of a file, one after the other: (content, the member itself)."""
     at = memoryview(raw)
     while len(at):
         unzip = zlib.decompressobj(31)
         data = unzip.decompress(at) + unzip.flush()
-        at = at[len(at) - len(unzip.unused_data):]
-        yield data
+        size = len(at) - len(unzip.unused_data)
+        yield data, bytes(at[:size])
+        at = at[size:]
 
 
 def _parsed(spark: SparkSession, base: str, ending: str, parse: Callable, schema: str) -> DataFrame:
@@ -159,36 +160,53 @@ def write_arc(pages: DataFrame, base: str, roll: int = 32 << 20) -> DataFrame:
     return _files(rows, base, "arc.gz", encode, lambda name, task: _arc_head(name, version(task)), roll)
 
 
+def _split(url: str, block: bytes) -> tuple[bytes, bytes]:
+    """(HTTP head with its empty line, payload); other protocols have no head."""
+    if not block.startswith(b"HTTP/") and not url.startswith(("http:", "https:")):
+        return b"", block
+    head, gap, payload = block.partition(b"\r\n\r\n")
+    return (head + gap, payload) if gap else (b"", block)
+
+
+def _arc_record(data: bytes, at: int, fields: list[str] | None) -> tuple[int, dict[str, str], bytes]:
+    """(where it ends, fields by name, block) of the record whose header line starts at `at`; fields None: URL alone."""
+    end = data.find(b"\n", at)
+    line = data[at:end if end >= 0 else len(data)].strip()
+    parts, at = line.decode("utf-8", "replace").split(" "), end + 1 if end >= 0 else len(data)
+    length = int(parts[-1])
+    block = data[at:at + length]
+    if len(block) < length:
+        raise ValueError(f"{length} bytes declared, {len(block)} found: {line[:200]!r}")
+    if fields is None or parts[0].startswith("filedesc:"):
+        return at + length, {"URL": parts[0]}, block
+    if len(parts) < len(fields):
+        raise ValueError(f"{len(fields)} fields expected: {line[:200]!r}")
+    # a url may hold spaces: it is what stands left of the other fields
+    cut = len(parts) - len(fields) + 1
+    return at + length, dict(zip(fields[1:], parts[cut:]), URL=" ".join(parts[:cut])), block
+
+
 def parse_arc(raw) -> Iterator[tuple]:
-    """Records of an ARC file (plain or of gzip members), without its own description."""
+    """Records of an ARC file (plain or of gzip members), without its own description.
+
+    member is the record as a gzip member, as it stands in the file or made here.
+    """
     fields = ARC_FIELDS[1]
-    whole = iter([bytes(raw)]) if bytes(raw[:2]) != b"\x1f\x8b" else _members(raw)
-    for data in whole:
+    for data, member in _members(raw) if bytes(raw[:2]) == b"\x1f\x8b" else [(bytes(raw), None)]:
         at = 0
         while at < len(data):
-            end = data.find(b"\n", at)
-            line = data[at:end if end >= 0 else len(data)].strip()
-            at = end + 1 if end >= 0 else len(data)
-            if not line:
+            if data[at:at + 1] in b"\r\n":
+                at += 1
                 continue
-            parts = line.decode("utf-8", "replace").split(" ")
-            length = int(parts[-1])
-            block = data[at:at + length]
-            if len(block) < length:
-                raise ValueError(f"{length} bytes declared, {len(block)} found: {line[:200]!r}")
-            at += length
-            if parts[0].startswith("filedesc:"):
+            end, named, block = _arc_record(data, at, fields)
+            if named["URL"].startswith("filedesc:"):
                 fields = ARC_FIELDS[int(block.split(b" ", 1)[0])]
-                continue
-            if len(parts) < len(fields):
-                raise ValueError(f"{len(fields)} fields expected: {line[:200]!r}")
-            # a url may hold spaces: it is what stands left of the other fields
-            named = dict(zip(fields[1:], parts[len(parts) - len(fields) + 1:]), URL=" ".join(parts[: len(parts) - len(fields) + 1]))
-            head, gap, payload = block.partition(b"\r\n\r\n")
-            if not named["URL"].startswith(("http:", "https:", "urn:none")) and not head.startswith(b"HTTP/"):
-                head, gap, payload = b"", b"", block
-            page_id = next((int(h[10:]) for h in head.split(b"\r\n") if h.lower().startswith(b"x-page-id:")), None)
-            yield page_id, named["URL"], named["IP-address"], named["Archive-date"], named["Content-type"], head + gap, payload, digest(payload)
+            else:
+                head, payload = _split(named["URL"], block)
+                page_id = next((int(h[10:]) for h in head.split(b"\r\n") if h.lower().startswith(b"x-page-id:")), None)
+                yield (page_id, named["URL"], named["IP-address"], named["Archive-date"], named["Content-type"], len(payload), digest(payload),
+                       member if member is not None else gzip.compress(data[at:end], 1, mtime=0))
+            at = end
 
 
 def read_arc(spark: SparkSession, base: str) -> DataFrame:
@@ -204,8 +222,8 @@ def warc_date(date: str) -> str:
 
 
 def encode_warc(row: dict) -> bytes:
-    """One WARC record of an ARC record; a revisit if row has winner and has_winner."""
-    head, payload = row["head"] or b"", row["payload"] or b""
+    """One WARC record of an ARC record; a revisit of winner if is_revisit."""
+    head, payload = _split(row["url"], _arc_record(gzip.decompress(row["member"]), 0, None)[2])
     block = head if row["is_revisit"] else head + payload
     kind = "revisit" if row["is_revisit"] else "response" if head else "resource"
     lines = [
@@ -230,17 +248,16 @@ def _warcinfo(name: str, task: int) -> bytes:
 
 def write_warc(records: DataFrame, base: str, min_bytes: int = 0, roll: int = 32 << 20) -> DataFrame:
     """ARC records as WARC files; the manifest. Payloads shorter than min_bytes are all responses."""
-    size = F.octet_length("payload").cast("long")
-    winners = records.filter(size >= min_bytes).groupBy("payload_digest").agg(F.max("page_id").alias("winner"))
-    revisit = F.col("winner").isNotNull() & ~F.col("winner").eqNullSafe(F.col("page_id")) & (size >= min_bytes)
-    joined = records.join(winners, "payload_digest", "left").withColumn("payload_bytes", size).withColumn("is_revisit", revisit)
-    return _files(joined.withColumn("payload", F.when(~F.col("is_revisit"), F.col("payload"))), base, "warc.gz", encode_warc, _warcinfo, roll)
+    long_enough = F.col("payload_bytes") >= min_bytes
+    winners = records.filter(long_enough).groupBy("payload_digest").agg(F.max("page_id").alias("winner"))
+    revisit = F.col("winner").isNotNull() & ~F.col("winner").eqNullSafe(F.col("page_id")) & long_enough
+    joined = records.join(winners, "payload_digest", "left").withColumn("is_revisit", revisit)
+    return _files(joined, base, "warc.gz", encode_warc, _warcinfo, roll)
 
 
 def parse_warc(raw) -> Iterator[tuple]:
     """Records of a WARC file, without warcinfo."""
-    whole = iter([bytes(raw)]) if bytes(raw[:2]) != b"\x1f\x8b" else _members(raw)
-    for data in whole:
+    for data, _ in _members(raw) if bytes(raw[:2]) == b"\x1f\x8b" else [(bytes(raw), None)]:
         stream = io.BytesIO(data)
         while line := stream.readline():
             if not line.startswith(b"WARC/"):
