@@ -44,6 +44,8 @@ ARC_FIELDS = {
 REVISIT = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 RECORDS = "page_id long, url string, ip string, date string, mime string, payload_bytes long, payload_digest string, member binary"
 READ = "page_id long, url string, record_id string, date string, record_type string, payload_bytes long, payload_digest string, refers_to_id string, payload binary"
+#: bytes of a file that are unpacked at once
+STEP = 8 << 10
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # for URLs, as RFC 4122 lays down
 
 
@@ -98,13 +100,15 @@ def _files(df: DataFrame, base: str, ending: str, encode: Callable, opening: Cal
 
 def _members(raw) -> Iterator[tuple[bytes, bytes]]:
     """The gzip members of a file, one after the other: (content, the member itself)."""
-    at = memoryview(raw)
-    while len(at):
-        unzip = zlib.decompressobj(31)
-        data = unzip.decompress(at) + unzip.flush()
-        size = len(at) - len(unzip.unused_data)
-        yield data, bytes(at[:size])
-        at = at[size:]
+    view, start = memoryview(raw), 0
+    while start < len(view):
+        unzip, parts, at = zlib.decompressobj(31), [], start
+        while not unzip.eof and at < len(view):  # in steps, as what follows a member is copied
+            parts.append(unzip.decompress(view[at:at + STEP]))
+            at += STEP
+        end = min(at, len(view)) - len(unzip.unused_data)
+        yield b"".join(parts), bytes(view[start:end])
+        start = end
 
 
 def _parsed(spark: SparkSession, base: str, ending: str, parse: Callable, schema: str) -> DataFrame:
