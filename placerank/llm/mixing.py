@@ -73,7 +73,7 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights=WEIGHTS,
     ]
     taken = sum(rounds[1:], rounds[0])
     everything = targets.agg(F.sum("target").alias("all_targets"), F.sum(F.col("target") * F.col("slope")).alias("all_slopes"))
-    u, a = F.col("before") / F.col("target"), F.col("slope")
+    u, a = F.try_divide("before", "target"), F.col("slope")
     # t + a(t*t - t) = u, the root within 0..1
     time = F.when(a == 0, u).otherwise((a - 1 + F.sqrt((1 - a) * (1 - a) + 4 * a * u)) / (2 * a))
     t = F.col("_time")
