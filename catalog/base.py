@@ -113,7 +113,7 @@ STOPS_SQL = f"stops AS (SELECT p_partkey AS osm_id, {spot_sql('p_partkey', STOP)
 
 
 def roads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F").select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("osm_id"),
         *[c.alias(f"{n}_center") for n, c in spot("o_orderkey", ROAD).items()],
     )
@@ -121,7 +121,7 @@ def roads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ROADS_SQL = (
     f"roads AS (SELECT o_orderkey AS osm_id, {spot_sql('o_orderkey', ROAD, 'lat_center', 'lon_center')} "
-    "FROM orders WHERE o_orderstatus = 'F')"
+    "FROM orders)"
 )
 
 
@@ -148,7 +148,7 @@ PRICES_SQL = SALES_SQL + """, prices AS (
 
 def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+        table(spark, sf_dir, "orders")
         .groupBy(F.col("o_custkey").alias("cell_id"))
         .agg(F.count("*").cast("int").alias("demand_index"))
     )
@@ -156,7 +156,7 @@ def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DEMAND_SQL = """demand AS (
   SELECT o_custkey AS cell_id, count(*)::INTEGER AS demand_index
-  FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey)"""
+  FROM orders GROUP BY o_custkey)"""
 
 # sketch size at which approximate quantiles are exact on the tables checked here
 ACCURACY = 1_000_000

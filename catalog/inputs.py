@@ -84,9 +84,9 @@ def partitioned_table(spark, d):
 def geojson_roundtrip(spark, d):
     path = new_path(spark, "geojson")
     df = cells(spark, d).withColumn("lon", F.when(F.col("income") > 1000, F.col("lon")))
-    writers.write_geojson(df, path, "lon", "lat", ["cell_id", "commune"], batch=100)
+    writers.write_geojson(df, path, "lon", "lat", ["cell_id", "commune"])
     properties = StructType([StructField("cell_id", LongType()), StructField("commune", StringType())])
-    return readers.read_geojson_points(spark, path, properties, multi_line=False)
+    return readers.read_geojson_points(spark, path, properties)
 
 
 def _nodes(spark, d):

@@ -19,7 +19,7 @@ from placerank.operators.sets import union_all
 from placerank.operators.spatial import match_cell
 from placerank.operators.stats import quantile_profile
 from placerank.sources.files import expand
-from placerank.sources.writers import file_sizes, with_geometry, write_csv_single, write_geojson, write_verified
+from placerank.sources.writers import file_sizes, with_geometry, write_csv_single, write_geojson_document, write_verified
 
 # Order and types of the cell export
 CELL_COLUMNS = [
@@ -96,8 +96,8 @@ def export_top(top: DataFrame, *, cell_id: str = "cell_id") -> DataFrame:
     return ranked.withColumns({"tier": tier("score"), "label": percent_label("commune", "score")})
 
 
-def write_top_geojson(top: DataFrame, path: str, zones: DataFrame | None = None) -> None:
-    """Top cells as GeoJSON, at the centre of their zone where there is one."""
+def write_top_geojson(top: DataFrame, path: str, zones: DataFrame | None = None, most: int = 10_000) -> None:
+    """At most ``most`` top cells as one GeoJSON document, at the centre of their zone where there is one."""
     geometry = None
     if zones is not None:
         geometry = zones.select("commune", F.col("lon_center").alias("geo_lon"), F.col("lat_center").alias("geo_lat"))
@@ -105,7 +105,7 @@ def write_top_geojson(top: DataFrame, path: str, zones: DataFrame | None = None)
     placed = with_geometry(
         top.withColumns({"_lon": F.col("lon"), "_lat": F.col("lat")}), geometry, "commune", "_lon", "_lat"
     )
-    write_geojson(placed.coalesce(1), path, "_lon", "_lat", properties)
+    write_geojson_document(placed, path, "_lon", "_lat", properties, most)
 
 
 def export_clubs(main: DataFrame, annex: DataFrame, cells: DataFrame) -> DataFrame:

@@ -75,28 +75,35 @@ def read_or_empty(
     return conform(spark.read.parquet(path), schema, aliases)
 
 
-def read_geojson_points(
-    spark: SparkSession, path: str, properties: StructType, multi_line: bool = True
-) -> DataFrame:
-    """FeatureCollections of points to rows: the properties, then lon and lat."""
-    feature = StructType(
+def _geojson_feature(properties: StructType) -> StructType:
+    return StructType(
         [
             StructField("properties", properties),
             StructField("geometry", StructType([StructField("coordinates", ArrayType(DoubleType()))])),
         ]
     )
-    schema = StructType([StructField("features", ArrayType(feature))])
-    return (
-        spark.read.schema(schema).option("multiLine", multi_line).json(path)
-        .select(F.explode("features").alias("f"))
-        .select(
-            "f.properties.*",
-            F.get("f.geometry.coordinates", 0).alias("lon"),
-            F.get("f.geometry.coordinates", 1).alias("lat"),
-        )
+
+
+def _geojson_rows(features: DataFrame) -> DataFrame:
+    return features.select(
+        "properties.*",
+        F.get("geometry.coordinates", 0).alias("lon"),
+        F.get("geometry.coordinates", 1).alias("lat"),
     )
 
 
+def read_geojson_points(spark: SparkSession, path: str, properties: StructType) -> DataFrame:
+    """Points, one Feature per line, to rows: the properties, then lon and lat."""
+    return _geojson_rows(spark.read.schema(_geojson_feature(properties)).json(path))
+
+
+def read_geojson_document(spark: SparkSession, path: str, properties: StructType) -> DataFrame:
+    """The points of files that are one FeatureCollection each, over any number of lines."""
+    schema = StructType([StructField("features", ArrayType(_geojson_feature(properties)))])
+    features = spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
+    return _geojson_rows(features.select("f.*"))
+
+
 def dim_region_departments(spark: SparkSession, mapping: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """(region, departments array)."""
     rows = list((mapping or fixed.REGION_DEPARTMENTS).items())

@@ -34,13 +34,14 @@ def write_verified(df: DataFrame, path: str, partition_by: str | Sequence[str] |
     return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
-def write_csv_single(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
-    """One CSV file with a header, for aggregates small enough for it.
+def write_csv_single(df: DataFrame, path: str) -> None:
+    """One CSV file with a header, through one task: for aggregates, which are small by construction."""
+    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
-    Above ``max_rows`` the rows are written as several files instead of through one task.
-    """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    (df.coalesce(1) if small else df).write.mode("overwrite").option("header", True).csv(path)
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV files with a header, one per task: for tables of any size."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def geojson_feature(lon: str | Column, lat: str | Column, properties: Sequence[str]) -> Column:
@@ -73,25 +74,20 @@ def with_geometry(df: DataFrame, geometry: DataFrame | None, on: str, lon: str,
     ).drop(*geo)
 
 
-def write_geojson(df: DataFrame, path: str, lon: str, lat: str, properties: Sequence[str],
-                  batch: int | None = None) -> None:
-    """FeatureCollections as text, one per line, each with as many features as an Arrow batch holds.
-
-    No task or driver holds more than a batch, whatever the table's size. A result below a batch in
-    one partition, such as a top-k report, is one ordinary GeoJSON document.
-    """
-    features = to_geojson_features(df, lon, lat, properties)
-
-    def wrap(batches: Iterator) -> Iterator:
-        import pandas as pd
+def write_geojson(df: DataFrame, path: str, lon: str, lat: str, properties: Sequence[str]) -> None:
+    """One GeoJSON Feature per line, whatever the table's size; read_geojson_points reads them back."""
+    to_geojson_features(df, lon, lat, properties).write.mode("overwrite").text(path)
 
-        for pdf in batches:
-            size = batch or max(len(pdf), 1)
-            for start in range(0, len(pdf), size):
-                body = ",".join(pdf["feature"].iloc[start:start + size])
-                yield pd.DataFrame({"value": ['{"type":"FeatureCollection","features":[' + body + "]}"]})
 
-    features.mapInPandas(wrap, "value string").write.mode("overwrite").text(path)
+def write_geojson_document(df: DataFrame, path: str, lon: str, lat: str, properties: Sequence[str], most: int) -> None:
+    """One FeatureCollection for a top-k report of at most ``most`` rows; more rows are an error, none is left out."""
+    few = df.limit(most + 1).agg(F.count("*").alias("n"))
+    body = to_geojson_features(df.limit(most + 1), lon, lat, properties).agg(
+        F.concat(F.lit('{"type":"FeatureCollection","features":['), F.concat_ws(",", F.collect_list("feature")), F.lit("]}")).alias("value")
+    )
+    if few.first()[0] > most:
+        raise ValueError(f"more than {most} rows for one document")
+    body.coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_profile(df: DataFrame, path: str) -> None:
