@@ -3,25 +3,40 @@
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet
 and read again as the next stage's docs. All but the last return the columns of documents.
 
-Null doc_ids, texts and sources, repeated rows, extra columns and an empty table are handled as the operators say. Stages pick rows by doc_id
-and text, never by a column that a document may bring along.
+Null doc_ids, texts and sources, repeated rows and an empty table are handled as the operators say. A document travels whole in one struct
+column, so extra columns of any name pass through unchanged.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from placerank.llm import exact, mixing, packing, quality, simhash
-from placerank.llm.common import new_path
+from placerank.llm.common import LOWER, UPPER, new_path
 from placerank.llm.queries import table, tokenizer_file
 
 
-def _chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of docs whose doc_id is in `ids` (column doc_id), each doc_id and text once. Null ids match each other."""
-    key = "_pipeline_key"  # on both sides a column, so that the join and the aggregation share one shuffle
-    wanted = ids.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(key)).distinct()
-    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return keyed.join(wanted, key, "left_semi").dropDuplicates([key, "text"]).drop(key)
+def _whole(docs: DataFrame) -> DataFrame:
+    """docs as one struct column `doc`, so that no column of docs can clash with a name used here; beside it the id as text, '' for null."""
+    return docs.select(F.struct("*").alias("doc"), _id_text(F.col("doc_id")).alias("id"))
+
+
+def _id_text(column: Column) -> Column:
+    """Equal for equal ids and for nulls: an ordinary key, so that a join and an aggregation share one shuffle."""
+    return F.coalesce(column.cast("long").cast("string"), F.lit(""))
+
+
+def _digest(folded: bool) -> Column:
+    """SHA-256 of the text of `doc`, null as empty; if asked for with A-Z lower-cased."""
+    text = F.coalesce(F.col("doc.text").cast("string"), F.lit(""))
+    return F.sha2((F.translate(text, UPPER, LOWER) if folded else text).cast("binary"), 256)
+
+
+def _once(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The documents of rows (doc, id, digest), one per id and digest: that whose text and other columns hash lowest, so reruns agree."""
+    rest = F.to_json(F.struct(*[F.col("doc")[c] for c in docs.columns if c != "text"]))
+    tie = F.struct(F.xxhash64(F.col("doc.text")), F.xxhash64(rest))
+    return rows.groupBy("id", "digest").agg(F.min_by("doc", tie).alias("doc")).select("doc.*")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,26 +45,36 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept document of each group of equal texts, once."""
-    return _chosen(docs, exact.exact_dedup(docs).filter("kept").select("doc_id"))
+    """The kept row of each group of equal texts, once.
+
+    Rows are chosen by doc_id and digest: a kept doc_id that comes with another text too does not bring that text back.
+    """
+    kept = exact.exact_dedup(docs).filter("kept").select(_id_text(F.col("doc_id")).alias("id"), F.col("text_sha256").alias("digest"))
+    return _once(_whole(docs).withColumn("digest", _digest(True)).join(kept, ["id", "digest"], "left_semi"), docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    return _chosen(docs, simhash.near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"))
+    """The document with the smallest id of each group of near copies, each doc_id and text once.
+
+    Different texts under one doc_id, or without any, stay or go together.
+    """
+    near = simhash.near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = near.select(_id_text(F.col("doc_id")).alias("id")).distinct()
+    return _once(_whole(docs).join(kept, "id", "left_semi").withColumn("digest", _digest(False)), docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix goes through it, in training order; those it takes nothing of go."""
-    mixed = mixing.mix(docs).filter("taken > 0")
-    times = mixed.groupBy(F.col("doc_id").alias("mix_id")).agg(
-        F.min("position").alias("mix_position"), F.max(F.size(F.filter("takes", lambda t: t > 0))).alias("mix_times")
+    """Each document as often as the mix goes through it, in training order; those it takes nothing of go.
+
+    Rows that share a doc_id are repeated alike, by the most that the mix takes of one of them.
+    """
+    times = mixing.mix(docs).filter("taken > 0").groupBy(_id_text(F.col("doc_id")).alias("id")).agg(
+        F.min("position").alias("position"), F.max(F.size(F.filter("takes", lambda t: t > 0))).alias("times")
     )
+    order = ["position", "round", "id"]
     return (
-        docs.join(times, docs["doc_id"].eqNullSafe(F.col("mix_id")))
-        .withColumn("mix_round", F.explode(F.sequence(F.lit(1), F.col("mix_times"))))
-        .repartitionByRange("mix_position", "mix_round", "mix_id").sortWithinPartitions("mix_position", "mix_round", "mix_id")
-        .drop("mix_id", "mix_position", "mix_times", "mix_round")
+        _whole(docs).join(times, "id").withColumn("round", F.explode(F.sequence(F.lit(1), F.col("times"))))
+        .repartitionByRange(*order).sortWithinPartitions(*order).select("doc.*")
     )
 
 

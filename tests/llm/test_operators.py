@@ -247,17 +247,111 @@ def test_substring(docs, none):
     assert substring.remove_repeats(none).count() == 0
 
 
+def test_stages(spark, docs, none):
+    """Each stage on nulls, empty and repeated rows, an empty table and clashing columns, against plain Python."""
+    sf = "/root/testdata/sf0.001"
+    clash = {"id": "1L", "doc": "'x'", "digest": "'x'", "position": "2L", "round": "3", "times": "4", "taken": "5L", "key": "6", "fp": "7L", "tags": "map('a', 1)"}
+    wide = docs.selectExpr(*docs.columns, *[f"{v} AS {k}" for k, v in clash.items()])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, wide, sf).schema.names == wide.schema.names
+        assert stage(spark, none, sf).collect() == []
+    assert corpus_pipeline.packing_stage(spark, none, sf).collect() == []
+
+    kept = collections.defaultdict(set)
+    for i, t, _ in ROWS:
+        kept[folded(t)].add(i)
+    want = {(max((i for i in ids if i is not None), default=None), t) for t, ids in kept.items()}
+    got = [(r.doc_id, folded(r.text)) for r in corpus_pipeline.exact_stage(spark, wide, sf).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    one_id = spark.createDataFrame([(5, "a b", None), (5, "c d", None), (9, "A B", None)], "doc_id long, text string, source string")
+    assert sorted((r.doc_id, r.text) for r in corpus_pipeline.exact_stage(spark, one_id, sf).collect()) == [(5, "c d"), (9, "A B")]
+
+    near = simhash.near_duplicates(docs).collect()
+    stay = {r.doc_id for r in near if r.doc_id == r.component_id}
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_stage(spark, wide, sf).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(i, t) for i, t, _ in ROWS if i in stay}
+
+    most = collections.Counter()
+    for r in mixing.mix(docs).collect():
+        most[r.doc_id] = max(most[r.doc_id], sum(t > 0 for t in r.takes))
+    got = collections.Counter((r.doc_id, r.text) for r in corpus_pipeline.mixing_stage(spark, wide, sf).collect())
+    want = collections.Counter()
+    for i, t, _ in ROWS:
+        want[i, t] += most[i]
+    assert got == +want
+
+
 def test_pipeline(spark):
+    """run() against the whole pipeline in plain Python."""
+    import regex
+    import xxhash
+
+    from placerank.llm.queries import table
+
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact", "near", "mixing", "packing"]
     sf = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    kept = corpus_pipeline.exact_stage(spark, docs, sf).collect()
-    groups = {}
-    for r in docs.collect():
-        groups[folded(r.text)] = max(groups.get(folded(r.text), r.doc_id), r.doc_id)
-    assert sorted(r.doc_id for r in kept) == sorted(groups.values())
-    near = corpus_pipeline.near_stage(spark, docs, sf)
-    assert near.columns == docs.columns
-    mixed = corpus_pipeline.mixing_stage(spark, docs, sf)
-    assert mixed.columns == docs.columns and 0 < mixed.count() <= 2 * docs.count()
-    assert corpus_pipeline.run(spark, sf).count() > 0
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model, bias = quality.fit(docs, labels)
+    rows = []
+    for r in docs.collect():  # 2: the features of one text at a time, not of a chunk
+        bucket, weight = quality.features((r.text or "").encode())
+        if 1 / (1 + np.exp(-(float(weight @ model[bucket]) + bias))) >= 0.3:
+            rows.append(r)
+    best = {}
+    for r in rows:  # 5
+        k = folded(r.text)
+        if k not in best or r.doc_id > best[k].doc_id:
+            best[k] = r
+    rows = sorted(best.values(), key=lambda r: r.doc_id)
+    fps = []
+    for r in rows:  # 6
+        w = folded(r.text).split()
+        h = [xxhash.xxh64_intdigest(b" ".join(w[i:i + 4]), 42) for i in range(max(1, len(w) - 3))] if w else []
+        fps.append(sum(1 << b for b in range(64) if h and 2 * sum(x >> b & 1 for x in h) > len(h)))
+    least = list(range(len(rows)))
+    while True:
+        new = [min(least[j] for j, g in enumerate(fps) if (f ^ g).bit_count() <= 4) for f in fps]
+        if new == least:
+            break
+        least = new
+    rows = [r for i, r in enumerate(rows) if least[i] == i]
+    sizes, by_source = {}, collections.defaultdict(list)
+    for r in rows:  # 9
+        sizes[r.doc_id] = len(regex.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+        by_source[r.source].append(r)
+    names = sorted(by_source, key=lambda s: (s is None, s or ""))
+    weights, totals = dict(zip(names, [5, 2, 1] * len(names))), {s: sum(sizes[r.doc_id] for r in by_source[s]) for s in names}
+    full = set()
+    while True:
+        open_weight = sum(w for s, w in weights.items() if s not in full)
+        level = (1.5 * sum(totals.values()) - sum(2 * totals[s] for s in full)) / open_weight if open_weight else 0
+        more = {s for s in names if s not in full and weights[s] * level > 2 * totals[s]}
+        if not more:
+            break
+        full |= more
+    times = collections.Counter()
+    for s in names:
+        goal = round(2 * totals[s] if s in full else weights[s] * level)
+        for start in (0, totals[s]):
+            before = start
+            for r in sorted(by_source[s], key=lambda r: (hashlib.md5(str(r.doc_id).encode()).hexdigest()[:13], r.doc_id)):
+                times[r.doc_id] += before < goal and sizes[r.doc_id] > 0
+                before += sizes[r.doc_id]
+    encode = packing.tokenizer(FILE).encode  # 3
+    want = collections.Counter()
+    for r in rows:
+        ids = encode(r.text or "", add_special_tokens=False).ids + [1]
+        for a in range(0, len(ids), 2048):
+            part = np.array(ids[a:a + 2048], "<u4")
+            want[r.doc_id, a, len(part), zlib.crc32(part.tobytes()), len(ids)] += times[r.doc_id]
+    got = corpus_pipeline.run(spark, sf).collect()
+    assert collections.Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in got) == +want
+    spans = collections.defaultdict(list)
+    for r in got:
+        spans[r.sequence_id].append((r.offset, r.length))
+    for s in spans.values():
+        end = 0
+        for offset, length in sorted(s):
+            assert offset == end
+            end += length
+        assert end <= 2048
