@@ -6,7 +6,7 @@ from pyspark.sql.types import (
 )
 
 from catalog.base import (
-    ACCURACY, CELL, CELLS_SQL, PRICES_SQL, ROAD, STOP, cells, query, sales, spot, spot_sql, table,
+    ACCURACY, CELL, CELLS_SQL, PRICES_SQL, ROAD, STOP, WHOLE, cells, query, sales, spot, spot_sql, table,
 )
 from catalog.grouping import _values
 from placerank import fixed
@@ -172,7 +172,7 @@ def table_profile(spark, d):
     writers.write_table(orders, f"{path}/orders")
     profile = exports.table_profile(
         spark, {"orders": f"{path}/orders", "missing": f"{path}/missing"}, orders, score="o_totalprice",
-        tops={"top5": (orders, "o_orderkey", "o_totalprice")}, accuracy=ACCURACY,
+        tops={"top5": (orders, "o_orderkey", "o_totalprice")}, accuracy=WHOLE,
     )
     writers.write_profile(profile, f"{path}/metadata")
     back = spark.read.schema(profile.schema).json(f"{path}/metadata")
@@ -200,8 +200,35 @@ def price_plan(spark, d):
         F.when(F.col("l_returnflag") == "N", F.lit(prices.SALE_KIND)).otherwise(F.lit("Maison")).alias("Type local"),
         comma(F.col("l_quantity") * 10).alias("Surface reelle bati"), F.col("l_tax").alias("Autre"),
     )
-    loaded, has_gps = prices.load_sales(spark, f"{_write_csv(raw, '|')}/*.csv")
-    return prices.price_by_commune(prices.clean_sales(loaded, has_gps), ACCURACY)
+    loaded = prices.load_sales(spark, f"{_write_csv(raw, '|')}/*.csv")
+    return prices.price_by_commune(prices.clean_sales(loaded), ACCURACY)
+
+
+@query(f"""
+WITH s AS (SELECT lpad(s_nationkey::VARCHAR, 2, '0') AS department, lpad((l_partkey % 7)::VARCHAR, 3, '0') AS commune,
+  l_extendedprice AS value, l_quantity * 10 AS surface FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+  WHERE l_returnflag = 'N' OR l_linenumber % 2 = 0),
+k AS (SELECT * FROM s WHERE surface > 200)
+SELECT department, commune, quantile_disc(value / surface, 0.5) AS price_m2, count(*) AS n_sales FROM k GROUP BY ALL""")
+def price_vintages(spark, d):
+    """Two vintages in one folder: the older without coordinates, the newer with some outside the country and another order of columns."""
+    def comma(c):
+        return F.translate(c.cast("string"), ".", ",")
+
+    lines = table(spark, d, "lineitem").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    older = {
+        "Date mutation": F.col("l_shipdate").cast("string"), "Valeur fonciere": comma(F.col("l_extendedprice")), "Code postal": F.lit("00000"),
+        "Code departement": F.lpad(F.col("s_nationkey").cast("string"), 2, "0"),
+        "Code commune": F.lpad((F.col("l_partkey") % 7).cast("string"), 3, "0"), "Type local": F.lit(prices.SALE_KIND),
+        "Surface reelle bati": comma(F.col("l_quantity") * 10),
+    }
+    here = F.col("l_linenumber") % 2 == 0
+    newer = {"Longitude": F.when(here, "2,5").otherwise("-60,5"), "Latitude": F.when(here, "46,5").otherwise("5,5"), **older}
+    path = new_path(spark, "vintages")
+    for name, columns, rows in (("2020", older, lines.filter("l_returnflag = 'N'")), ("2021", newer, lines.filter("l_returnflag <> 'N'"))):
+        rows.select(*[c.alias(n) for n, c in columns.items()]).repartition(2).write.options(header=True, sep="|").csv(f"{path}/{name}")
+    loaded = prices.load_sales(spark, f"{path}/*/*.csv")
+    return prices.price_by_commune(prices.clean_sales(loaded), ACCURACY)
 
 
 @query("""

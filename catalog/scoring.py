@@ -213,8 +213,11 @@ def export_top(spark, d):
 EXPORT_SQL = f"""{SENSITIVITY_SQL},
 ex AS (SELECT s.cell_id, s.commune, s.department, s.lat, s.lon, s.score::FLOAT::DOUBLE AS score,
   s.competition_score::FLOAT::DOUBLE AS competition_score, s.access_score::FLOAT::DOUBLE AS access_score,
-  s.stability::SMALLINT AS stability, s.demand_index, s.n_clubs::SMALLINT AS n_clubs, s.price_m2::FLOAT::DOUBLE AS price_m2,
-  coalesce(p.n_sales, -1)::INTEGER AS n_sales, m.c_nationkey::DOUBLE AS ind, m.c_acctbal::FLOAT::DOUBLE AS ind_snv, s.n_stops::INTEGER AS n_stops,
+  s.property_score::FLOAT::DOUBLE AS property_score, s.income_score::FLOAT::DOUBLE AS income_score, s.target_share::FLOAT::DOUBLE AS target_share,
+  s.club_km::FLOAT::DOUBLE AS club_km, s.road_km::FLOAT::DOUBLE AS road_km, (m.c_custkey % 11)::FLOAT AS men_pauv, (m.c_custkey % 7)::FLOAT AS ind_18_24,
+  (m.c_custkey % 13)::FLOAT AS ind_25_39, CASE WHEN m.c_custkey % 5 <> 1 THEN m.c_custkey % 5 ELSE 0 END::FLOAT AS i_pauv,
+  s.stability::SMALLINT AS stability, s.demand_index::FLOAT AS demand_index, s.n_clubs::INTEGER AS n_clubs, s.price_m2::FLOAT::DOUBLE AS price_m2,
+  coalesce(p.n_sales, -1)::INTEGER AS n_sales, m.c_nationkey::DOUBLE AS ind, m.c_acctbal::FLOAT::DOUBLE AS ind_snv, s.n_stops::FLOAT AS n_stops,
   CASE WHEN s.score > 0.8 THEN 'A+' WHEN s.score > 0.7 THEN 'A' WHEN s.score > 0.6 THEN 'B' WHEN s.score > 0.5 THEN 'C' ELSE 'D' END AS grade,
   CASE WHEN s.n_clubs = 0 THEN 'Zone blanche' WHEN s.n_clubs <= 2 THEN 'Faible' WHEN s.n_clubs <= 5 THEN 'Concurrentiel' ELSE 'Sature' END AS competition_label,
   (m.c_nationkey * 25)::INTEGER AS population
@@ -224,23 +227,25 @@ ex AS (SELECT s.cell_id, s.commune, s.department, s.lat, s.lon, s.score::FLOAT::
 
 def exported(spark, d):
     census = table(spark, d, "customer").select(
-        F.col("c_custkey").alias("cell_id"), F.col("c_nationkey").cast("double").alias("Ind"), F.col("c_acctbal").alias("Ind_snv")
+        F.col("c_custkey").alias("cell_id"), F.col("c_nationkey").cast("double").alias("Ind"), F.col("c_acctbal").alias("Ind_snv"),
+        (F.col("c_custkey") % 11).alias("Men_pauv"), (F.col("c_custkey") % 7).alias("Ind_18_24"), (F.col("c_custkey") % 13).alias("Ind_25_39"),
+        F.when(F.col("c_custkey") % 5 != 1, F.col("c_custkey") % 5).cast("double").alias("I_pauv"),
     )
     return exports.export_cells(stable(spark, d), _prices(spark, d), census)
 
 
+# float32 columns, rounded as doubles well above their precision
+EXPORT_DIGITS = {
+    **dict.fromkeys(["score", "competition_score", "access_score", "property_score", "income_score", "target_share"], 4),
+    **dict.fromkeys(["club_km", "road_km"], 3), **dict.fromkeys(["price_m2", "ind_snv"], 2), "lat": 6, "lon": 6,
+}
+
+
 @query(f"""
-WITH {EXPORT_SQL} SELECT cell_id, commune, department, round(score, 4) AS score, round(competition_score, 4) AS competition_score,
-  round(price_m2, 2) AS price_m2, stability, demand_index, n_clubs, n_sales, ind::FLOAT AS ind, n_stops, grade, competition_label, population FROM ex""")
+WITH {EXPORT_SQL} SELECT cell_id, commune, department, {", ".join(f"round({c}, {n}) AS {c}" for c, n in EXPORT_DIGITS.items())},
+  stability, demand_index, n_clubs, n_sales, ind::FLOAT AS ind, men_pauv, ind_18_24, ind_25_39, i_pauv, n_stops, grade, competition_label, population FROM ex""")
 def export_cells(spark, d):
-    out = exported(spark, d).select(
-        "cell_id", "commune", "department", "score", "competition_score", "price_m2", "stability", "demand_index",
-        "n_clubs", "n_sales", "ind", "n_stops", "grade", "competition_label", "population",
-    )
-    # float32 columns, rounded as doubles well above their precision
-    return out.withColumns({
-        c: F.round(F.col(c).cast("double"), n) for c, n in {"score": 4, "competition_score": 4, "price_m2": 2}.items()
-    })
+    return exported(spark, d).withColumns({c: F.round(F.col(c).cast("double"), n) for c, n in EXPORT_DIGITS.items()})
 
 
 @query(f"""

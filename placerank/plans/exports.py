@@ -21,7 +21,7 @@ from placerank.operators.stats import quantile_profile
 from placerank.sources.files import expand
 from placerank.sources.writers import file_sizes, with_geometry, write_csv_single, write_geojson_document, write_verified
 
-# Order and types of the cell export
+# Order and classes of the cell export. Counts stay int where the original has 16 bits: none is lost.
 CELL_COLUMNS = [
     "cell_id", "commune", "department", "lat", "lon", "score", "competition_score", "access_score",
     "property_score", "income_score", "stability", "target_share", "demand_index", "club_km", "n_clubs",
@@ -30,10 +30,10 @@ CELL_COLUMNS = [
 ]
 CELL_FLOATS = [
     "score", "competition_score", "access_score", "property_score", "income_score", "target_share",
-    "club_km", "price_m2", "ind", "ind_snv", "men_pauv", "ind_18_24", "ind_25_39", "i_pauv", "road_km",
+    "demand_index", "club_km", "price_m2", "ind", "ind_snv", "men_pauv", "ind_18_24", "ind_25_39", "i_pauv", "n_stops", "road_km",
 ]
-CELL_SHORTS = ["n_clubs", "stability"]
-CELL_INTS = ["demand_index", "n_sales", "n_stops", "population"]
+CELL_SHORTS = ["stability"]
+CELL_INTS = ["n_clubs", "n_sales", "population"]
 AVERAGED = [
     "score", "competition_score", "access_score", "property_score", "income_score", "target_share",
     "demand_index", "stability",
@@ -62,9 +62,10 @@ def export_cells(
     )
     df = select_existing(df, CELL_COLUMNS)
     have = set(df.columns)
-    df = narrow(df, {t: [c for c in cols if c in have] for t, cols in
-                     {"float": CELL_FLOATS, "smallint": CELL_SHORTS, "int": CELL_INTS}.items()})
-    return fill_by_class(df, doubles=CELL_FLOATS, ints=CELL_SHORTS + CELL_INTS, strings=["commune", "department"])
+    # filled before the types shrink: what does not fit must not pass for a missing value
+    df = fill_by_class(df, doubles=CELL_FLOATS, ints=CELL_SHORTS + CELL_INTS, strings=["commune", "department"])
+    return narrow(df, {t: [c for c in cols if c in have] for t, cols in
+                       {"float": CELL_FLOATS, "smallint": CELL_SHORTS, "int": CELL_INTS}.items()})
 
 
 def export_communes(cells: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from placerank import fixed
 from placerank.functions.geo import in_bbox
 from placerank.functions.scores import safe_ratio
 from placerank.functions.text import decimal_comma
-from placerank.operators.clean import filter_if, with_missing
+from placerank.operators.clean import with_missing
 from placerank.operators.stats import median_by
 from placerank.sources.readers import read_delimited
 
@@ -23,15 +23,15 @@ SALE_KIND = "Local industriel. commercial ou assimilé"
 MIN_SURFACE = 200.0
 
 
-def load_sales(spark: SparkSession, patterns: str | Sequence[str]) -> tuple[DataFrame, bool]:
-    """The sales columns as strings; the flag tells whether the files have coordinates."""
-    raw = read_delimited(spark, patterns, sep="|")
-    raw, has_gps = with_missing(raw, {"Longitude": "string", "Latitude": "string"})
-    return raw.select(*SALE_COLUMNS), has_gps
+def load_sales(spark: SparkSession, patterns: str | Sequence[str]) -> DataFrame:
+    """The sales columns as strings, and has_gps: whether the row's file has coordinates. Vintages may have different headers."""
+    raw = read_delimited(spark, patterns, sep="|", columns=SALE_COLUMNS, present={"has_gps": ["Longitude", "Latitude"]})
+    raw, _ = with_missing(raw, {"Longitude": "string", "Latitude": "string"})
+    return raw.select(*SALE_COLUMNS, "has_gps")
 
 
-def clean_sales(raw: DataFrame, has_gps: bool, kind: str = SALE_KIND, min_surface: float = MIN_SURFACE) -> DataFrame:
-    """Typed sales of the wanted kind, above the surface, within the country, with a price per m2."""
+def clean_sales(raw: DataFrame, kind: str = SALE_KIND, min_surface: float = MIN_SURFACE) -> DataFrame:
+    """Typed sales of the wanted kind, above the surface, with a price per m2; within the country where the file has coordinates."""
     typed = raw.filter(F.col("Type local") == kind).select(
         F.col("Date mutation").alias("sale_date"),
         F.col("Code postal").alias("postal_code"),
@@ -41,9 +41,10 @@ def clean_sales(raw: DataFrame, has_gps: bool, kind: str = SALE_KIND, min_surfac
         decimal_comma("Surface reelle bati").alias("surface"),
         decimal_comma("Longitude").alias("lon"),
         decimal_comma("Latitude").alias("lat"),
+        "has_gps",
     )
     kept = typed.filter((F.col("value") > 0) & (F.col("surface") > min_surface))
-    kept = filter_if(kept, has_gps, in_bbox("lat", "lon", fixed.BBOX_STRICT))
+    kept = kept.filter(~F.col("has_gps") | in_bbox("lat", "lon", fixed.BBOX_STRICT)).drop("has_gps")
     return kept.withColumn("price_m2", safe_ratio("value", "surface"))
 
 

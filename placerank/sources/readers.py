@@ -9,6 +9,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, St
 
 from placerank import fixed
 from placerank.operators.clean import conform
+from placerank.operators.sets import union_all
 from placerank.sources.files import exists, expand
 
 
@@ -25,22 +26,34 @@ def header_columns(spark: SparkSession, path: str, sep: str | None = None, encod
 def read_delimited(
     spark: SparkSession, patterns: str | Sequence[str], sep: str | None = None,
     columns: Sequence[str] | None = None, encoding: str = "UTF-8",
+    present: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Delimited files as strings. The columns come from the first file's header.
+    """Delimited files as strings, whose headers may differ from file to file.
 
-    Files with another header raise rather than shift columns (``enforceSchema`` is off).
+    Files of one header are read together and the groups are united by name; a column that a file lacks is null in its
+    rows. ``present`` adds flags: name -> columns, true in the rows of files that have all of them. Only the first line of
+    each file is read beforehand.
     """
     paths = expand(spark, patterns)
     if not paths:
         raise FileNotFoundError(f"no file matches {patterns}")
-    names, sep = header_columns(spark, paths[0], sep, encoding)
-    schema = StructType([StructField(n, StringType(), True) for n in names])
-    df = (
-        spark.read.schema(schema)
-        .options(header=True, sep=sep, encoding=encoding, enforceSchema=False)
-        .csv(paths)
-    )
-    return df.select(*[F.col(f"`{c}`") for c in columns if c in names]) if columns else df
+    groups: dict[tuple, list[str]] = {}
+    for path in paths:
+        names, found = header_columns(spark, path, sep, encoding)
+        groups.setdefault((found, *names), []).append(path)
+
+    def group(key: tuple, files: list[str]) -> DataFrame:
+        schema = StructType([StructField(n, StringType(), True) for n in key[1:]])
+        options = dict(header=True, sep=key[0], encoding=encoding, enforceSchema=False)
+        flags = {name: F.lit(set(needed) <= set(key[1:])) for name, needed in (present or {}).items()}
+        df = spark.read.schema(schema).options(**options).csv(files)
+        # its own columns first, so that the scan reads no others
+        df = df.select(*[F.col(f"`{c}`") for c in columns if c in key[1:]]) if columns else df
+        return df.withColumns(flags) if flags else df
+
+    out = union_all([group(key, files) for key, files in groups.items()])
+    order = [c for c in columns if c in out.columns] + list(present or {}) if columns else out.columns
+    return out.select(*[F.col(f"`{c}`") for c in order])
 
 
 def read_typed_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str, sep: str = ",") -> DataFrame:
