@@ -116,6 +116,20 @@ def _with_bucket(points: DataFrame, point_id: str, lat: str, lon: str, deg: floa
     )
 
 
+def _in_blocks(points: DataFrame, near: DataFrame, point: list[str], keys: list[str], block: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a block number to join on besides the keys, so that a crowded bucket becomes many tasks.
+
+    The points of a bucket are dealt to blocks of about ``block`` and its places go to each of them: every point still meets every
+    place once. A bucket with fewer points stays one block and nothing is copied.
+    """
+    blocks = points.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
+    dealt = points.join(blocks, keys).withColumn(
+        "_block", F.pmod(F.xxhash64(*point), F.col("_blocks")).cast("int")
+    ).drop("_blocks")
+    copied = near.join(blocks, keys).withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks")
+    return dealt, copied
+
+
 def proximity_metrics(
     points: DataFrame, places: DataFrame, *, point_id: str, deg: float, span: int | None = None,
     radius_km: float | None = None, exact: bool = False,
@@ -279,13 +293,14 @@ def competition_pressure(
     intensity: tuple[float, float], lat: str = "lat", lon: str = "lon", size: str = "courts",
     radius_km: float = fixed.IMPACT_RADIUS_KM, exponent: float = fixed.IMPACT_EXPONENT,
     deg: float = fixed.IMPACT_GRID_DEG, cap: float = fixed.PRESSURE_MAX,
-    pressure: str = "pressure", nearest: str = "nearest_km",
+    pressure: str = "pressure", nearest: str = "nearest_km", block: int = 2048,
 ) -> DataFrame:
     """Sum over competitors within the radius of (1 - d/radius)^exponent * intensity, and the nearest one.
 
     A competitor never presses on the target with its own id. Both sides are merged by position
     first; a target's own share, which sits at distance 0 with factor 1, is taken off afterwards.
-    Pairs of positions are aggregated where they arise and never shuffled.
+    Pairs of positions are aggregated where they arise and never shuffled. The targets of a crowded bucket
+    are dealt to blocks of about ``block``, so that one city is many tasks.
     """
     base, slope = intensity
     load = base + size_factor(size) * slope
@@ -300,8 +315,11 @@ def competition_pressure(
     spots = _located(targets, lat, lon).select(F.col(lat).alias("_plat"), F.col(lon).alias("_plon")).distinct()
     t_lat_b, t_lon_b = grid_key("_plat", "_plon", deg)
     here = (F.col("_plat") == F.col("_lat")) & (F.col("_plon") == F.col("_lon"))
+    dealt, copied = _in_blocks(
+        spots.withColumns({"lat_b": t_lat_b, "lon_b": t_lon_b}), near, ["_plat", "_plon"], ["lat_b", "lon_b"], block
+    )
     pairs = (
-        spots.withColumns({"lat_b": t_lat_b, "lon_b": t_lon_b}).join(near, ["lat_b", "lon_b"])
+        dealt.join(copied, ["lat_b", "lon_b", "_block"])
         .withColumn("_d", haversine_km("_plat", "_plon", "_lat", "_lon")).filter(F.col("_d") <= radius_km)
     )
     decay = F.pow(F.greatest(1.0 - F.col("_d") / radius_km, F.lit(0.0)), exponent)

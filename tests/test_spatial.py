@@ -95,7 +95,27 @@ def test_within_radius_pairs(spark):
     assert {(r["id"], r["pid"]) for r in pairs.select("id", "pid").collect()} == set(zip(*map(lambda x: x.tolist(), np.where(d <= 2.0))))
 
 
-def test_pressure_equals_all_pairs(spark):
+def test_a_crowded_bucket_becomes_many_tasks(spark):
+    """One bucket, no broadcast: every point is in one block, every place in all, and the join runs in several tasks."""
+    from pyspark.sql import functions as F
+
+    points = spark.range(400).selectExpr("id", "1 AS lat_b", "2 AS lon_b")
+    places = spark.range(7).selectExpr("id AS pid", "1 AS lat_b", "2 AS lon_b")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        dealt, copied = spatial._in_blocks(points, places, ["id"], ["lat_b", "lon_b"], 20)
+        rows = dealt.join(copied, ["lat_b", "lon_b", "_block"]).select("id", "pid", "_block", F.spark_partition_id().alias("task")).collect()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert sorted((r.id, r.pid) for r in rows) == [(i, j) for i in range(400) for j in range(7)]
+    assert len({r._block for r in rows}) == 20 and len({r.task for r in rows}) > 3
+
+
+@pytest.mark.parametrize("block", [2048, 4])
+def test_pressure_equals_all_pairs(spark, block):
     points, _ = make(5, 30, 6, spread=2.0)
     points[10:14] = points[10]  # clubs at one position press on each other at distance 0
     courts = [None if i % 5 == 0 else float(i % 20) for i in range(len(points))]
@@ -103,7 +123,7 @@ def test_pressure_equals_all_pairs(spark):
         [(i, float(a), float(b), c) for i, ((a, b), c) in enumerate(zip(points, courts))], "id int, lat double, lon double, courts double"
     )
     got = {r["id"]: r for r in spatial.competition_pressure(
-        df, df, target_id="id", competitor_id="id", intensity=fixed.BASE_INTENSITY, cap=9.0).collect()}
+        df, df, target_id="id", competitor_id="id", intensity=fixed.BASE_INTENSITY, cap=9.0, block=block).collect()}
     load = np.array([0.002 + 0.008 * min(max(2.0 if c is None else c, 1.0), 12.0) / 12 for c in courts])
     d = km(points[:, None, 0], points[:, None, 1], points[None, :, 0], points[None, :, 1])
     np.fill_diagonal(d, np.inf)
