@@ -22,8 +22,12 @@ def crc32_mod(column: str, divisor: int) -> Column:
 
 
 def chunks(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
-    """Arrow batches joined or cut to about `most` bytes of `column`, one row at least."""
-    held, size = [], 0
+    """Arrow batches joined or cut to about `most` bytes of `column`, one row at least.
+
+    What a chunk's work has freed goes back to the system before the next: workers outlive their tasks, beside the executor's heap.
+    """
+    pool, held, size = pa.default_memory_pool(), [], 0
+    pool.release_unused()
     for batch in batches:
         c = batch.column(column)
         if pa.types.is_primitive(c.type):
@@ -37,10 +41,13 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
                 held.append(batch.slice(start, i + 1 - start))
                 yield _joined(held)
                 held, size, start = [], 0, i + 1
+                pool.release_unused()
         if start < batch.num_rows:
             held.append(batch.slice(start))
     if held:
         yield _joined(held)
+    held.clear()
+    pool.release_unused()
 
 
 def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
