@@ -57,6 +57,16 @@ def round_key(lat: str | Column, lon: str | Column, digits: int) -> tuple[Column
     return tuple(F.floor(col(c) * scale + 0.5).cast("long") for c in (lat, lon))
 
 
+def _bound(df: DataFrame, keep: list[str], lon: str, lon_value: Column, lat: str, lat_value: Column) -> DataFrame:
+    """The kept columns with the two values, as the one element of an array taken apart.
+
+    A filter on them stays above; below, Spark would write all steps of a projection into it once per mention, too long
+    for generated code.
+    """
+    pair = F.array(F.struct(lon_value.alias("lon"), lat_value.alias("lat")))
+    return df.select(*keep, F.explode(pair).alias("_at")).select(*keep, F.col("_at.lon").alias(lon), F.col("_at.lat").alias(lat))
+
+
 def epsg3035_to_wgs84(df: DataFrame, x: str, y: str, lon: str = "longitude", lat: str = "latitude") -> DataFrame:
     """Inverse Lambert azimuthal equal area (ETRS89-LAEA Europe), closed form with series."""
     phi0, lam0, fe, fn = math.radians(52.0), math.radians(10.0), 4321000.0, 3210000.0
@@ -93,7 +103,7 @@ def epsg3035_to_wgs84(df: DataFrame, x: str, y: str, lon: str = "longitude", lat
         + k4 * F.sin(4 * F.col("_beta"))
         + k6 * F.sin(6 * F.col("_beta"))
     )
-    return step.select(*keep, F.degrees(lam).alias(lon), F.degrees(phi).alias(lat))
+    return _bound(step, keep, lon, F.degrees(lam), lat, F.degrees(phi))
 
 
 def epsg2154_to_wgs84(df: DataFrame, x: str, y: str, lon: str = "longitude", lat: str = "latitude") -> DataFrame:
@@ -122,7 +132,7 @@ def epsg2154_to_wgs84(df: DataFrame, x: str, y: str, lon: str = "longitude", lat
         phi = math.pi / 2 - 2 * F.atan(F.col("_t") * F.pow((1 - s) / (1 + s), _E / 2))
         step = step.select("*", phi.alias(f"_phi{i + 1}"))
     lam = F.atan2(F.col("_x"), F.col("_y")) / n + lamf
-    return step.select(*keep, F.degrees(lam).alias(lon), F.degrees("_phi5").alias(lat))
+    return _bound(step, keep, lon, F.degrees(lam), lat, F.degrees("_phi5"))
 
 
 def register_haversine(spark: SparkSession, name: str = "haversine_km") -> None:

@@ -27,5 +27,14 @@ def test_query(spark, duck, name):
     assert compare(got, duck.execute(sql).to_arrow_table()) is None
 
 
+@pytest.mark.parametrize("name", ["census_plan", "clubs_plan", "laea_inverse", "lcc_inverse"])
+def test_projections_stay_in_generated_code(spark, name):
+    spark.conf.set("spark.sql.codegen.fallback", "false")  # code that does not compile is then an error
+    try:
+        assert entry.queries()[name](spark, SF_DIR).toArrow().num_rows > 0
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
