@@ -135,12 +135,13 @@ def proximity_metrics(
     radius_km: float | None = None, exact: bool = False,
     point: tuple[str, str] = ("lat", "lon"), place: tuple[str, str] = ("lat", "lon"),
     nearest: str | None = "nearest_km", within: str | None = "n_within",
-    fine: int = 16,
+    fine: int = 16, block: int = 16384,
 ) -> DataFrame:
     """Per point: distance to the nearest place and number of places within ``radius_km``.
 
     Points that see no place are absent; join back and impute as the use needs. ``point_id`` must be
-    unique. With ``exact`` the nearest place is looked for within ``radius_km`` only.
+    unique. With ``exact`` the nearest place is looked for within ``radius_km`` only. The points of a
+    crowded bucket are dealt to blocks of about ``block``, so that one city is many tasks.
     """
     if exact and radius_km is None:
         raise ValueError("exact needs radius_km")
@@ -163,9 +164,10 @@ def proximity_metrics(
 
     # the home bucket is kept beside the target bucket, to open a cell later
     near = around(cells.withColumns({"_hy": F.col("lat_b"), "_hx": F.col("lon_b")}))
-    targets = _with_bucket(points, point_id, *point, deg)
+    keys = ["lat_b", "lon_b", "_block"]
+    targets, near = _in_blocks(_with_bucket(points, point_id, *point, deg), near, [point_id], keys[:2], block)
     low, high = _cell_bounds()
-    pairs = targets.join(near, ["lat_b", "lon_b"]).withColumns({"_low": low, "_high": high})
+    pairs = targets.join(near, keys).withColumns({"_low": low, "_high": high})
     if exact:
         pairs = pairs.filter(F.col("_low") <= radius_km * (1 + _TIGHT))
 
@@ -180,7 +182,7 @@ def proximity_metrics(
     first = pairs.groupBy(point_id).agg(*aggs)
 
     # open the cells that the bounds leave undecided
-    undecided = targets.join(near.filter(~single), ["lat_b", "lon_b"]).withColumns({"_low": low, "_high": high})
+    undecided = targets.join(near.filter(~single), keys).withColumns({"_low": low, "_high": high})
     border = (F.col("_low") <= r * (1 + _TIGHT)) & (F.col("_high") > r * (1 - _TIGHT)) if count else F.lit(False)
     undecided = undecided.withColumn("_border", border)
     if nearest is None:

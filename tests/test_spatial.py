@@ -41,14 +41,15 @@ def brute(points, places, deg, span, radius):
     return near, d, np.where(near & (d <= radius), 1, 0).sum(axis=1), np.where(near, d, np.inf).min(axis=1)
 
 
+@pytest.mark.parametrize("block", [16384, 3])
 @pytest.mark.parametrize("seed,deg,span,radius,fine", [(1, 0.01, 1, 1.0, 16), (2, 0.05, 3, 5.0, 4), (3, 0.05, 1, 0.4, 16), (4, 0.02, 2, 0.7, 2)])
-def test_proximity_equals_all_pairs(spark, seed, deg, span, radius, fine):
+def test_proximity_equals_all_pairs(spark, seed, deg, span, radius, fine, block):
     points, places = make(seed, 60, 120)
     _, _, count, nearest = brute(points, places, deg, span, radius)
     p, q = frames(spark, points, places)
     got = {
         r["id"]: r for r in
-        spatial.proximity_metrics(p, q, point_id="id", deg=deg, span=span, radius_km=radius, fine=fine).collect()
+        spatial.proximity_metrics(p, q, point_id="id", deg=deg, span=span, radius_km=radius, fine=fine, block=block).collect()
     }
     for i in range(len(points)):
         if np.isinf(nearest[i]):
