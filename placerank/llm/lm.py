@@ -1,7 +1,7 @@
 """Scoring by an n-gram language model in Elias-Fano tries.
 
 Level 1 holds every word of the training rows (a 64-bit hash stands for a word) with its count; a word's rank is its id.
-Level k holds the k-grams that occur `cutoffs[k - 1]` times or more, grouped by context, which is the node of its first
+Level k holds the k-grams that occur `cutoffs[k - 1]` times or more (all of them, unless a caller asks for less), grouped by context, which is the node of its first
 k-1 words one level up. Successors are written relative to the end of the previous context's range, so a level is one
 growing sequence; it, the contexts and the pointers to their ranges are Elias-Fano coded: low bits packed, high bits in unary with counts
 per 64 bits. A look-up finds the context, its range by two pointers, and searches the successor from the range's base.
@@ -399,7 +399,7 @@ def _write_level(kept: DataFrame, model: Model, level: int) -> pd.DataFrame:
     )
 
 
-def train(rows: DataFrame, cutoffs: tuple[int, ...] = (1, 2, 3)) -> Model:
+def train(rows: DataFrame, cutoffs: tuple[int, ...] = (1, 1, 1)) -> Model:
     """The model of all rows (column text), with a level per cutoff; the first level keeps every word."""
     if list(cutoffs) != sorted(cutoffs):
         raise ValueError("cutoffs must not fall")
@@ -435,7 +435,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def score_held_out(docs: DataFrame, cutoffs: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+def score_held_out(docs: DataFrame, cutoffs: tuple[int, ...] = (1, 1, 1)) -> DataFrame:
     """Scores all rows of docs by a model of those whose crc32(doc_id as text) mod 10 is not 0."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (crc32_mod("doc_id", 10) == 0).alias("held_out"), F.col("text").cast("string").alias("text")

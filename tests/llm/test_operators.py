@@ -231,6 +231,34 @@ def test_lm(docs, none):
     assert lm.score_held_out(none).count() == 0
 
 
+def test_lm_scores_every_ngram(docs):
+    """score against an interpolated model of order 3 in plain Python that keeps every n-gram, with the 256 values."""
+    train = [folded(t).split() + [b" "] for i, t, _ in ROWS if i is not None and zlib.crc32(str(i).encode()) % 10]
+    grams = [collections.Counter(), collections.Counter(), collections.Counter()]
+    for t in train:
+        padded = [b" ", *t]  # the end of a text stands before the first word
+        grams[0].update((w,) for w in t)
+        for k in (2, 3):
+            grams[k - 1].update(tuple(padded[i:i + k]) for i in range(len(padded) - k + 1))
+    n, v = sum(grams[0].values()), len(grams[0])
+    after = collections.defaultdict(dict)
+    for g in (*grams[1], *grams[2]):
+        share = (grams[len(g) - 1][g] - 0.75) / grams[len(g) - 2][g[:-1]]
+        after[g[:-1]][g[-1]] = 2.0 ** (-min(255, np.ceil(-np.log2(share) * 8)) / 8)
+    got = {r.doc_id: r.score for r in lm.score_held_out(docs).collect() if r.doc_id is not None}
+    for i, t, _ in ROWS:
+        if i is None:
+            continue
+        padded, want = [b" ", *folded(t).split(), b" "], 0.0
+        for at in range(1, len(padded)):
+            w, p = padded[at], (grams[0][(padded[at],)] + 0.1) / (n + 0.1 * (v + 1))
+            for context in (tuple(padded[at - 1:at]), tuple(padded[max(0, at - 2):at])[:2 * (at > 1)]):
+                if context in after and context:
+                    p = after[context].get(w, 0.0) + (1 - sum(after[context].values())) * p
+            want += np.log10(p)
+        assert abs(got[i] - want) < 1e-6 * len(padded)
+
+
 def test_substring(docs, none):
     first, want = {}, []
     words = [(i, (t or "").encode().split()) for i, t, _ in ROWS]
