@@ -64,18 +64,14 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix goes through it, in training order; those it takes nothing of go.
+    """Each document as often as the mix goes through it, each time at the position of that take; those it takes nothing of go.
 
     Rows that share a doc_id are repeated alike, by the most that the mix takes of one of them.
     """
-    times = mixing.mix(docs).filter("taken > 0").groupBy(_id_text(F.col("doc_id")).alias("id")).agg(
-        F.min("position").alias("position"), F.max(F.size(F.filter("takes", lambda t: t > 0))).alias("times")
-    )
+    takes = mixing.mix(docs).select(_id_text(F.col("doc_id")).alias("id"), F.posexplode("positions").alias("round", "position"))
+    takes = takes.filter("position IS NOT NULL").groupBy("id", "round").agg(F.min("position").alias("position"))
     order = ["position", "round", "id"]
-    return (
-        _whole(docs).join(times, "id").withColumn("round", F.explode(F.sequence(F.lit(1), F.col("times"))))
-        .repartitionByRange(*order).sortWithinPartitions(*order).select("doc.*")
-    )
+    return _whole(docs).join(takes, "id").repartitionByRange(*order).sortWithinPartitions(*order).select("doc.*")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ Other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from placerank.llm.common import WORD, cut_lineage, running_sum, spread
 
@@ -60,7 +60,8 @@ def source_targets(sizes: DataFrame, share: float, most: float, weights=WEIGHTS,
 
 
 def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights=WEIGHTS, slopes=SLOPES) -> DataFrame:
-    """One row per row of docs: row, doc_id, source, size, source_size, target, takes (words of each time around), taken, position."""
+    """One row per row of docs: row, doc_id, source, size, source_size, target, takes (words of each time around), taken,
+    positions (of each take, null where it is 0), position (of the first take)."""
     sizes = cut_lineage(sized(docs))
     targets = source_targets(sizes, share, most, weights, slopes)
     keyed = sizes.select(
@@ -73,20 +74,25 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights=WEIGHTS,
     ]
     taken = sum(rounds[1:], rounds[0])
     everything = targets.agg(F.sum("target").alias("all_targets"), F.sum(F.col("target") * F.col("slope")).alias("all_slopes"))
-    u, a = F.try_divide("before", "target"), F.col("slope")
-    # t + a(t*t - t) = u, the root within 0..1
-    time = F.when(a == 0, u).otherwise((a - 1 + F.sqrt((1 - a) * (1 - a) + 4 * a * u)) / (2 * a))
-    t = F.col("_time")
+    a = F.col("slope")
+
+    def position(k: int) -> Column:
+        """Where take k begins: t + a(t*t - t) = u, the root within 0..1."""
+        u = F.try_divide(F.col("before") + k * F.col("source_size"), F.col("target"))
+        t = F.least(F.when(a == 0, u).otherwise((a - 1 + F.sqrt((1 - a) * (1 - a) + 4 * a * u)) / (2 * a)), F.lit(1.0))
+        demand = F.floor(F.col("all_targets") * t + F.col("all_slopes") * (t * t - t))
+        return F.when(F.col("takes")[k] > 0, demand)
+
     return (
         placed.join(F.broadcast(everything))  # one row of sums
-        .select("*", F.array(*rounds).alias("takes"), taken.alias("taken"), F.least(time, F.lit(1.0)).alias("_time"))
-        .select("row", "doc_id", "source", "size", "source_size", "target", "takes", "taken", F.when(
-            F.col("taken") > 0, F.floor(F.col("all_targets") * t + F.col("all_slopes") * (t * t - t))).alias("position"))
+        .select("*", F.array(*rounds).alias("takes"), taken.alias("taken"))
+        .select("row", "doc_id", "source", "size", "source_size", "target", "takes", "taken", F.array(*map(position, range(len(rounds)))).alias("positions"))
+        .withColumn("position", F.col("positions")[0])
     )
 
 
 def in_order(mixed: DataFrame) -> DataFrame:
-    """Range-sorted by training position; rows that take none come last."""
+    """Range-sorted by the position of the first take; rows that take none come last."""
     return mixed.repartitionByRange(F.col("position").asc_nulls_last(), F.col("doc_id")).sortWithinPartitions(
         F.col("position").asc_nulls_last(), "doc_id"
     )

@@ -81,6 +81,32 @@ def test_mixing(docs, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mixing_positions_of_all_takes(spark):
+    """Each source's words taken before any position are its integrated schedule; the stage returns takes in that order."""
+    rows = [(i, " ".join(["w"] * (1 + i % 7)), "a" if i % 12 == 0 else "bc"[i % 2]) for i in range(2400)]  # a is small and weighs most
+    small = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(small).collect()
+    target = {r.source: r.target for r in got}
+    slope = dict(zip("abc", mixing.SLOPES))
+    assert target["a"] == 2 * next(r.source_size for r in got if r.source == "a")
+    takes = sorted((p, r.source, w, r.doc_id) for r in got for p, w in zip(r.positions, r.takes) if w)
+    assert len([1 for _, s, _, _ in takes if s == "a"]) == 400 and all((p is None) == (w == 0) for r in got for p, w in zip(r.positions, r.takes))
+    grid = np.linspace(0, 1, 100_001)
+    curve = {s: target[s] * (grid + slope[s] * (grid * grid - grid)) for s in target}
+    whole, before = sum(curve.values()), collections.Counter()
+    for p, s, words, _ in takes:
+        assert abs(before[s] - np.interp(p, whole, curve[s])) <= 8, (p, s)
+        before[s] += words
+    stage = corpus_pipeline.mixing_stage(spark, small, "").collect()
+    want = collections.defaultdict(list)
+    for at, (_, _, _, i) in enumerate(takes):
+        want[i].append(at)
+    seen = collections.defaultdict(list)
+    for at, r in enumerate(stage):
+        seen[r.doc_id].append(at)
+    assert len(stage) == len(takes) and all(abs(x - y) <= 8 for i in want for x, y in zip(want[i], seen[i], strict=True))
+
+
 @pytest.mark.parametrize("shards", [4, 16])
 def test_sharding(spark, docs, none, shards):
     several = docs.unionByName(docs.selectExpr("doc_id + 100 AS doc_id", *docs.columns[1:])).unionByName(
