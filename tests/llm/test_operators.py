@@ -120,6 +120,27 @@ def test_sharding(spark, docs, none, shards):
     assert sharding.shard_documents(none, shards).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["pairs", "third"])
+def test_sharding_brings_linked_together(spark, kind):
+    """Cut edges against the start where every text occurs twice, and where besides a third of all rows is one group: nothing is unlinked."""
+    text = "concat('t', id % 600)" if kind == "pairs" else "if(id % 3 = 0, 'hot', concat('t', id % 3, '-', id % 200))"
+    nodes = sharding.linked(spark.range(1200).selectExpr("id AS doc_id", f"{text} AS text"))
+    got = sharding.propagate(nodes, 8).select("doc_id", "group", "shard").collect()
+    counts = collections.Counter(r.shard for r in got)
+    assert len(got) == 1200 and set(counts.values()) == {150}
+    order = lambda i: (int(hashlib.md5(str(i).encode()).hexdigest()[:13], 16), i)
+    start = {i: n % 8 for n, i in enumerate(sorted(range(1200), key=order))}
+
+    def cut(shard_of):
+        groups, inside = collections.Counter(r.group for r in got), collections.Counter((r.group, shard_of(r)) for r in got)
+        return sum(n * (n - 1) // 2 for n in groups.values()) - sum(n * (n - 1) // 2 for n in inside.values())
+
+    first, last = cut(lambda r: start[r.doc_id]), cut(lambda r: r.shard)
+    # 400 of one text fill two shards of 150 and 100 of a third at best; all other texts occur twice
+    print(kind, first, last)
+    assert last <= (0.03 * first if kind == "pairs" else 1.15 * (400 * 399 // 2 - 2 * (150 * 149 // 2) - 100 * 99 // 2))
+
+
 def test_packing(docs, none):
     got = packing.pack(docs, FILE, keep_ids=True).collect()
     by_row, sequences = collections.defaultdict(list), collections.defaultdict(list)
