@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placerank.llm import exact, lm, mixing, packing, quality, sharding, simhash, substring, vectors, warc
+from placerank.llm import exact, lm, merkle, mixing, packing, quality, sharding, simhash, squares, substring, vectors, warc
 from placerank.llm.common import LOWER, UPPER
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,53 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_held_out(table(spark, sf_dir, "documents"))
+
+
+
+def _leaf(n_chars: str) -> str:
+    fields = ("doc_id", "source", "lang", n_chars, "text")
+    return "sha256(" + " || ".join(f"coalesce(strlen(({c})::VARCHAR) || ':' || ({c})::VARCHAR, '-')" for c in fields) + ")"
+
+
+#: crc32 of a short text, bit by bit: SQL has no such function
+_CRC32 = """xor(4294967295, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ord(ch)::BIGINT),
+  lambda c, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)),
+  4294967295::BIGINT))"""
+
+
+@query(f"""
+WITH RECURSIVE d AS (SELECT *, coalesce({_CRC32} % 7 = 0, false) AS hit FROM documents),
+l AS (SELECT doc_id, lang, {_leaf("n_chars")} AS leaf, {_leaf("n_chars + CASE WHEN hit THEN 1 ELSE 0 END")} AS shown FROM d),
+r AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS k, row_number() OVER (ORDER BY lang NULLS FIRST, doc_id NULLS FIRST, leaf) AS id FROM l),
+b AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY id) - 1 AS i, count(*) OVER (PARTITION BY k) AS n FROM r),
+t(k, lev, i, n, h) AS (
+  SELECT k, 0, i, n, leaf FROM b
+  UNION ALL SELECT k, lev + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM t WHERE n > 1 GROUP BY k, lev, i // 2),
+s AS (SELECT k, lev AS top, h AS subroot FROM t WHERE n = 1),
+u(lev, i, n, h) AS (
+  SELECT 0, k, (SELECT count(*) FROM s), subroot FROM s
+  UNION ALL SELECT lev + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM u WHERE n > 1 GROUP BY lev, i // 2),
+p AS (  -- one row per leaf and level: the sibling, null if there is none, and whether it stands left
+  SELECT b.id, a.lev AS step, x.h AS sib, (b.i >> a.lev) & 1 = 1 AS is_left
+  FROM b JOIN s USING (k) JOIN (SELECT DISTINCT k, lev FROM t WHERE n > 1) a USING (k)
+  LEFT JOIN t x ON x.k = b.k AND x.lev = a.lev AND x.i = xor(b.i >> a.lev, 1)
+  UNION ALL
+  SELECT b.id, s.top + a.lev, x.h, (b.k >> a.lev) & 1 = 1
+  FROM b JOIN s USING (k) CROSS JOIN (SELECT DISTINCT lev FROM u WHERE n > 1) a
+  LEFT JOIN u x ON x.lev = a.lev AND x.i = xor(b.k >> a.lev, 1)),
+f(id, step, h) AS (
+  SELECT id, 0, shown FROM b
+  UNION ALL SELECT f.id, f.step + 1, sha256(CASE WHEN p.sib IS NULL THEN f.h WHEN p.is_left THEN p.sib || f.h ELSE f.h || p.sib END)
+  FROM f JOIN p ON p.id = f.id AND p.step = f.step),
+e AS (SELECT id, max_by(h, step) AS folded FROM f GROUP BY id),
+q AS (SELECT id, sha256(coalesce(string_agg(sib, '' ORDER BY step), '')) AS proof FROM p GROUP BY id)
+SELECT b.doc_id, b.leaf, s.subroot, (SELECT h FROM u WHERE n = 1) AS root, coalesce(q.proof, sha256('')) AS proof_sha256,
+       e.folded AS folded_root, e.folded = (SELECT h FROM u WHERE n = 1) AS verified
+FROM b JOIN s USING (k) JOIN e USING (id) LEFT JOIN q USING (id)""")
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.prove(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return squares.find_runs(table(spark, sf_dir, "documents"), plant=True)
