@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placerank.llm import exact, lm, merkle, mixing, packing, quality, sharding, simhash, squares, substring, vectors, warc
+from placerank.llm import exact, lm, merkle, mixing, packing, quality, sharding, simhash, squares, substring, toxicity, vectors, warc
 from placerank.llm.common import LOWER, UPPER
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,8 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return squares.find_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
+@query()
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
