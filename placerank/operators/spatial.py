@@ -1,16 +1,16 @@
 """Nearest place, places within a radius and distance-decayed pressure.
 
-Points and places meet on an equality of grid buckets: each place is copied to the buckets around it
-(the smaller side is the one to copy) and joined on two integers. Spark broadcasts the places when
-it measures them small and otherwise shuffles both sides on the bucket, splitting skewed buckets.
-
-Two things keep a crowded bucket from producing all its pairs:
-
-* places are merged into the cells of a finer grid, each with a weight and its extent, before the join.
-  Copies at one position become one row, and a cell holding a single position gives its exact distance;
-* for a cell with several positions, bounds on the distance settle most points at once (all inside the
-  radius, all outside, or farther than another cell). Only the undecided cells are opened, and their
-  positions compared one by one. The result is the same as from all pairs.
+Places stand in a tree of three levels: the buckets of a grid, ``fine`` times ``fine`` cells of a bucket, and as many parts of a
+cell. A node knows how many places it holds and the box around them, as chords in space, so a bound on a distance is a few
+multiplications and holds at the poles and across the 180th meridian too. Copies at one position are one row of a weight. A node lists at most
+``fine`` squared others, so a bucket is one row of bounded size, however many places it holds.
+
+Each place bucket is copied to the buckets around it and the copies of a bucket are gathered, so a point meets its whole
+surroundings as one row, by an equality join on two integers, and descends in it without a shuffle: only into nodes that the circle
+cuts or that may hold a nearer place than the best one known. A node within the circle is counted as a whole. What is left are
+parts, one ``fine**4``-th of a bucket; one position is compared at once, and only parts with several are opened by a join. Each point's
+comparisons grow with the nodes that its circle cuts, not with the places of its bucket, as long as places spread over its parts.
+The depth is fixed, as rows are bounded by it: where parts hold many positions, take a smaller ``deg``. Results are those of all pairs.
 
 Without ``exact`` a place is seen when its bucket is at most ``span`` away on both axes, whatever the
 distance. With ``exact`` the reach of the copies follows from the radius and the latitude, so that
@@ -20,12 +20,14 @@ every place within the radius is seen and none beyond it.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from placerank import fixed
-from placerank.functions.geo import arc_km_sql, chord_sql, grid_key, haversine_km
-from placerank.functions.scores import clip, nearest_of, size_factor
+from placerank.functions.geo import grid_key, haversine_km
+from placerank.functions.scores import clip, size_factor
 
 KM_PER_DEGREE = math.pi * fixed.EARTH_RADIUS_KM / 180
 _TIGHT = 1e-9
@@ -76,72 +78,157 @@ def neighbor_join(
     )
 
 
-def _fine_cells(places: DataFrame, lat: str, lon: str, deg: float, fine: int) -> DataFrame:
-    """Places with their bucket and their cell (_cy, _cx) on a grid ``fine`` times finer."""
-    lat_b, lon_b = grid_key(lat, lon, deg)
-    cy, cx = grid_key(lat, lon, deg / fine)
-    return _located(places, lat, lon).select(
-        F.col(lat).alias("_lat"), F.col(lon).alias("_lon"),
-        lat_b.alias("lat_b"), lon_b.alias("lon_b"), cy.alias("_cy"), cx.alias("_cx"),
-    )
+#: rounding of a unit vector; boxes are wider by it on each side
+_PAD = 1e-15
+_AXES = ("x", "y", "z")
+
+
+def _unit_vector(lat: str, lon: str) -> dict[str, str]:
+    return {"x": f"cos(radians({lat})) * cos(radians({lon}))", "y": f"cos(radians({lat})) * sin(radians({lon}))", "z": f"sin(radians({lat}))"}
+
+
+def _box(sums: list[str]) -> list[Column]:
+    """Aggregates of a node: its box and its sums."""
+    ends = [F.expr(f"{f}({a}{end}) AS {a}{end}") for a in _AXES for end, f in ((0, "min"), (1, "max"))]
+    return ends + [F.expr(f"sum({c}) AS {c}") for c in sums]
+
+
+def _low(node: str) -> str:
+    """Least squared chord from the point (_px, _py, _pz) to the box of a node."""
+    return "(" + " + ".join(f"pow(greatest({node}.{a}0 - _p{a}, _p{a} - {node}.{a}1, 0D), 2)" for a in _AXES) + ")"
+
+
+def _high(node: str) -> str:
+    return "(" + " + ".join(f"pow(greatest(_p{a} - {node}.{a}0, {node}.{a}1 - _p{a}), 2)" for a in _AXES) + ")"
+
+
+def _chords(radius_km: float) -> tuple[float, float]:
+    """Squared chords surely within and surely beyond the radius."""
+    chord = (2 * math.sin(min(radius_km / (2 * fixed.EARTH_RADIUS_KM), math.pi / 2))) ** 2
+    return chord * (1 - _TIGHT), chord * (1 + _TIGHT)
 
 
-def _cell_bounds() -> tuple[Column, Column]:
-    """Least and greatest distance from (_plat, _plon) to any position within a cell's extent.
+def _place_tree(positions: DataFrame, deg: float, fine: int, sums: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(one row per bucket with its tree in ``node``, the positions of parts that hold several) from rows (_lat, _lon, *sums).
 
-    With a = sin²(dlat/2) + cos(lat1) cos(lat2) sin²(dlon/2), each factor is bounded on its own.
-    A cell of one position gives its exact distance twice.
+    ``fine`` is a power of two: a part's number then gives its cell's and its bucket's, by a shift, without rounding.
     """
-    here, south, north = (f"cos(radians({c}))" for c in ("_plat", "_south", "_north"))
-    least = arc_km_sql(
-        chord_sql(
-            "greatest(_south - _plat, _plat - _north, 0D)", "greatest(_west - _plon, _plon - _east, 0D)",
-            here, f"least({south}, {north})",
-        )
-    )
-    most = arc_km_sql(
-        chord_sql(
-            "greatest(abs(_south - _plat), abs(_north - _plat))", "greatest(abs(_west - _plon), abs(_east - _plon))",
-            here, f"CASE WHEN _south <= 0 AND _north >= 0 THEN 1D ELSE greatest({south}, {north}) END",
-        )
-    )
-    return F.expr(least), F.expr(most)
+    bits = fine.bit_length() - 1
+    if 1 << bits != fine:
+        raise ValueError("fine must be a power of two")
+    part = [f"CAST(floor({c} / {deg / fine**2!r}D) AS INT) AS {name}" for c, name in (("_lat", "_sy"), ("_lon", "_sx"))]
+    ends = [f"{text} {sign} {_PAD!r}D AS {a}{end}" for a, text in _unit_vector("_lat", "_lon").items() for end, sign in ((0, "-"), (1, "+"))]
+    spots = positions.selectExpr("*", *part, *ends)
+    box = [f"{a}{end}" for a in _AXES for end in (0, 1)]
+    more = [F.expr(text) for text in ("count(*) AS k", "min(_lat) AS _lat", "min(_lon) AS _lon")]
+    parts = spots.groupBy("_sy", "_sx").agg(*_box(sums), *more)
+    several = spots.join(parts.filter("k > 1").selectExpr("_sy", "_sx"), ["_sy", "_sx"], "left_semi").selectExpr("_sy", "_sx", "_lat", "_lon", *sums)
+
+    def gathered(nodes: DataFrame, kept: list[str], name: str, **keys: str) -> DataFrame:
+        """Nodes of one level, each in the list of the node above; a list has at most ``fine`` squared entries."""
+        above = [F.expr(f"shiftright({c}, {bits}) AS {n}") for n, c in keys.items()]
+        return nodes.groupBy(*above).agg(*_box(sums), F.expr(f"collect_list(struct({', '.join(kept)})) AS {name}"))
+
+    cells = gathered(parts, [*box, *sums, "k", "_lat", "_lon", "_sy", "_sx"], "parts", _cy="_sy", _cx="_sx")
+    buckets = gathered(cells, [*box, *sums, "parts"], "cells", lat_b="_cy", lon_b="_cx")
+    return buckets.selectExpr("lat_b", "lon_b", f"struct({', '.join([*box, *sums])}, cells) AS node"), several
+
+
+def _surroundings(buckets: DataFrame, around) -> DataFrame:
+    """One row per bucket that sees places, with the trees of all buckets around it in ``_near``."""
+    return around(buckets).groupBy("lat_b", "lon_b").agg(F.collect_list("node").alias("_near"))
+
+
+def _given(df: DataFrame, drop: tuple[str, ...] = (), **values: str) -> DataFrame:
+    """Columns from SQL, computed once: without the generator Spark would write them into every mention, also into one per list entry."""
+    made = ", ".join(f"{text} AS {name}" for name, text in values.items())
+    return df.selectExpr(*[c for c in df.columns if c not in values and c not in drop], f"inline(array(struct({made})))")
+
+
+def _opened(points: DataFrame, tree: DataFrame, several: DataFrame, sums: list[str], *, nearest: bool, radius_km: float | None,
+            count: str | None) -> DataFrame:
+    """Rows of a point's columns with a position to compare (_lat, _lon, *sums), and ``_border``, whether the circle cuts its node.
+
+    ``nearest`` keeps nodes that may hold a nearer place than the best known one. With ``count`` (one of ``sums``) nodes within the circle
+    are counted as a whole: each row of a point has their total in ``_inside``, and other nodes are opened only if the circle cuts
+    them. Else, with a radius, every node within it or cut by it is opened. A point without any position left has one row of nulls.
+    """
+    inner, outer = _chords(radius_km) if radius_km is not None else (None, None)
+
+    def near(node: str) -> str:
+        kept = [f"{_low(node)} <= _best"] if nearest else []
+        if radius_km is not None:
+            cut = f"{_low(node)} <= {outer!r}D"
+            if count:
+                cut += f" AND {_high(node)} > {inner!r}D"
+            kept.append(f"({cut})")
+        return " OR ".join(kept)
+
+    def best(nodes: str, known: str = "") -> dict[str, str]:
+        found = f"array_min(transform({nodes}, n -> {_high('n')}))"
+        return {"_best": f"least({known}, {found})" if known else found} if nearest else {}
+
+    def within(nodes: str) -> str:
+        """Weight of the nodes within the circle; what lies below a node that is counted is not asked."""
+        return f"aggregate({nodes}, 0L, (s, n) -> s + CASE WHEN {_high('n')} <= {inner!r}D THEN n.{count} ELSE 0L END)" if count else "0L"
+
+    def below(nodes: str, name: str) -> str:
+        asked = f"filter({nodes}, n -> {_high('n')} > {inner!r}D)" if count else nodes
+        return f"flatten(transform({asked}, n -> n.{name}))"
+
+    vector = [f"{text} AS _p{a}" for a, text in _unit_vector("_plat", "_plon").items()]
+    rows = points.selectExpr("*", *vector).join(tree, ["lat_b", "lon_b"]).drop("lat_b", "lon_b")
+    if nearest:
+        rows = _given(rows, **best("_near"))
+    rows = _given(rows, ("_near",), _kept=f"filter(_near, n -> {near('n')})", _inside=within("_near"))
+    for name in ("cells", "parts"):
+        rows = _given(rows, ("_kept",), _nodes=f"flatten(transform(_kept, n -> n.{name}))", _inside=f"_inside + {within(below('_kept', name))}")
+        if nearest:
+            rows = _given(rows, **best("_nodes", "_best"))
+        rows = _given(rows, ("_nodes",), _kept=f"filter(_nodes, n -> {near('n')})", _inside="_inside")
+    border = f"{_low('n')} <= {outer!r}D AND {_high('n')} > {inner!r}D" if count else "false"
+    names = [c for c in rows.columns if c not in ("_kept", "_inside", "_best", "_px", "_py", "_pz")]
+    fields = ["_sy", "_sx", "k", "_lat", "_lon", *sums]
+    rows = rows.selectExpr(*names, "_inside", f"transform(_kept, n -> struct({', '.join('n.' + f for f in fields)}, {border} AS _border)) AS _open")
+    rows = rows.selectExpr(*names, "_inside", "explode_outer(_open) AS _part").selectExpr(*names, "_inside", "_part.*")
+    # parts with one position get keys of their own that nothing has, so that they are spread and not one key of nulls
+    lost = f"CASE WHEN coalesce(k, 1) > 1 THEN _sy ELSE {-(2**31)} + pmod(hash({', '.join(names)}), {1 << 20}) END"
+    rows = rows.selectExpr(*names, "_inside", "_border", f"{lost} AS _sy", f"CASE WHEN k > 1 THEN _sx ELSE {-(2**31)} END AS _sx", "_lat", "_lon", *sums)
+    inner_rows = several.selectExpr("_sy", "_sx", *[f"{c} AS _in{c}" for c in ("_lat", "_lon", *sums)])
+    chosen = [f"CASE WHEN _in_lat IS NOT NULL THEN _in{c} ELSE {c} END AS {c}" for c in ("_lat", "_lon", *sums)]
+    return rows.join(inner_rows, ["_sy", "_sx"], "left").selectExpr(*names, "_inside", "_border", *chosen)
 
 
 def _with_bucket(points: DataFrame, point_id: str, lat: str, lon: str, deg: float) -> DataFrame:
     lat_b, lon_b = grid_key(lat, lon, deg)
-    # the filter on the id keeps the plan equal to its copy under the later join, so its shuffle is reused
     return _located(points, lat, lon).filter(F.col(point_id).isNotNull()).select(
         point_id, F.col(lat).alias("_plat"), F.col(lon).alias("_plon"), lat_b.alias("lat_b"), lon_b.alias("lon_b")
     )
 
 
-def _in_blocks(points: DataFrame, near: DataFrame, point: list[str], keys: list[str], block: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides with a block number to join on besides the keys, so that a crowded bucket becomes many tasks.
+def _around(deg: float, span: int | None, radius_km: float | None, exact: bool):
+    """Copies of bucket rows to all buckets from which they are seen."""
 
-    The points of a bucket are dealt to blocks of about ``block`` and its places go to each of them: every point still meets every
-    place once. A bucket with fewer points stays one block and nothing is copied.
-    """
-    blocks = points.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
-    dealt = points.join(blocks, keys).withColumn(
-        "_block", F.pmod(F.xxhash64(*point), F.col("_blocks")).cast("int")
-    ).drop("_blocks")
-    copied = near.join(blocks, keys).withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks")
-    return dealt, copied
+    def copies(buckets: DataFrame) -> DataFrame:
+        if not exact:
+            return expand_neighbors(buckets, span)
+        edge = F.greatest(F.abs(F.col("lat_b") * deg), F.abs((F.col("lat_b") + 1) * deg))
+        lat_span, reach = _spans(radius_km, deg, edge)
+        return expand_neighbors(buckets, lat_span, reach=reach)
+
+    return copies
 
 
 def proximity_metrics(
     points: DataFrame, places: DataFrame, *, point_id: str, deg: float, span: int | None = None,
     radius_km: float | None = None, exact: bool = False,
     point: tuple[str, str] = ("lat", "lon"), place: tuple[str, str] = ("lat", "lon"),
-    nearest: str | None = "nearest_km", within: str | None = "n_within",
-    fine: int = 16, block: int = 16384,
+    nearest: str | None = "nearest_km", within: str | None = "n_within", fine: int = 8,
 ) -> DataFrame:
     """Per point: distance to the nearest place and number of places within ``radius_km``.
 
     Points that see no place are absent; join back and impute as the use needs. ``point_id`` must be
-    unique. With ``exact`` the nearest place is looked for within ``radius_km`` only. The points of a
-    crowded bucket are dealt to blocks of about ``block``, so that one city is many tasks.
+    unique. With ``exact`` the nearest place is looked for within ``radius_km`` only.
     """
     if exact and radius_km is None:
         raise ValueError("exact needs radius_km")
@@ -149,76 +236,26 @@ def proximity_metrics(
     if count and radius_km is None:
         raise ValueError("counting needs radius_km")
 
-    celled = _fine_cells(places, *place, deg, fine)
-    cells = celled.groupBy("lat_b", "lon_b", "_cy", "_cx").agg(
-        F.count("*").alias("_w"),
-        F.min("_lat").alias("_south"), F.max("_lat").alias("_north"),
-        F.min("_lon").alias("_west"), F.max("_lon").alias("_east"),
-    ).withColumn("_single", (F.col("_south") == F.col("_north")) & (F.col("_west") == F.col("_east")))
-
-    def around(df: DataFrame) -> DataFrame:
-        if not exact:
-            return expand_neighbors(df, span)
-        lat_span, reach = _spans(radius_km, deg, F.greatest(F.abs("_south"), F.abs("_north")))
-        return expand_neighbors(df, lat_span, reach=reach)
-
-    # the home bucket is kept beside the target bucket, to open a cell later
-    near = around(cells.withColumns({"_hy": F.col("lat_b"), "_hx": F.col("lon_b")}))
-    keys = ["lat_b", "lon_b", "_block"]
-    targets, near = _in_blocks(_with_bucket(points, point_id, *point, deg), near, [point_id], keys[:2], block)
-    low, high = _cell_bounds()
-    pairs = targets.join(near, keys).withColumns({"_low": low, "_high": high})
-    if exact:
-        pairs = pairs.filter(F.col("_low") <= radius_km * (1 + _TIGHT))
-
-    single = F.col("_single")
-    r = F.lit(radius_km)
+    positions = _located(places, *place).groupBy(F.col(place[0]).alias("_lat"), F.col(place[1]).alias("_lon")).agg(F.count("*").alias("_w"))
+    buckets, several = _place_tree(positions, deg, fine, ["_w"])
+    tree = _surroundings(buckets, _around(deg, span, radius_km, exact))
+    rows = _opened(
+        _with_bucket(points, point_id, *point, deg), tree, several, ["_w"], nearest=nearest is not None,
+        radius_km=radius_km if count else None, count="_w" if count else None,
+    ).withColumn("_d", haversine_km("_plat", "_plon", "_lat", "_lon"))
     aggs = []
     if nearest is not None:
-        aggs += [F.min("_high").alias("_best"), F.min(F.when(single, F.col("_high"))).alias("_nearest")]
+        aggs.append(F.min("_d").alias(nearest))
     if count:
-        settled = F.when(single, F.col("_high") <= r).otherwise(F.col("_high") <= r * (1 - _TIGHT))
-        aggs.append(F.sum(F.when(settled, F.col("_w")).otherwise(F.lit(0))).alias("_count"))
-    first = pairs.groupBy(point_id).agg(*aggs)
-
-    # open the cells that the bounds leave undecided
-    undecided = targets.join(near.filter(~single), keys).withColumns({"_low": low, "_high": high})
-    border = (F.col("_low") <= r * (1 + _TIGHT)) & (F.col("_high") > r * (1 - _TIGHT)) if count else F.lit(False)
-    undecided = undecided.withColumn("_border", border)
-    if nearest is None:
-        undecided = undecided.filter("_border")
-    else:
-        # all columns of ``first`` are used here and below: the pairs are then joined and summed once
-        undecided = undecided.join(first, point_id)
-        closer = (F.col("_low") <= F.col("_best") * (1 + _TIGHT)) & (
-            F.col("_nearest").isNull() | (F.col("_low") <= F.col("_nearest"))
-        )
-        if count:
-            closer = closer & (F.col("_count") >= 0)
-        undecided = undecided.filter(closer | F.col("_border"))
-        first = first.filter(F.col("_best").isNotNull())
-    undecided = undecided.select(point_id, "_plat", "_plon", "_hy", "_hx", "_cy", "_cx", "_border")
-    inner = celled.groupBy(
-        F.col("lat_b").alias("_hy"), F.col("lon_b").alias("_hx"), "_cy", "_cx", "_lat", "_lon"
-    ).agg(F.count("*").alias("_w"))
-    opened = undecided.join(inner, ["_hy", "_hx", "_cy", "_cx"]).withColumn(
-        "_d", haversine_km("_plat", "_plon", "_lat", "_lon")
-    )
-    second_aggs = [F.min("_d").alias("_nearest2")] if nearest is not None else []
-    if count:
-        hit = F.col("_border") & (F.col("_d") <= r)
-        second_aggs.append(F.sum(F.when(hit, F.col("_w")).otherwise(F.lit(0))).alias("_count2"))
-    second = opened.groupBy(point_id).agg(*second_aggs)
-
-    out = first.join(second, point_id, "left")
+        hit = F.col("_border") & (F.col("_d") <= radius_km)
+        aggs.append(F.sum(F.when(hit, F.col("_w")).otherwise(F.lit(0))).alias("_hits"))
+        aggs.append(F.max("_inside").alias("_inside"))
+    out = rows.groupBy(point_id).agg(*aggs)
     columns = [F.col(point_id)]
     if nearest is not None:
-        found = nearest_of("_nearest", "_nearest2")
-        if exact:
-            found = F.when(found <= r, found)
-        columns.append(found.alias(nearest))
+        columns.append((F.when(F.col(nearest) <= radius_km, F.col(nearest)) if exact else F.col(nearest)).alias(nearest))
     if count:
-        columns.append((F.col("_count") + F.coalesce(F.col("_count2"), F.lit(0))).cast("long").alias(within))
+        columns.append((F.col("_hits") + F.col("_inside")).cast("long").alias(within))
     return out.select(*columns)
 
 
@@ -290,64 +327,80 @@ def within_radius_pairs(
     )
 
 
-def competition_pressure(
-    targets: DataFrame, competitors: DataFrame, *, target_id: str, competitor_id: str,
-    intensity: tuple[float, float], lat: str = "lat", lon: str = "lon", size: str = "courts",
-    radius_km: float = fixed.IMPACT_RADIUS_KM, exponent: float = fixed.IMPACT_EXPONENT,
-    deg: float = fixed.IMPACT_GRID_DEG, cap: float = fixed.PRESSURE_MAX,
-    pressure: str = "pressure", nearest: str = "nearest_km", block: int = 2048,
+class Pressure(NamedTuple):
+    """One class of competitors: which they are, their intensity, and the names of the results."""
+
+    of: Column
+    intensity: tuple[float, float]
+    pressure: str
+    nearest: str
+
+
+def competition_pressures(
+    targets: DataFrame, competitors: DataFrame, classes: Sequence[Pressure], *, target_id: str, competitor_id: str,
+    lat: str = "lat", lon: str = "lon", size: str = "courts", radius_km: float = fixed.IMPACT_RADIUS_KM,
+    exponent: float = fixed.IMPACT_EXPONENT, deg: float = fixed.IMPACT_GRID_DEG, cap: float = fixed.PRESSURE_MAX, fine: int = 8,
 ) -> DataFrame:
-    """Sum over competitors within the radius of (1 - d/radius)^exponent * intensity, and the nearest one.
+    """Per target and class: the sum over its competitors within the radius of (1 - d/radius)^exponent * intensity, and the nearest one.
 
     A competitor never presses on the target with its own id. Both sides are merged by position
-    first; a target's own share, which sits at distance 0 with factor 1, is taken off afterwards.
-    Pairs of positions are aggregated where they arise and never shuffled. The targets of a crowded bucket
-    are dealt to blocks of about ``block``, so that one city is many tasks.
+    first; a target's own share, which sits at distance 0 with factor 1, is taken off afterwards. The classes share one join: a position
+    has a load and a number per class. Only nodes that reach into the radius are opened, and pairs of positions are
+    aggregated where they arise.
     """
-    base, slope = intensity
-    load = base + size_factor(size) * slope
+    aggs, sums = [], []
     known = _located(competitors, lat, lon).select(
-        F.col(competitor_id).alias("_cid"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"), load.alias("_load")
+        F.col(competitor_id).alias("_cid"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"),
+        *[F.when(c.of, c.intensity[0] + size_factor(size) * c.intensity[1]).otherwise(0.0).alias(f"_load{i}") for i, c in enumerate(classes)],
+        *[c.of.cast("long").alias(f"_n{i}") for i, c in enumerate(classes)],
     )
-    positions = known.groupBy("_lat", "_lon").agg(F.sum("_load").alias("_load"), F.count("*").alias("_n"))
-    lat_b, lon_b = grid_key("_lat", "_lon", deg)
-    lat_span, reach = _spans(radius_km, deg, F.col("_lat"))
-    near = expand_neighbors(positions.withColumns({"lat_b": lat_b, "lon_b": lon_b}), lat_span, reach=reach)
+    for i in range(len(classes)):
+        sums += [f"_load{i}", f"_n{i}"]
+    some = " OR ".join(f"_n{i} > 0" for i in range(len(classes)))
+    positions = known.filter(some).groupBy("_lat", "_lon").agg(*[F.sum(c).alias(c) for c in sums])
+    buckets, several = _place_tree(positions, deg, fine, sums)
+    tree = _surroundings(buckets, _around(deg, None, radius_km, True))
 
     spots = _located(targets, lat, lon).select(F.col(lat).alias("_plat"), F.col(lon).alias("_plon")).distinct()
-    t_lat_b, t_lon_b = grid_key("_plat", "_plon", deg)
+    lat_b, lon_b = grid_key("_plat", "_plon", deg)
+    rows = _opened(spots.withColumns({"lat_b": lat_b, "lon_b": lon_b}), tree, several, sums, nearest=False, radius_km=radius_km, count=None)
+    pairs = rows.withColumn("_d", haversine_km("_plat", "_plon", "_lat", "_lon")).filter(F.col("_d") <= radius_km)
     here = (F.col("_plat") == F.col("_lat")) & (F.col("_plon") == F.col("_lon"))
-    dealt, copied = _in_blocks(
-        spots.withColumns({"lat_b": t_lat_b, "lon_b": t_lon_b}), near, ["_plat", "_plon"], ["lat_b", "lon_b"], block
-    )
-    pairs = (
-        dealt.join(copied, ["lat_b", "lon_b", "_block"])
-        .withColumn("_d", haversine_km("_plat", "_plon", "_lat", "_lon")).filter(F.col("_d") <= radius_km)
-    )
     decay = F.pow(F.greatest(1.0 - F.col("_d") / radius_km, F.lit(0.0)), exponent)
-    # the load at the very position is kept apart: a target's own share comes off it without rounding
-    sums = pairs.groupBy("_plat", "_plon").agg(
-        F.sum(F.when(here, F.lit(0.0)).otherwise(decay * F.col("_load"))).alias("_away"),
-        F.sum(F.when(here, F.col("_load")).otherwise(F.lit(0.0))).alias("_load_here"),
-        F.min(F.when(~here, F.col("_d"))).alias("_nearest_away"),
-        F.sum(F.when(here, F.col("_n")).otherwise(F.lit(0))).alias("_n_here"),
-    )
+    for i in range(len(classes)):
+        load, n = F.col(f"_load{i}"), F.col(f"_n{i}")
+        aggs += [
+            # the load at the very position is kept apart: a target's own share comes off it without rounding
+            F.sum(F.when(here, F.lit(0.0)).otherwise(decay * load)).alias(f"_away{i}"),
+            F.sum(F.when(here, load).otherwise(F.lit(0.0))).alias(f"_load_here{i}"),
+            F.min(F.when(~here & (n > 0), F.col("_d"))).alias(f"_nearest_away{i}"),
+            F.sum(F.when(here, n).otherwise(F.lit(0))).alias(f"_n_here{i}"),
+        ]
     own = known.groupBy(F.col("_cid").alias(target_id), F.col("_lat").alias("_plat"), F.col("_lon").alias("_plon")).agg(
-        F.sum("_load").alias("_own_load"), F.count("*").alias("_own_n")
+        *[F.sum(c).alias(f"_own{c}") for c in sums]
     )
     out = (
         targets.select(target_id, F.col(lat).alias("_plat"), F.col(lon).alias("_plon"))
         .join(own, [target_id, "_plat", "_plon"], "left")
-        .join(sums, ["_plat", "_plon"], "left")
-    )
-    others = F.coalesce(F.col("_n_here"), F.lit(0)) - F.coalesce(F.col("_own_n"), F.lit(0))
-    here_load = F.when(others > 0, F.col("_load_here") - F.coalesce(F.col("_own_load"), F.lit(0.0))).otherwise(F.lit(0.0))
-    total = F.coalesce(F.col("_away") + here_load, F.lit(0.0))
-    return out.select(
-        target_id,
-        clip(total, 0.0, cap).alias(pressure),
-        F.when(others > 0, F.lit(0.0)).otherwise(F.col("_nearest_away")).alias(nearest),
+        .join(pairs.groupBy("_plat", "_plon").agg(*aggs), ["_plat", "_plon"], "left")
     )
+    columns = [F.col(target_id)]
+    for i, c in enumerate(classes):
+        others = F.coalesce(F.col(f"_n_here{i}"), F.lit(0)) - F.coalesce(F.col(f"_own_n{i}"), F.lit(0))
+        here_load = F.when(others > 0, F.col(f"_load_here{i}") - F.coalesce(F.col(f"_own_load{i}"), F.lit(0.0))).otherwise(F.lit(0.0))
+        total = F.coalesce(F.col(f"_away{i}") + here_load, F.lit(0.0))
+        columns.append(clip(total, 0.0, cap).alias(c.pressure))
+        columns.append(F.when(others > 0, F.lit(0.0)).otherwise(F.col(f"_nearest_away{i}")).alias(c.nearest))
+    return out.select(*columns)
+
+
+def competition_pressure(
+    targets: DataFrame, competitors: DataFrame, *, target_id: str, competitor_id: str,
+    intensity: tuple[float, float], pressure: str = "pressure", nearest: str = "nearest_km", **kw,
+) -> DataFrame:
+    """The pressure of one class, that of all competitors."""
+    classes = [Pressure(F.lit(True), intensity, pressure, nearest)]
+    return competition_pressures(targets, competitors, classes, target_id=target_id, competitor_id=competitor_id, **kw)
 
 
 def match_cell(

@@ -13,7 +13,7 @@ from placerank.operators.clean import with_missing
 from placerank.operators.dedupe import keep_last, stable_id
 from placerank.operators.joins import null_safe_join
 from placerank.operators.sets import union_all
-from placerank.operators.spatial import competition_pressure
+from placerank.operators.spatial import Pressure, competition_pressure, competition_pressures
 from placerank.operators.stats import exact_median_by, exact_quantiles
 from placerank.session import cut_lineage
 
@@ -99,15 +99,20 @@ def event_pressure(clubs: DataFrame, *, club_id: str = "place_id", **kw) -> Data
 def live_score(clubs: DataFrame, *, club_id: str = "place_id", cut: bool = True, **kw) -> DataFrame:
     """Scores of all clubs under batch and live pressure. ``club_id`` must be unique over both sources.
 
-    The clubs are needed five times over; with ``cut`` they are computed once, into the checkpoint folder.
+    One join of pairs serves both pressures. The clubs are needed four times over; with ``cut`` they are computed once, into the checkpoint folder.
     """
     if cut:
         clubs = cut_lineage(clubs)
-    pressed = (
-        score_base(clubs)
-        .join(base_pressure(clubs, club_id=club_id, **kw), club_id, "left")
-        .join(event_pressure(clubs, club_id=club_id, **kw), club_id, "left")
+    batch, live = (F.col("stream_source") == kind for kind in (BATCH, LIVE))
+    both = competition_pressures(
+        clubs, clubs, [
+            Pressure(batch, fixed.BASE_INTENSITY, "base_pressure", "base_nearest_km"),
+            Pressure(live, fixed.LIVE_INTENSITY, "event_pressure", "event_nearest_km"),
+        ], target_id=club_id, competitor_id=club_id, **kw,
     )
+    pressed = score_base(clubs).join(both, club_id, "left")
+    # batch clubs press on each other only
+    pressed = pressed.withColumns({c: F.when(batch, F.col(c)) for c in ("base_pressure", "base_nearest_km")})
     zero = F.lit(0.0)
     by_event = F.coalesce(F.col("event_pressure"), zero)
     total = clip(F.coalesce(F.col("base_pressure"), zero) + by_event, 0.0, fixed.PRESSURE_MAX)

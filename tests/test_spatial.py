@@ -41,15 +41,14 @@ def brute(points, places, deg, span, radius):
     return near, d, np.where(near & (d <= radius), 1, 0).sum(axis=1), np.where(near, d, np.inf).min(axis=1)
 
 
-@pytest.mark.parametrize("block", [16384, 3])
-@pytest.mark.parametrize("seed,deg,span,radius,fine", [(1, 0.01, 1, 1.0, 16), (2, 0.05, 3, 5.0, 4), (3, 0.05, 1, 0.4, 16), (4, 0.02, 2, 0.7, 2)])
-def test_proximity_equals_all_pairs(spark, seed, deg, span, radius, fine, block):
+@pytest.mark.parametrize("seed,deg,span,radius,fine", [(1, 0.01, 1, 1.0, 16), (2, 0.05, 3, 5.0, 4), (3, 0.05, 1, 0.4, 8), (4, 0.02, 2, 0.7, 2), (5, 0.05, 1, 0.05, 1)])
+def test_proximity_equals_all_pairs(spark, seed, deg, span, radius, fine):
     points, places = make(seed, 60, 120)
     _, _, count, nearest = brute(points, places, deg, span, radius)
     p, q = frames(spark, points, places)
     got = {
         r["id"]: r for r in
-        spatial.proximity_metrics(p, q, point_id="id", deg=deg, span=span, radius_km=radius, fine=fine, block=block).collect()
+        spatial.proximity_metrics(p, q, point_id="id", deg=deg, span=span, radius_km=radius, fine=fine).collect()
     }
     for i in range(len(points)):
         if np.isinf(nearest[i]):
@@ -96,27 +95,8 @@ def test_within_radius_pairs(spark):
     assert {(r["id"], r["pid"]) for r in pairs.select("id", "pid").collect()} == set(zip(*map(lambda x: x.tolist(), np.where(d <= 2.0))))
 
 
-def test_a_crowded_bucket_becomes_many_tasks(spark):
-    """One bucket, no broadcast: every point is in one block, every place in all, and the join runs in several tasks."""
-    from pyspark.sql import functions as F
-
-    points = spark.range(400).selectExpr("id", "1 AS lat_b", "2 AS lon_b")
-    places = spark.range(7).selectExpr("id AS pid", "1 AS lat_b", "2 AS lon_b")
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        dealt, copied = spatial._in_blocks(points, places, ["id"], ["lat_b", "lon_b"], 20)
-        rows = dealt.join(copied, ["lat_b", "lon_b", "_block"]).select("id", "pid", "_block", F.spark_partition_id().alias("task")).collect()
-    finally:
-        for key in settings:
-            spark.conf.unset(key)
-    assert sorted((r.id, r.pid) for r in rows) == [(i, j) for i in range(400) for j in range(7)]
-    assert len({r._block for r in rows}) == 20 and len({r.task for r in rows}) > 3
-
-
-@pytest.mark.parametrize("block", [2048, 4])
-def test_pressure_equals_all_pairs(spark, block):
+@pytest.mark.parametrize("fine", [1, 2, 8])
+def test_pressure_equals_all_pairs(spark, fine):
     points, _ = make(5, 30, 6, spread=2.0)
     points[10:14] = points[10]  # clubs at one position press on each other at distance 0
     courts = [None if i % 5 == 0 else float(i % 20) for i in range(len(points))]
@@ -124,7 +104,7 @@ def test_pressure_equals_all_pairs(spark, block):
         [(i, float(a), float(b), c) for i, ((a, b), c) in enumerate(zip(points, courts))], "id int, lat double, lon double, courts double"
     )
     got = {r["id"]: r for r in spatial.competition_pressure(
-        df, df, target_id="id", competitor_id="id", intensity=fixed.BASE_INTENSITY, cap=9.0, block=block).collect()}
+        df, df, target_id="id", competitor_id="id", intensity=fixed.BASE_INTENSITY, cap=9.0, fine=fine).collect()}
     load = np.array([0.002 + 0.008 * min(max(2.0 if c is None else c, 1.0), 12.0) / 12 for c in courts])
     d = km(points[:, None, 0], points[:, None, 1], points[None, :, 0], points[None, :, 1])
     np.fill_diagonal(d, np.inf)
@@ -142,3 +122,81 @@ def test_match_keeps_places_without_cell(spark):
     cells = spark.createDataFrame([(48.0, 2.0, 0.3), (48.002, 2.0, 0.9), (48.002, 2.0, None)], "cell_lat double, cell_lon double, s double")
     got = {r["id"]: r["s"] for r in spatial.match_cell(places, cells, 2, [F.col("s").desc_nulls_last()], place_id="id").collect()}
     assert got == {1: 0.9, 2: None}
+
+
+def city(n, seed, width=0.3):
+    """n positions of one crowded bucket"""
+    rng = np.random.default_rng(seed)
+    return np.column_stack([48.0 + rng.random(n) * width, 2.0 + rng.random(n) * width])
+
+
+def compared(spark, points, places, deg=1.0, **kw):
+    """Rows of positions that the points are compared with."""
+    from pyspark.sql import functions as F
+
+    p, q = frames(spark, points, places)
+    positions = q.select(F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), F.lit(1).cast("long").alias("_w"))
+    buckets, several = spatial._place_tree(positions, deg, 8, ["_w"])
+    tree = spatial._surroundings(buckets, spatial._around(deg, 1, None, False))
+    rows = spatial._opened(spatial._with_bucket(p, "id", "lat", "lon", deg), tree, several, ["_w"], **kw)
+    return rows.filter(F.col("_lat").isNotNull())
+
+
+def test_comparisons_do_not_grow_with_a_city(spark):
+    """While a bucket's places double, the nearest one is looked for among a few positions and a circle cuts an ever smaller share."""
+    points = city(60, 1, 0.05)
+    nearest, cut = {}, {}
+    for n in (1000, 2000, 4000):
+        places = city(n, 2, 0.05)
+        nearest[n] = compared(spark, points, places, 0.05, nearest=True, radius_km=None, count=None).count() / 60
+        cut[n] = compared(spark, points, places, 0.05, nearest=False, radius_km=1.0, count="_w").count() / 60 / n
+    assert nearest[4000] < 4
+    assert cut[4000] < 0.1 and cut[4000] <= cut[1000] * 1.1
+
+
+def test_pressure_opens_few_beyond_the_radius(spark):
+    from pyspark.sql import functions as F
+
+    from placerank.functions.geo import haversine_km
+
+    rows = compared(spark, city(40, 3, 2.0), city(4000, 4, 2.0), nearest=False, radius_km=20.0, count=None)
+    n = rows.count()
+    hits = rows.filter(haversine_km("_plat", "_plon", "_lat", "_lon") <= 20.0).count()
+    assert 0 < hits <= n < 1.5 * hits
+
+
+def test_lists_of_a_tree_are_bounded(spark):
+    """However crowded a bucket is, its row lists at most fine squared cells of as many parts."""
+    from pyspark.sql import functions as F
+
+    places = city(20000, 5)
+    _, q = frames(spark, places[:1], places)
+    buckets, several = spatial._place_tree(q.selectExpr("lat AS _lat", "lon AS _lon", "1L AS _w"), 1.0, 4, ["_w"])
+    (row,) = buckets.select(F.size("node.cells").alias("cells"), F.expr("array_max(transform(node.cells, c -> size(c.parts)))").alias("parts"), "node._w").collect()
+    assert row.cells <= 16 and row.parts <= 16 and row._w == 20000 and several.count() > 15000
+
+
+def test_near_the_pole_and_across_the_meridian(spark):
+    """Boxes are in space, so bounds hold where longitudes do not: the result is that of all pairs seen."""
+    rng = np.random.default_rng(8)
+    points = np.column_stack([89.5 + rng.random(30) * 0.4, rng.random(30) * 0.9])
+    places = np.column_stack([89.5 + rng.random(200) * 0.4, rng.random(200) * 0.9])
+    _, _, count, nearest = brute(points, places, 1.0, 1, 10.0)
+    p, q = frames(spark, points, places)
+    got = {r["id"]: r for r in spatial.proximity_metrics(p, q, point_id="id", deg=1.0, span=1, radius_km=10.0).collect()}
+    assert all(got[i]["n_within"] == count[i] and got[i]["nearest_km"] == pytest.approx(nearest[i], abs=1e-9) for i in range(30))
+
+
+def test_both_pressures_of_live_clubs_share_one_join(spark):
+    from placerank.plans import live
+
+    rows = [(str(i), f"c{i}", 48.0 + i / 100, 2.0, float(i % 9), [live.BATCH, live.LIVE][i % 3 == 0], 0.5) for i in range(30)]
+    clubs = spark.createDataFrame(rows, "place_id string, name string, lat double, lon double, courts double, stream_source string, zone_score double")
+    got = {r["place_id"]: r for r in live.live_score(clubs, cut=False).collect()}
+    base = {r["place_id"]: r for r in live.base_pressure(clubs).collect()}
+    event = {r["place_id"]: r for r in live.event_pressure(clubs).collect()}
+    for i, r in got.items():
+        both = (base[i]["base_pressure"] if i in base else 0.0) + event[i]["event_pressure"]
+        assert r["competition_pressure"] == pytest.approx(min(both, fixed.PRESSURE_MAX)) and r["event_pressure"] == pytest.approx(event[i]["event_pressure"])
+    plan = live.live_score(clubs, cut=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list(node") == 1
