@@ -184,7 +184,5 @@ def neighbor_pairs(spark, d):
 WITH {CLUBS_SQL} SELECT a.club_id AS club_a, b.club_id AS club_b, round({hav_sql('a.lat', 'a.lon', 'b.lat', 'b.lon')}, 6) AS distance_km
 FROM clubs a JOIN clubs b ON a.club_id < b.club_id WHERE {hav_sql('a.lat', 'a.lon', 'b.lat', 'b.lon')} <= 55""")
 def radius_pairs(spark, d):
-    a = clubs(spark, d).select(F.col("club_id").alias("club_a"), F.col("lat").alias("a_lat"), F.col("lon").alias("a_lon"))
-    b = clubs(spark, d).select(F.col("club_id").alias("club_b"), F.col("lat").alias("b_lat"), F.col("lon").alias("b_lon"))
-    pairs = spatial.within_radius_pairs(a, b, 55.0, 0.5, left=("a_lat", "a_lon"), right=("b_lat", "b_lon"))
-    return pairs.filter(F.col("club_a") < F.col("club_b")).select("club_a", "club_b", F.round("distance_km", 6).alias("distance_km"))
+    pairs = spatial.within_radius_self_pairs(clubs(spark, d), 55.0, 0.5, key="club_id", names=("club_a", "club_b"))
+    return pairs.select("club_a", "club_b", F.round("distance_km", 6).alias("distance_km"))

@@ -119,10 +119,9 @@ SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.02), 6) AS l_extende
   round(quantile_cont(l_extendedprice, 0.5), 6) AS l_extendedprice_mid, round(quantile_cont(l_extendedprice, 0.98), 6) AS l_extendedprice_high
 FROM lineitem GROUP BY 1""")
 def quantiles_exact(spark, d):
-    # small=1000 sends these groups through the bracketing that large groups take
     out = stats.exact_quantiles(
         table(spark, d, "lineitem"), ["l_extendedprice"], {"low": 0.02, "mid": 0.5, "high": 0.98}, ["l_returnflag"],
-        accuracy=1000, small=1000,
+        accuracy=1000,
     )
     return out.select("l_returnflag", *[F.round(c, 6).alias(c) for c in out.columns if c != "l_returnflag"])
 

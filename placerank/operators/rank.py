@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
+from placerank.operators.joins import null_safe_join
 from placerank.session import cut_lineage
 
 
@@ -42,13 +43,27 @@ def top_k_per(
 def dual_rank(
     df: DataFrame, order: Sequence[Column], part: Sequence[str], overall: str = "rank_all", within: str = "rank_part"
 ) -> DataFrame:
-    """Rank in the whole of a small top-k result and rank within each part of it."""
-    return df.withColumns(
+    """Rank in the whole of a table of any size and rank within each part of it; end the order with a unique column.
+
+    As in ``global_rank`` ranges are ordered apart and written first. A row's rank within its part is its place among the part's rows of
+    its range plus the part's rows in the ranges before, so neither the table nor a hot part is ordered in one task.
+    """
+    ranged = cut_lineage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy("_range", *part).agg(F.count("*").alias("_size"))
+    before = lambda *keys: Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range, and one per part and range
+    whole = sizes.groupBy("_range").agg(F.sum("_size").alias("_size"))
+    whole = whole.select("_range", F.coalesce(F.sum("_size").over(before()), F.lit(0)).alias("_before_all"))
+    parts = sizes.select("_range", *part, F.coalesce(F.sum("_size").over(before(*part)), F.lit(0)).alias("_before_part"))
+    placed = ranged.withColumns(
         {
-            overall: F.row_number().over(Window.orderBy(*order)),
-            within: F.row_number().over(Window.partitionBy(*part).orderBy(*order)),
+            overall: F.row_number().over(Window.partitionBy("_range").orderBy(*order)),
+            within: F.row_number().over(Window.partitionBy("_range", *part).orderBy(*order)),
         }
     )
+    return null_safe_join(placed, parts, ["_range", *part], "inner").join(whole, "_range").withColumns(
+        {overall: (F.col(overall) + F.col("_before_all")).cast("int"), within: (F.col(within) + F.col("_before_part")).cast("int")}
+    ).drop("_range", "_before_all", "_before_part")
 
 
 def global_rank(df: DataFrame, order: Sequence[Column], rank: str = "rank") -> DataFrame:

@@ -327,6 +327,31 @@ def within_radius_pairs(
     )
 
 
+def within_radius_self_pairs(
+    df: DataFrame, radius_km: float, deg: float, *, key: str, lat: str = "lat", lon: str = "lon",
+    names: tuple[str, str] = ("a", "b"), distance: str = "distance_km",
+) -> DataFrame:
+    """(names[0], names[1], distance) of all pairs of rows within the radius, each once, the smaller ``key`` first.
+
+    Half of a join: a row is copied only to its own bucket and to those that come later by latitude, then longitude, and within a bucket rows
+    meet in the order of their keys; no pair is made twice or with itself. ``key`` must be unique; rows without it are left out.
+    """
+    lat_b, lon_b = grid_key(lat, lon, deg)
+    rows = _located(df, lat, lon).filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("_k"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"), lat_b.alias("lat_b"), lon_b.alias("lon_b")
+    )
+    lat_span, reach = _spans(radius_km, deg, F.col("_lat"))
+    home = [F.col("lat_b").alias("_hy"), F.col("lon_b").alias("_hx")]
+    copies = expand_neighbors(rows.select("*", *home), lat_span, reach=reach)
+    later = (F.col("lat_b") > F.col("_hy")) | ((F.col("lat_b") == F.col("_hy")) & (F.col("lon_b") >= F.col("_hx")))
+    copies = copies.filter(later).withColumnsRenamed({"_k": "_k2", "_lat": "_lat2", "_lon": "_lon2"})
+    at_home = (F.col("lat_b") == F.col("_hy")) & (F.col("lon_b") == F.col("_hx"))
+    met = rows.join(copies, ["lat_b", "lon_b"]).filter(~at_home | (F.col("_k") < F.col("_k2")))
+    return met.withColumn(distance, haversine_km("_lat", "_lon", "_lat2", "_lon2")).filter(F.col(distance) <= radius_km).select(
+        F.least("_k", "_k2").alias(names[0]), F.greatest("_k", "_k2").alias(names[1]), distance
+    )
+
+
 class Pressure(NamedTuple):
     """One class of competitors: which they are, their intensity, and the names of the results."""
 

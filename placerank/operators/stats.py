@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from placerank.functions.scores import normalize
 from placerank.operators.joins import null_safe_join
+from placerank.session import cut_lineage
 
 
 def one_row(df: DataFrame, **aggs: Column) -> dict[str, Column]:
@@ -89,18 +90,19 @@ def quantile_profile(df: DataFrame, column: str, qs: Sequence[float] = (0.5, 0.9
 
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], qs: Mapping[str, float], keys: Sequence[str] = (),
-    accuracy: int = 10000, small: int = 100_000,
+    accuracy: int = 10000, margin: float = 4.0,
 ) -> DataFrame:
     """Exact interpolated quantiles per group, named '<column>_<name>'; a null key is a group.
 
     The built-in ``percentile`` keeps every distinct value of a group in one task's memory. Here a
-    sketch first brackets each wanted rank, values outside the brackets are only counted (with
-    map-side combine), and just the few values between the brackets are ordered. A group of at most
-    ``small`` rows is ordered whole. Both passes spread a hot group over all tasks.
+    sketch first brackets each wanted rank, ``margin`` of its errors wide on each side; values outside the brackets are only counted
+    (with map-side combine). The values between are ranked over ranges of all tasks, so neither a hot group nor a
+    bracket of many values meets in one task. A rank that is not within its bracket ends the job with an error, whatever the
+    sketch promises. The ranges are written to the checkpoint folder, as in ``global_rank``.
     """
-    x, margin = F.col("_x"), 4.0 / accuracy
+    x, wide = F.col("_x"), margin / accuracy
     wanted, keys = list(qs.items()), list(keys)
-    edges = [e for _, q in wanted for e in (max(0.0, q - margin), min(1.0, q + margin))]
+    edges = [e for _, q in wanted for e in (max(0.0, q - wide), min(1.0, q + wide))]
 
     # one pass for all columns: the column's name becomes part of the key
     melted = df.select(
@@ -108,18 +110,13 @@ def exact_quantiles(
     ).select(*keys, "_m._col", F.nanvl("_m._x", F.lit(None)).alias("_x"))
     by = [*keys, "_col"]
     brackets = melted.groupBy(*by).agg(
-        F.struct(
-            F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"),
-            F.percentile_approx(x, edges, accuracy).alias("edges"),
-        ).alias("_b")
+        F.struct(F.count(x).alias("n"), F.percentile_approx(x, edges, accuracy).alias("edges")).alias("_b")
     )
     rows = null_safe_join(melted, brackets, by, how="inner")
 
-    whole = F.col("_b.n") <= small
     inside, segment = F.lit(False), F.lit(0)
     for i in range(len(wanted)):
-        lo = F.when(whole, F.col("_b.lo")).otherwise(F.col("_b.edges")[2 * i])
-        hi = F.when(whole, F.col("_b.hi")).otherwise(F.col("_b.edges")[2 * i + 1])
+        lo, hi = F.col("_b.edges")[2 * i], F.col("_b.edges")[2 * i + 1]
         inside = inside | x.between(lo, hi)
         segment = segment + (x >= lo).cast("int") + (x > hi).cast("int")
     # a segment is a contiguous range of values, so its smallest value places it in the order;
@@ -129,15 +126,15 @@ def exact_quantiles(
         .groupBy(*by, "n", "_seg", "_v")
         .agg(F.count("_x").alias("_c"), F.min("_x").alias("_min"))
     )
-    order = Window.partitionBy(*by, "n").orderBy("_min")
-    runs = runs.withColumn("_end", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = _with_ends(runs, by, "_min", "_c", "_end")
 
+    missed = F.raise_error(F.lit("a quantile lies outside the bracket of its sketch; raise accuracy or margin")).cast("double")
     picks, outs = [], []
     for name, q in wanted:
         rank = F.lit(q) * (F.col("n") - 1)
         for side, index in (("f", F.floor(rank)), ("g", F.ceil(rank))):
             hit = (F.col("_end") > index) & (F.col("_end") - F.col("_c") <= index)
-            picks.append(F.max(F.when(hit, F.col("_min"))).alias(f"_{name}_{side}"))
+            picks.append(F.max(F.when(hit, F.when(F.col("_v").isNull(), missed).otherwise(F.col("_v")))).alias(f"_{name}_{side}"))
         low, high = F.col(f"_{name}_f"), F.col(f"_{name}_g")
         outs.append((low + (high - low) * (rank - F.floor(rank))).alias(name))
     picked = runs.groupBy(*by, "n").agg(*picks).select(*by, *outs)
@@ -147,6 +144,20 @@ def exact_quantiles(
     )
 
 
+def _with_ends(runs: DataFrame, by: list[str], order: str, weight: str, end: str) -> DataFrame:
+    """Adds ``end``: the sum of ``weight`` over the rows of the same keys up to each, in the order of a column.
+
+    Ranges are summed apart; what a key has in earlier ranges is added, one number per key and range.
+    """
+    ranged = cut_lineage(runs.repartitionByRange(*by, order).withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy(*by, "_range").agg(F.sum(weight).alias("_size"))
+    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*by, "_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = ranged.withColumn(end, F.sum(weight).over(inside))
+    return null_safe_join(summed, offsets, [*by, "_range"], "inner").withColumn(end, F.col(end) + F.col("_before")).drop("_range", "_before")
+
+
 def exact_median_by(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Exact medians of several columns per group, under the columns' own names."""
     out = exact_quantiles(df, cols, {"median": 0.5}, keys)

@@ -95,6 +95,19 @@ def test_within_radius_pairs(spark):
     assert {(r["id"], r["pid"]) for r in pairs.select("id", "pid").collect()} == set(zip(*map(lambda x: x.tolist(), np.where(d <= 2.0))))
 
 
+@pytest.mark.parametrize("deg,lat0", [(0.02, 48.0), (0.5, 66.0)])
+def test_self_pairs_are_made_once(spark, deg, lat0):
+    points, _ = make(12, 60, 6, lat0=lat0)
+    p, _ = frames(spark, points, points)
+    p = p.unionByName(spark.createDataFrame([(None, lat0, 2.0), (999, None, 2.0)], "id int, lat double, lon double"))
+    got = [(r["a"], r["b"]) for r in spatial.within_radius_self_pairs(p, 2.0, deg, key="id").collect()]
+    d = km(points[:, None, 0], points[:, None, 1], points[None, :, 0], points[None, :, 1])
+    assert sorted(got) == sorted((i, j) for i, j in zip(*np.where(d <= 2.0)) if i < j)
+    # before the distance is known there are hardly more candidates than half of all
+    plan = spatial.within_radius_self_pairs(p, 2.0, deg, key="id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+
+
 @pytest.mark.parametrize("fine", [1, 2, 8])
 def test_pressure_equals_all_pairs(spark, fine):
     points, _ = make(5, 30, 6, spread=2.0)

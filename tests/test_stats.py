@@ -7,15 +7,14 @@ from pyspark.sql import functions as F
 from placerank.operators import dedupe, joins, rank, sets, stats
 
 
-@pytest.mark.parametrize("small", [10, 100_000])
-def test_exact_quantiles(spark, small):
+def test_exact_quantiles(spark):
     rng = np.random.default_rng(3)
     groups = {"a": np.round(rng.normal(size=3000), 2), "b": np.array([5.0]), "c": np.repeat([1.0, 2.0], 700), None: rng.random(801)}
     rows = [(g, float(v), None if i % 4 else float(v) * 2) for g, vs in groups.items() for i, v in enumerate(vs)]
     rows += [("none", None, float("nan"))]
     df = spark.createDataFrame(rows, "g string, x double, y double")
     qs = {"lo": 0.02, "mid": 0.5, "hi": 0.98}
-    got = {r["g"]: r for r in stats.exact_quantiles(df, ["x", "y"], qs, ["g"], accuracy=100, small=small).collect()}
+    got = {r["g"]: r for r in stats.exact_quantiles(df, ["x", "y"], qs, ["g"], accuracy=100).collect()}
     assert set(got) == {"a", "b", "c", None, "none"}
     for g, vs in groups.items():
         for name, q in qs.items():
@@ -23,10 +22,43 @@ def test_exact_quantiles(spark, small):
             assert got[g][f"y_{name}"] == pytest.approx(np.quantile(vs[::4] * 2, q))
     assert got["none"]["x_mid"] is None and got["none"]["y_mid"] is None
     whole = np.concatenate(list(groups.values()))
-    row = stats.exact_quantiles(df, ["x"], qs, accuracy=100, small=small).collect()
+    row = stats.exact_quantiles(df, ["x"], qs, accuracy=100).collect()
     assert len(row) == 1 and row[0]["x_hi"] == pytest.approx(np.quantile(whole, 0.98))
 
 
+def test_quantiles_of_one_group_of_a_million_values(spark):
+    """No window orders a group, and the values of a wide bracket lie in many ranges."""
+    df = spark.range(1_000_000, numPartitions=8).selectExpr("(id * 7919) % 1000003 / 7D AS x", "'one' AS g")
+    want = np.quantile((np.arange(1_000_000) * 7919) % 1000003 / 7, [0.02, 0.5, 0.98])
+    for accuracy in (10000, 20):  # at 20 nearly all values lie in a bracket
+        out = stats.exact_quantiles(df, ["x"], {"lo": 0.02, "mid": 0.5, "hi": 0.98}, ["g"], accuracy=accuracy)
+        assert [out.collect()[0][f"x_{n}"] for n in ("lo", "mid", "hi")] == pytest.approx(want)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("_range" in line for line in windows)
+
+
+def test_a_missed_bracket_is_an_error(spark):
+    df = spark.range(100_000).selectExpr("id * 1D AS x")
+    with pytest.raises(Exception, match="outside the bracket"):
+        stats.exact_quantiles(df, ["x"], {"mid": 0.7321}, accuracy=10, margin=0.0).collect()
+
+
+def test_dual_rank_orders_no_table_in_one_task(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, None if i % 5 == 0 else int(rng.integers(0, 3)) * (i % 3 == 0), int(rng.integers(0, 40))) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id int, g int, s int").repartition(16)
+    out = rank.dual_rank(df, [F.desc("s"), F.asc("id")], ["g"])
+    order = sorted(rows, key=lambda r: (-r[2], r[0]))
+    per, want = {}, {}
+    for i, r in enumerate(order):
+        per[r[1]] = per.get(r[1], 0) + 1
+        want[r[0]] = (i + 1, per[r[1]])
+    assert {r.id: (r.rank_all, r.rank_part) for r in out.collect()} == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert all("_range" in line for line in plan.splitlines() if "row_number" in line and "Window [" in line)
+
+
 def test_quantiles_of_an_empty_table(spark):
     df = spark.createDataFrame([], "x double")
     assert stats.exact_quantiles(df, ["x"], {"mid": 0.5}).agg(F.max("x_mid")).collect()[0][0] is None
