@@ -43,3 +43,15 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     fs, jpath = _fs(spark, path)
     fs.delete(jpath, True)
+
+
+def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str | None:
+    """The first line of a text file, compressed ones by their ending; no more of it is read. None if it is empty."""
+    fs, jpath = _fs(spark, path)
+    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(fs.getConf()).getCodec(jpath)
+    stream = fs.open(jpath)
+    try:
+        text = codec.createInputStream(stream) if codec is not None else stream
+        return spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(text, encoding)).readLine()
+    finally:
+        stream.close()

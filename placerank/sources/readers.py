@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
@@ -10,15 +11,18 @@ from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, St
 from placerank import fixed
 from placerank.operators.clean import conform
 from placerank.operators.sets import union_all
-from placerank.sources.files import exists, expand
+from placerank.sources.files import exists, expand, first_line
+
+#: first lines that are waited for at a time
+HEADERS_AT_ONCE = 16
 
 
 def header_columns(spark: SparkSession, path: str, sep: str | None = None, encoding: str = "UTF-8") -> tuple[list[str], str]:
     """Column names and separator of a delimited file; ';' when the header has one, else ','."""
-    first = spark.read.option("encoding", encoding).text(path).limit(1).collect()
-    if not first:
+    line = first_line(spark, path, encoding)
+    if line is None:
         raise ValueError(f"{path} is empty")
-    line = first[0][0].lstrip("﻿").rstrip("\r")
+    line = line.lstrip("\ufeff").rstrip("\r")
     sep = sep or (";" if ";" in line else ",")
     return [name.strip('"') for name in line.split(sep)], sep
 
@@ -32,14 +36,15 @@ def read_delimited(
 
     Files of one header are read together and the groups are united by name; a column that a file lacks is null in its
     rows. ``present`` adds flags: name -> columns, true in the rows of files that have all of them. Only the first line of
-    each file is read beforehand.
+    each file is read beforehand, of many files at a time and without a Spark job.
     """
     paths = expand(spark, patterns)
     if not paths:
         raise FileNotFoundError(f"no file matches {patterns}")
     groups: dict[tuple, list[str]] = {}
-    for path in paths:
-        names, found = header_columns(spark, path, sep, encoding)
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        headers = list(pool.map(lambda path: header_columns(spark, path, sep, encoding), paths))
+    for path, (names, found) in zip(paths, headers):
         groups.setdefault((found, *names), []).append(path)
 
     def group(key: tuple, files: list[str]) -> DataFrame:

@@ -4,34 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from placerank.functions.text import col
 
 
 def write_table(
     df: DataFrame, path: str, partition_by: str | Sequence[str] | None = None, rows_per_file: int = 5_000_000,
-    mode: str = "overwrite",
+    mode: str = "overwrite", seen: Observation | None = None,
 ) -> None:
-    """Parquet, optionally in folders per partition value.
+    """Parquet, optionally in folders per partition value; ``seen`` counts the rows in the tasks that write them.
 
     ``rebalance`` gathers each partition value into few files, and adaptive execution splits a value
     that holds much of the table over several tasks (a plain repartition would give it one).
     """
-    if partition_by is None:
-        df.write.mode(mode).parquet(path)
+    keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
+    dealt = df.hint("rebalance", *keys) if keys else df
+    if seen is not None:
+        # above the exchange: a task that writes counts once, however often a lost executor's work is repeated
+        dealt = dealt.observe(seen, F.count(F.lit(1)).alias("n"))
+    if not keys:
+        dealt.write.mode(mode).parquet(path)
         return
-    keys = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     (
-        df.hint("rebalance", *keys)
-        .write.mode(mode).option("maxRecordsPerFile", rows_per_file).partitionBy(*keys).parquet(path)
+        dealt.write.mode(mode).option("maxRecordsPerFile", rows_per_file).partitionBy(*keys).parquet(path)
     )
 
 
 def write_verified(df: DataFrame, path: str, partition_by: str | Sequence[str] | None = None) -> int:
-    """Write, read back and count; the count comes from the Parquet footers."""
-    write_table(df, path, partition_by)
-    return df.sparkSession.read.schema(df.schema).parquet(path).count()
+    """Write, and compare the rows observed on the way with those the Parquet footers name; the table is not computed again."""
+    seen = Observation("written")
+    write_table(df, path, partition_by, seen=seen)
+    found = df.sparkSession.read.schema(df.schema).parquet(path).count()
+    if found != seen.get["n"]:
+        raise ValueError(f"{path} holds {found} rows, {seen.get['n']} were written")
+    return found
 
 
 def write_csv_single(df: DataFrame, path: str) -> None:

@@ -7,7 +7,8 @@ Each micro-batch writes new folders and never touches the ones readers use:
   writes silver/version=N with just the buckets it touches, made from their versions before and the
   batch; the newest version of each bucket is the state. A batch costs the keys of the buckets it
   touches, not the length of the history;
-* gold/version=N is the rollup of the active keys after batch N.
+* gold/version=N holds, for those buckets alone, what each adds to every group: counts, sums and the latest time. The rollup is the
+  sum over the newest of every bucket, so a batch reads and writes nothing of the buckets it does not touch, neither state nor gold.
 
 A version counts once its _SUCCESS marker is there, so a reader always finds whole buckets.
 """
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import (
     DoubleType, IntegerType, StringType, StructField, StructType, TimestampType,
@@ -45,6 +46,9 @@ STATE_SCHEMA = StructType(
 )
 
 
+GOLD_SCHEMA = "department string, nb_active_clubs long, nb_total_courts long, last_event_time timestamp"
+
+
 def parse_events(raw: DataFrame, schema: StructType = EVENT_SCHEMA) -> DataFrame:
     """Messages (value, timestamp) to event columns; text that does not parse gives null fields."""
     text = raw.select(F.col("value").cast("string").alias("raw_json"), F.col("timestamp").alias("message_time"))
@@ -85,6 +89,27 @@ def gold_by(current: DataFrame, key: str = "department") -> DataFrame:
     )
 
 
+def gold_parts(state: DataFrame, key: str = "department", delete_type: str = fixed.DELETE_EVENT) -> DataFrame:
+    """What each bucket of the state adds to every group. A key is in one bucket, so counts of keys may be added up.
+
+    Groups whose keys are all deleted stay with 0, so that a bucket has a row as long as it has a key.
+    """
+    here = F.col("event_type") != delete_type
+    return state.groupBy("bucket", key).agg(
+        F.count_if(here).alias("nb_active_clubs"),
+        F.sum(F.when(here, F.coalesce(F.col("courts"), F.lit(0))).otherwise(0)).alias("nb_total_courts"),
+        F.max(F.when(here, F.col("event_timestamp"))).alias("last_event_time"),
+    )
+
+
+def merged_gold(parts: DataFrame, key: str = "department") -> DataFrame:
+    """The rollup from the parts of all buckets."""
+    return parts.groupBy(key).agg(
+        F.sum("nb_active_clubs").alias("nb_active_clubs"), F.sum("nb_total_courts").alias("nb_total_courts"),
+        F.max("last_event_time").alias("last_event_time"),
+    ).filter(F.col("nb_active_clubs") > 0)
+
+
 @dataclass(frozen=True)
 class EventTables:
     """The folders of one stream. ``buckets`` must stay the same over the life of the tables."""
@@ -127,12 +152,12 @@ class EventTables:
             if name.startswith("version=") and exists(spark, f"{table}/{name}/_SUCCESS")
         )
 
-    def state_parts(self, spark: SparkSession, before: int | None = None) -> dict[int, int]:
-        """Newest complete version of each bucket."""
-        parts = {}
-        for version in self.versions(spark, self.silver):
+    def state_parts(self, spark: SparkSession, before: int | None = None, table: str | None = None) -> dict[int, int]:
+        """Newest complete version of each bucket, of the state or another table kept in buckets."""
+        table, parts = table or self.silver, {}
+        for version in self.versions(spark, table):
             if before is None or version < before:
-                for name in children(spark, f"{self.silver}/version={version}"):
+                for name in children(spark, f"{table}/version={version}"):
                     if name.startswith("bucket="):
                         parts[int(name.split("=")[1])] = version
         return parts
@@ -149,18 +174,18 @@ class EventTables:
 
     def drop_superseded(self, spark: SparkSession) -> None:
         """Delete what neither the newest state nor the one before it, which readers may hold, needs."""
-        known = self.versions(spark, self.silver)
-        needed = set(self.state_parts(spark).items()) | set(self.state_parts(spark, before=known[-1]).items() if known else ())
-        for version in known:
-            names = [n for n in children(spark, f"{self.silver}/version={version}") if n.startswith("bucket=")]
-            gone = [n for n in names if (int(n.split("=")[1]), version) not in needed]
-            if names and len(gone) == len(names):
-                delete(spark, f"{self.silver}/version={version}")
-            else:
-                for name in gone:
-                    delete(spark, f"{self.silver}/version={version}/{name}")
-        for old in self.versions(spark, self.gold)[:-2]:
-            delete(spark, f"{self.gold}/version={old}")
+        for table in (self.silver, self.gold):
+            known = self.versions(spark, table)
+            needed = set(self.state_parts(spark, table=table).items())
+            needed |= set(self.state_parts(spark, known[-1], table).items()) if known else set()
+            for version in known:
+                names = [n for n in children(spark, f"{table}/version={version}") if n.startswith("bucket=")]
+                gone = [n for n in names if (int(n.split("=")[1]), version) not in needed]
+                if names and len(gone) == len(names):
+                    delete(spark, f"{table}/version={version}")
+                else:
+                    for name in gone:
+                        delete(spark, f"{table}/version={version}/{name}")
 
     def read_silver(self, spark: SparkSession) -> DataFrame:
         return active(self.read_state(spark))
@@ -171,19 +196,20 @@ class EventTables:
         return spark.read.schema(STATE_SCHEMA).parquet(self.bronze)
 
     def read_gold(self, spark: SparkSession) -> DataFrame:
-        """The rollup after the last batch."""
-        known = self.versions(spark, self.gold)
-        if not known:
-            return gold_by(self.read_silver(spark))
-        return spark.read.parquet(f"{self.gold}/version={known[-1]}")
+        """The rollup after the last batch, from one small file per bucket."""
+        paths = [f"{self.gold}/version={v}/bucket={b}" for b, v in self.state_parts(spark, table=self.gold).items()]
+        return merged_gold(spark.read.schema(GOLD_SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], GOLD_SCHEMA))
 
 
-def append_bronze(batch: DataFrame, tables: EventTables, batch_id: int) -> None:
-    batch.write.mode("overwrite").parquet(f"{tables.bronze}/batch_id={batch_id}")
+def append_bronze(batch: DataFrame, tables: EventTables, batch_id: int) -> int:
+    """Log the events of a batch; their number is observed while they are written."""
+    seen = Observation("logged")
+    batch.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{tables.bronze}/batch_id={batch_id}")
+    return seen.get["n"]
 
 
 def process_batch(batch: DataFrame, batch_id: int, tables: EventTables, types=fixed.EVENT_TYPES) -> None:
-    """One micro-batch: log it, move the touched state and the rollup one version on, note the counts."""
+    """One micro-batch: log it, move the touched state and gold one version on, note the counts."""
     spark = batch.sparkSession
     batch.persist()
     try:
@@ -191,7 +217,7 @@ def process_batch(batch: DataFrame, batch_id: int, tables: EventTables, types=fi
             return
         good, bad = split_valid(batch, types)
         bad.write.mode("overwrite").parquet(f"{tables.rejects}/batch_id={batch_id}")
-        append_bronze(good, tables, batch_id)
+        events = append_bronze(good, tables, batch_id)
     finally:
         batch.unpersist()
     # read back: the source is parsed once, and silver sees exactly what bronze holds
@@ -201,25 +227,21 @@ def process_batch(batch: DataFrame, batch_id: int, tables: EventTables, types=fi
     if touched:
         before = tables.read_state(spark, before=batch_id, only=touched)
         moved = latest_state(before.unionByName(logged)).withColumn("bucket", tables.bucket())
-        (
-            moved.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
-            .parquet(f"{tables.silver}/version={batch_id}")
-        )
-        gold_by(tables.read_silver(spark)).write.mode("overwrite").parquet(f"{tables.gold}/version={batch_id}")
-    note = batch_summary(logged, tables.read_silver(spark), batch_id)
-    note.write.mode("overwrite").parquet(f"{tables.summary}/batch_id={batch_id}")
+        silver, gold = (f"{t}/version={batch_id}" for t in (tables.silver, tables.gold))
+        moved.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(silver)
+        written = spark.read.schema(StructType([*STATE_SCHEMA.fields, StructField("bucket", IntegerType())])).parquet(silver)
+        gold_parts(written).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(gold)
+    note = batch_summary(events, tables.read_gold(spark), batch_id)
+    note.coalesce(1).write.mode("overwrite").parquet(f"{tables.summary}/batch_id={batch_id}")
     tables.drop_superseded(spark)
 
 
-def batch_summary(batch: DataFrame, current: DataFrame, batch_id: int) -> DataFrame:
-    """Events in the batch, active keys and groups after it."""
-    now = current.agg(
-        F.struct(F.count("*").alias("active"), F.count_distinct(F.coalesce("department", F.lit(""))).alias("groups")).alias("s")
-    ).scalar()
-    return batch.agg(F.count("*").alias("events_batch")).select(
-        F.lit(batch_id).alias("id"), "events_batch",
-        now["active"].alias("active_clubs"), now["groups"].alias("departments"),
-    )
+def batch_summary(events: int, gold: DataFrame, batch_id: int) -> DataFrame:
+    """Events in the batch, active keys and groups after it; from the rollup, not the state. An empty and no group are one."""
+    return gold.agg(
+        F.coalesce(F.sum("nb_active_clubs"), F.lit(0)).alias("active_clubs"),
+        F.count_distinct(F.coalesce("department", F.lit(""))).alias("departments"),
+    ).select(F.lit(batch_id).alias("id"), F.lit(events).cast("long").alias("events_batch"), "active_clubs", "departments")
 
 
 def start_stream(

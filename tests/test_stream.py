@@ -4,7 +4,7 @@ import itertools
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameReader, functions as F
 
 from placerank.session import new_path
 from placerank.sources.readers import read_events
@@ -114,3 +114,42 @@ def test_a_batch_rewrites_only_the_buckets_it_touches(spark):
     assert len(state) == 40 and state["k7"] == 7
     # version 1 held only the bucket that versions 2 and 3 replaced
     assert tables.versions(spark, tables.silver) == [0, 2, 3]
+
+
+def test_gold_of_an_untouched_bucket_is_neither_read_nor_written(spark):
+    path, tables = new_path(spark, "in"), ev.EventTables(new_path(spark, "t"), buckets=16)
+    offer(spark, path, [message(i, "club_created", f"k{i}", "2024-01-01T00:00:00", 1, str(i % 3)) for i in range(40)])
+    consume(spark, path, tables)
+    first = tables.state_parts(spark, table=tables.gold)
+    home = spark.createDataFrame([("k7",)], "club_id string").select(tables.bucket()).first()[0]
+    opened = []
+    kept = DataFrameReader.parquet
+    DataFrameReader.parquet = lambda self, *paths, **kw: (opened.extend(paths), kept(self, *paths, **kw))[1]
+    try:
+        raw = spark.createDataFrame([(message(100, "club_deleted", "k7", "2024-01-02T00:00:00", None, "1"),)], "value string")
+        ev.process_batch(ev.parse_events(raw.withColumn("timestamp", F.current_timestamp())), 1, tables)
+    finally:
+        DataFrameReader.parquet = kept
+    states = [p for p in opened if "/silver/" in p and "bucket=" in p]
+    assert states == [f"{tables.silver}/version=0/bucket={home}"]
+    last = tables.state_parts(spark, table=tables.gold)
+    assert {b for b, v in last.items() if v != first[b]} == {home} and last[home] == 1
+    gold = {r.department: (r.nb_active_clubs, r.nb_total_courts) for r in tables.read_gold(spark).collect()}
+    assert gold == {"0": (14, 14), "1": (12, 12), "2": (13, 13)}
+
+
+def test_a_group_whose_clubs_are_all_deleted_is_gone(spark):
+    path, tables = new_path(spark, "in"), ev.EventTables(new_path(spark, "t"), buckets=2)
+    for i, kind in enumerate(("club_created", "club_deleted")):
+        offer(spark, path, [message(i, kind, "a", f"2024-01-0{i + 1}T00:00:00", 3, "75")])
+        consume(spark, path, tables)
+        notes = spark.read.parquet(tables.summary).orderBy(F.desc("id")).first()
+        assert (tables.read_gold(spark).count(), notes.active_clubs, notes.events_batch) == (1 - i, 1 - i, 1)
+
+
+def test_gold_parts_add_up_to_the_rollup(spark):
+    rows = [(f"k{i}", "club_deleted" if i % 4 == 0 else "club_created", None if i % 5 == 0 else str(i % 3), None if i % 7 == 0 else i) for i in range(60)]
+    state = spark.createDataFrame(rows, "club_id string, event_type string, department string, courts int").withColumn("event_timestamp", F.current_timestamp())
+    state = state.withColumn("bucket", F.abs(F.hash("club_id")) % 5)
+    got = {r.department: (r.nb_active_clubs, r.nb_total_courts) for r in ev.merged_gold(ev.gold_parts(state)).collect()}
+    assert got == {r.department: (r.nb_active_clubs, r.nb_total_courts) for r in ev.gold_by(ev.active(state)).collect()}
