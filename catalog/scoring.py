@@ -1,6 +1,7 @@
 """Normalisation, sub-scores, the composite score and the exports made from it."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from catalog.base import (
     ACCURACY, CELLS_SQL, CLUBS_SQL, DEMAND_SQL, PRICES_SQL, ROADS_SQL, STOPS_SQL, cells, clubs, demand, query, roads,
@@ -9,8 +10,10 @@ from catalog.base import (
 from catalog.geography import pairs_sql
 from placerank import fixed
 from placerank.operators import stats
+from placerank.operators.sets import union_all
 from placerank.plans import access, exports, score
-from placerank.session import cut_lineage
+from placerank.session import cut_lineage, new_path
+from placerank.sources.readers import read_geojson_document
 
 CAP = 2100.0
 
@@ -299,3 +302,40 @@ def export_clubs(spark, d):
         F.round(F.col("zone_score").cast("double"), 4).alias("zone_score"), "saturated",
         F.round(F.col("zone_income").cast("double"), 2).alias("zone_income"),
     )
+
+
+@query(f"""
+WITH {EXPORT_SQL}{TOP_SQL.removeprefix(SENSITIVITY_SQL)},
+t AS (SELECT cell_id, commune, lat, lon FROM top),
+z AS (SELECT commune, avg(lat) AS zlat, avg(lon) AS zlon FROM ex GROUP BY commune)
+SELECT 'cells' AS name, count(*) AS n, round(sum(round(score, 4)), 3) AS total FROM ex
+UNION ALL SELECT 'communes', count(DISTINCT commune), count(*)::DOUBLE FROM ex
+UNION ALL SELECT 'communes csv', count(DISTINCT commune), count(*)::DOUBLE FROM ex
+UNION ALL SELECT 'departments', count(DISTINCT department), count(*)::DOUBLE FROM ex
+UNION ALL SELECT 'top', count(*), (count(*) * (count(*) + 1) / 2)::DOUBLE FROM t
+UNION ALL SELECT 'top map', count(*), round(sum(round(coalesce(z.zlon, t.lon), 4)), 2) FROM t LEFT JOIN z USING (commune)""")
+def write_exports(spark, d):
+    """All export tables written to their folders and read back from them, one in folders per department, one also as CSV, and the map."""
+    made = cut_lineage(exported(spark, d))
+    best = cut_lineage(_ranked(spark, d))
+    communes = exports.export_communes(made)
+    root = new_path(spark, "exports")
+    written = exports.write_exports(
+        {"cells": made, "communes": communes, "departments": exports.export_departments(made, accuracy=ACCURACY), "top": best},
+        root, partition={"cells": "department"}, csv=["communes"],
+    )
+    exports.write_top_geojson(best, f"{root}/map", communes)
+    read = lambda name: spark.read.parquet(f"{root}/{name}")
+    points = read_geojson_document(spark, f"{root}/map", StructType([StructField("cell_id", LongType())]))
+    tables = {
+        "cells": (read("cells"), F.round(F.sum(F.round(F.col("score").cast("double"), 4)), 3)),
+        "communes": (read("communes"), F.sum("n_cells")),
+        "communes csv": (spark.read.option("header", True).csv(f"{root}/communes_csv"), F.sum("n_cells")),
+        "departments": (read("departments"), F.sum("n_cells")),
+        "top": (read("top"), F.sum("rank_national")),
+        "top map": (points, F.round(F.sum(F.round("lon", 4)), 2)),
+    }
+    rows = [df.agg(F.lit(name).alias("name"), F.count("*").alias("n"), total.cast("double").alias("total")) for name, (df, total) in tables.items()]
+    if any(written[name] != n for name, n in ((t, read(t).count()) for t in written)):
+        raise ValueError("the counts of write_exports are not those of its files")
+    return union_all(rows)
