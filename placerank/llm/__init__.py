@@ -5,6 +5,8 @@ packing   minimum bin slack                               vectors   product quan
 exact     minimal perfect hash over digests               simhash   multi-index hashing near-dedup
 warc      archive converter                               sharding  balanced label propagation
 mixing    time-varying curriculum                         substring recompression
+squares   runs by dyadic square catching                  toxicity  compression-distance classifier
+merkle    manifest with octopus multiproofs
 
 queries.py registers one query per operator, with its SQL where SQL can express it.
 """
