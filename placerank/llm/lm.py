@@ -1,23 +1,24 @@
 """Scoring by an n-gram language model in Elias-Fano tries.
 
-Level 1 holds every word of the training rows (a 64-bit hash stands for a word) with its count; a word's rank is its id.
-Level k holds the k-grams that occur `cutoffs[k - 1]` times or more (all of them, unless a caller asks for less), grouped by context, which is the node of its first
-k-1 words one level up. Successors are written relative to the end of the previous context's range, so a level is one
-growing sequence; it, the contexts and the pointers to their ranges are Elias-Fano coded: low bits packed, high bits in unary with counts
-per 64 bits. A look-up finds the context, its range by two pointers, and searches the successor from the range's base.
+Level 1 holds every word of the training rows (a 64-bit hash stands for a word) with running sums of the counts; a word's rank is its id.
+Level k holds the k-grams that occur `cutoffs[k - 1]` times or more (all of them, unless a caller asks for less), in the order of their
+contexts, the nodes of their first k-1 words one level up. A level has pointers to the range of each context and the successors, each
+relative to its context's base (context times number of words), so both are growing sequences. They are Elias-Fano coded: low bits packed,
+high bits in unary with counts per 64 bits. A look-up searches the successor from the context's base; the pointers give a context's range.
 
 A node's discounted probability (count - discount) / count(context) is rounded down to one of 256 values; what a context's
 nodes leave goes to the next shorter context, and at the end to (c + 0.1) / (N + 0.1 (V + 1)). So all probabilities after a
 context, with one class for all unknown words, sum to one, whatever was rounded or cut off.
 
-Counting: a task counts the distinct k-grams of a chunk and deals them by hash; merged counts below the cutoff
-go. A k-gram is counted only if its first and its last k-1 words are nodes, which loses none that the cutoff keeps as long as cutoffs do not fall with k.
-The rest is range-partitioned by context, and every partition writes one shard, a file in the shared folder that tasks map
-into memory. Shards split a context's successors where they are many. The driver sees a row per shard.
+Counting: after the words, one pass counts levels 2 and 3. A task counts the distinct triples of a chunk (a bigram before the end of a text has no
+third word), codes them as Elias-Fano blobs and deals them to ranges of about `PER_SHARD` tokens: the running sum of the counts up to the first word,
+and within it the id of the second, give the range by arithmetic, with nothing sampled, and split a frequent word. Triples of one bigram
+stay together, so the task that gets a range merges it, derives the bigrams' counts and writes both levels' shard, a file in the shared folder that
+tasks map into memory. The driver sees a row per shard.
 
 Defined results: null text is empty and scores the end alone. A null doc_id is held out. Repeated rows are counted as
 often as they stand there. Without training rows N = V = 0 and every token is unknown. Other columns are ignored. Whole texts are
-read. Ids and nodes must stay below 2**31 (an error says so).
+read. Ids must stay below 2**31 (an error says so).
 """
 
 from __future__ import annotations
@@ -32,40 +33,74 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from placerank.llm.common import chunks, crc32_mod, cut_lineage, mix, new_path, word_hashes, words
+from placerank.llm.common import chunks, crc32_mod, new_path, word_hashes, words
 
 PRIOR, DISCOUNT, STEP = 0.1, 0.75, 8
-CHUNK, PER_SHARD = 8 << 20, 2_000_000
+CHUNK, PER_SHARD, TEXT_PER_SHARD = 8 << 20, 2_000_000, 16 << 20
+#: contexts with more successors keep their sum, those of the others are added up when asked for
+NARROW = 4
+#: mapped bytes a worker keeps open
+HELD = 256 << 20
 #: b" " is no word, so its hash can stand for the end of a text, which is also the context of a first word
 END_MARK = b" "
 U, ONE = np.uint64, np.uint64(1)
+TAKES = np.exp2(-np.arange(256, dtype=np.float64) / STEP)
+#: position of the set bit of each rank in each byte
+IN_BYTE = np.array([([i for i in range(8) if byte >> i & 1] + [0] * 8)[:8] for byte in range(256)], np.uint8).ravel()
 _open: dict[str, dict] = {}
 
 
 # ------------------------------------------------------------- Elias-Fano
 
+def packed(values: np.ndarray, bits: int) -> np.ndarray:
+    """Values of `bits` bits each, one after the other in 64-bit words."""
+    n = len(values)
+    out = np.zeros(n * bits // 64 + 2, np.uint64)
+    if n and bits:
+        bit = np.arange(n, dtype=np.uint64) * U(bits)
+        word, shift = (bit >> U(6)).astype(np.int64), bit & U(63)
+        part = values & U((1 << bits) - 1)
+        first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        out[word[first]] = np.bitwise_or.reduceat(part << shift, first)
+        over = np.flatnonzero(shift + U(bits) > 64)
+        out[word[over] + 1] |= part[over] >> (U(64) - shift[over])
+    return out
+
+
+def unpacked(words_: np.ndarray, bits: int, i: np.ndarray) -> np.ndarray:
+    """The values of packed() at i."""
+    if not bits:
+        return np.zeros(len(i), np.uint64)
+    bit = i.astype(np.uint64) * U(bits)
+    word, shift = (bit >> U(6)).astype(np.int64), bit & U(63)
+    upper = np.where(shift > 0, words_[word + 1] << ((U(64) - shift) & U(63)), U(0))
+    return ((words_[word] >> shift) | upper) & U((1 << bits) - 1)
+
+
 def ef_build(values: np.ndarray, name: str) -> dict[str, np.ndarray]:
     """Arrays of a growing sequence of whole numbers."""
     n, top = len(values), int(values[-1]) if len(values) else 0
-    low_bits = max(0, ((top + 1) // max(1, n)).bit_length() - 1)
-    place = np.arange(n, dtype=np.uint64)
-    at = (values >> U(low_bits)) + place
+    bits = max(0, ((top + 1) // max(1, n)).bit_length() - 1)
+    at = (values >> U(bits)) + np.arange(n, dtype=np.uint64)
     high = np.zeros(int(at[-1] >> U(6)) + 2 if n else 1, np.uint64)
-    word = (at >> U(6)).astype(np.int64)
     if n:
+        word = (at >> U(6)).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
         high[word[first]] = np.bitwise_or.reduceat(ONE << (at & U(63)), first)
-    low = np.zeros(n * low_bits // 64 + 2, np.uint64)
-    if n and low_bits:
-        bit = place * U(low_bits)
-        word, shift = (bit >> U(6)).astype(np.int64), bit & U(63)
-        part = values & U((1 << low_bits) - 1)
-        first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-        low[word[first]] = np.bitwise_or.reduceat(part << shift, first)
-        over = np.flatnonzero(shift + U(low_bits) > 64)
-        low[word[over] + 1] |= part[over] >> (U(64) - shift[over])
     before = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.uint64)]).astype(np.uint32 if n < 1 << 32 else np.uint64)
-    return {f"{name}.low": low, f"{name}.high": high, f"{name}.before": before, f"{name}.n": np.array([n, low_bits], np.int64)}
+    return {f"{name}.low": packed(values, bits), f"{name}.high": high, f"{name}.before": before, f"{name}.n": np.array([n, bits], np.int64)}
+
+
+def ef_values(low: np.ndarray, high: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """All values of a sequence."""
+    i = np.arange(n)
+    part = np.flatnonzero(np.unpackbits(high.view(np.uint8), bitorder="little"))[:n] - i
+    return (part.astype(np.uint64) << U(bits)) | unpacked(low, bits, i)
+
+
+def _trailing(x: np.ndarray) -> np.ndarray:
+    """Number of zero bits below the lowest set one."""
+    return np.bitwise_count(~x & (x - ONE)).astype(np.int64)
 
 
 class Sequence:
@@ -77,29 +112,36 @@ class Sequence:
         self.zeros = np.arange(len(self.before), dtype=np.int64) * 64 - self.before.astype(np.int64)
 
     def _low(self, i: np.ndarray) -> np.ndarray:
-        if not self.bits:
-            return np.zeros(len(i), np.uint64)
-        bit = i.astype(np.uint64) * U(self.bits)
-        word, shift = (bit >> U(6)).astype(np.int64), bit & U(63)
-        upper = np.where(shift > 0, self.low[word + 1] << ((U(64) - shift) & U(63)), U(0))
-        return ((self.low[word] >> shift) | upper) & U((1 << self.bits) - 1)
+        return unpacked(self.low, self.bits, i)
 
     @staticmethod
     def _nth(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
-        """Position of the set bit of this rank in each word, by halving."""
-        at, rank = np.zeros(len(word), np.uint64), rank.astype(np.int64).copy()
-        for half in (32, 16, 8, 4, 2, 1):
-            n = np.bitwise_count((word >> at) & U((1 << half) - 1)).astype(np.int64)
-            beyond = rank >= n
-            rank -= np.where(beyond, n, 0)
-            at += np.where(beyond, U(half), U(0))
-        return at.astype(np.int64)
+        """Position of the set bit of this rank in each word: counts per byte, then a table."""
+        n = word - ((word >> ONE) & U(0x5555555555555555))
+        n = (n & U(0x3333333333333333)) + ((n >> U(2)) & U(0x3333333333333333))
+        n = ((n + (n >> U(4))) & U(0x0F0F0F0F0F0F0F0F)) * U(0x0101010101010101)  # of all bytes up to each
+        rank, tops = rank.astype(np.uint64), U(0x8080808080808080)
+        byte = np.minimum(np.bitwise_count(((rank * U(0x0101010101010101)) | tops) - n & tops), 7).astype(np.uint64) << U(3)
+        rank = rank - (((n << U(8)) >> byte) & U(255))
+        return IN_BYTE[((((word >> byte) & U(255)) << U(3)) | (rank & U(7))).astype(np.int64)].astype(np.int64) + byte.astype(np.int64)
 
     def get(self, i: np.ndarray) -> np.ndarray:
         word = np.searchsorted(self.before, i, "right") - 1
         at = word * 64 + self._nth(self.high[word], i - self.before[word].astype(np.int64))
         return ((at - i).astype(np.uint64) << U(self.bits)) | self._low(i)
 
+    def pair(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values at i and i + 1."""
+        word = np.searchsorted(self.before, i, "right") - 1
+        bit = self._nth(self.high[word], i - self.before[word].astype(np.int64))
+        rest = (self.high[word] >> bit.astype(np.uint64)) >> ONE
+        at = word * 64 + bit
+        first = ((at - i).astype(np.uint64) << U(self.bits)) | self._low(i)
+        second = ((at + _trailing(rest) - i).astype(np.uint64) << U(self.bits)) | self._low(i + 1)
+        far = np.flatnonzero(rest == 0)
+        second[far] = self.get(i[far] + 1)
+        return first, second
+
     def _start(self, part: np.ndarray) -> np.ndarray:
         """Number of values whose high part is below `part`."""
         k = part - 1
@@ -124,13 +166,28 @@ class Sequence:
         return lo
 
     def find(self, x: np.ndarray) -> np.ndarray:
-        """Index of each x, -1 where it is absent."""
-        i = self.successor(x)
-        inside = i < self.n
-        out = np.full(len(x), -1, np.int64)
-        at = np.flatnonzero(inside)
-        hit = self.get(i[at]) == x[at]
-        out[at[hit]] = i[at[hit]]
+        """Index of each x, -1 where it is absent; the values with its high bits are a run of ones after a zero."""
+        if not self.n:
+            return np.full(len(x), -1, np.int64)
+        part, low = (x >> U(self.bits)).astype(np.int64), x & U((1 << self.bits) - 1)
+        part = np.minimum(part, len(self.high) * 64)
+        lo = self._start(part)
+        at = lo + part
+        rest = ~self.high[np.minimum(at >> 6, len(self.high) - 1)] >> (at & 63).astype(np.uint64)
+        hi = np.where(lo < self.n, lo + _trailing(rest), lo)
+        far = np.flatnonzero((rest == 0) & (lo < self.n))
+        hi[far] = self._start(part[far] + 1)
+        out, end = np.full(len(x), -1, np.int64), np.minimum(hi, self.n)
+        hi = end.copy()
+        busy = np.flatnonzero(lo < hi)
+        while len(busy):
+            mid = (lo[busy] + hi[busy]) // 2
+            value = self._low(mid)
+            less, same = value < low[busy], value == low[busy]
+            out[busy[same]] = mid[same]
+            lo[busy[less]] = mid[less] + 1
+            hi[busy[~less]] = mid[~less]
+            busy = busy[~same & (lo[busy] < hi[busy])]
         return out
 
 
@@ -182,12 +239,14 @@ def open_arrays(uri: str) -> dict[str, np.ndarray]:
 
 
 def _shard(uri: str, names: tuple[str, ...]) -> dict:
-    """Arrays and sequences of a shard, opened once per worker."""
+    """Arrays and sequences of a shard; a worker keeps those that it used last open, up to HELD bytes."""
     if uri not in _open:
-        if len(_open) > 256:
-            _open.clear()
         arrays = open_arrays(uri)
-        _open[uri] = arrays | {k: Sequence(arrays, k) for k in names}
+        held = arrays | {k: Sequence(arrays, k) for k in names} | {"bytes": sum(a.nbytes for a in arrays.values())}
+        size = held["bytes"] + sum(h["bytes"] for h in _open.values())
+        while _open and size > HELD:
+            size -= _open.pop(next(iter(_open)))["bytes"]
+        _open[uri] = held
     return _open[uri]
 
 
@@ -195,74 +254,95 @@ class Model:
     """Where the shards are and what they cover; tasks get this and map the files."""
 
     def __init__(self, base: str, shift: int, first: pd.DataFrame):
-        self.base, self.shift, self.levels = base, shift, []
-        n = np.zeros(1 << (64 - shift), np.int64)
-        n[first["shard"]] = first["n"]
-        self.offsets = np.concatenate([[0], np.cumsum(n)])
-        self.tokens, self.types = int(first["tokens"].sum()), int(n.sum())
-
-    def ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(id, count) of each word hash; -1 and 0 where unknown."""
+        self.base, self.shift = base, shift
+        n, tokens = (np.zeros(1 << (64 - shift), np.int64) for _ in range(2))
+        n[first["shard"]], tokens[first["shard"]] = first["n"], first["tokens"]
+        self.offsets, self.sums = (np.concatenate([[0], np.cumsum(x)]) for x in (n, tokens))
+        self.tokens, self.types = int(tokens.sum()), int(n.sum())
+        self.shards, self.first, self.last, self.nodes = [], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def add(self, rows: pd.DataFrame) -> None:
+        """The manifest of levels 2 and 3: shard, number of bigrams, first and last bigram."""
+        rows = rows.sort_values("first")
+        self.shards, self.first, self.last = rows["shard"].tolist(), rows["first"].to_numpy(), rows["last"].to_numpy()
+        self.nodes = np.concatenate([[0], np.cumsum(rows["n"].to_numpy())]).astype(np.int64)
+
+    def ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(id, count, count of all words before) of each word hash; -1, 0 and 0 where unknown."""
         order = np.argsort(hashes)
-        ids, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
+        ids, counts, sums = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
         shard = (hashes[order] >> U(self.shift)).astype(np.int64) if self.shift < 64 else np.zeros(len(hashes), np.int64)
         for s in np.unique(shard).tolist():
             if self.offsets[s] == self.offsets[s + 1]:
                 continue
-            held = _shard(f"{self.base}/1/{s}", ("words",))
+            held = _shard(f"{self.base}/1/{s}", ("words", "sums"))
             at = order[np.searchsorted(shard, s):np.searchsorted(shard, s, "right")]
             found = held["words"].find(hashes[at] - U((s << self.shift) & ((1 << 64) - 1)))
             hit = found >= 0
             ids[at[hit]] = found[hit] + self.offsets[s]
-            counts[at[hit]] = held["counts"][found[hit]]
-        return ids, counts
-
-    def add(self, rows: pd.DataFrame) -> None:
-        """A level's manifest: shard, n, first and last key."""
-        rows = rows.sort_values("first").reset_index(drop=True)
-        self.levels.append((rows["shard"].to_numpy(), rows["first"].to_numpy(), rows["last"].to_numpy(), np.concatenate([[0], np.cumsum(rows["n"])])))
-
-    def count_of(self, level: int, nodes: np.ndarray) -> np.ndarray:
-        """Counts of sorted nodes of a level (1: words)."""
-        offsets = self.offsets if level == 1 else self.levels[level - 2][3]
-        out = np.zeros(len(nodes), np.int64)
-        where = np.searchsorted(offsets, nodes, "right") - 1
-        for i in np.unique(where).tolist():
-            mine = where == i
-            name = i if level == 1 else self.levels[level - 2][0][i]
-            held = _shard(f"{self.base}/{level}/{name}", ("words",) if level == 1 else ("contexts", "pointers", "successors"))
-            out[mine] = held["counts"][nodes[mine] - offsets[i]]
+            a, b = (x.astype(np.int64) for x in held["sums"].pair(found[hit]))
+            counts[at[hit]], sums[at[hit]] = b - a, a + self.sums[s]
+        return ids, counts, sums
+
+    def count_of(self, ids: np.ndarray) -> np.ndarray:
+        """Counts of sorted word ids."""
+        out = np.zeros(len(ids), np.int64)
+        where = np.searchsorted(self.offsets, ids, "right") - 1
+        for s in np.unique(where).tolist():
+            a, b = np.searchsorted(where, s), np.searchsorted(where, s, "right")
+            begin, end = _shard(f"{self.base}/1/{s}", ("words", "sums"))["sums"].pair(ids[a:b] - self.offsets[s])
+            out[a:b] = (end - begin).astype(np.int64)
         return out
 
-    def look_up(self, level: int, keys: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For sorted keys context << 32 | id: (node or -1, probability); for sorted contexts: the sum their nodes take."""
-        names, firsts, lasts, offsets = self.levels[level - 2]
+    def bigrams(self, first: np.ndarray, second: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For pairs of ids in order: (node or -1, probability); for sorted ids: the sum that their nodes take, over all their shards."""
+        keys = first * self.types + second
         nodes, share, mass = np.full(len(keys), -1, np.int64), np.zeros(len(keys)), np.zeros(len(contexts))
-        for i, name in enumerate(names.tolist()):
-            a, b = np.searchsorted(keys, firsts[i]), np.searchsorted(keys, lasts[i], "right")
-            c, d = np.searchsorted(contexts, firsts[i] >> 32), np.searchsorted(contexts, lasts[i] >> 32, "right")
+        for i in range(len(self.shards)):
+            low, high = int(self.first[i]) // self.types, int(self.last[i]) // self.types
+            a, b = np.searchsorted(keys, self.first[i]), np.searchsorted(keys, self.last[i], "right")
+            c, d = np.searchsorted(contexts, low), np.searchsorted(contexts, high, "right")
             if a == b and c == d:
                 continue
-            held = _shard(f"{self.base}/{level}/{name}", ("contexts", "pointers", "successors"))
-            at = held["contexts"].find(contexts[c:d].astype(np.uint64))
-            mass[c:d] += np.where(at >= 0, held["mass"][np.maximum(at, 0)], 0)
-            at = held["contexts"].find((keys[a:b] >> 32).astype(np.uint64))
-            known = np.flatnonzero(at >= 0)
-            if not len(known):
-                continue
-            begin = held["pointers"].get(at[known]).astype(np.int64)
-            end = held["pointers"].get(at[known] + 1).astype(np.int64)
-            base = np.where(begin > 0, held["successors"].get(np.maximum(begin - 1, 0)) + ONE, U(0))
-            found = held["successors"].find(base + (keys[a:b][known] & 0xFFFFFFFF).astype(np.uint64))
-            hit = (found >= begin) & (found < end)
-            nodes[a + known[hit]] = found[hit] + offsets[i]
-            share[a + known[hit]] = np.exp2(-held["codes"][found[hit]].astype(np.float64) / STEP)
+            found, share[a:b], more = self._in(i, 2, first[a:b] - low, second[a:b], contexts[c:d] - low)
+            mass[c:d] += more
+            nodes[a:b] = np.where(found >= 0, found + self.nodes[i], -1)
         return nodes, share, mass
 
+    def trigrams(self, place: np.ndarray, third: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For sorted nodes: the sum that their successors take; for (place in nodes, id) in order: the probability."""
+        share, mass = np.zeros(len(place)), np.zeros(len(nodes))
+        for i in range(len(self.shards)):
+            c, d = np.searchsorted(nodes, self.nodes[i]), np.searchsorted(nodes, self.nodes[i + 1])
+            if c == d:
+                continue
+            local = nodes[c:d] - self.nodes[i]
+            a, b = np.searchsorted(place, c), np.searchsorted(place, d)
+            _, share[a:b], mass[c:d] = self._in(i, 3, local[place[a:b] - c], third[a:b], local)
+        return share, mass
+
+    def _in(self, shard: int, level: int, at: np.ndarray, words_: np.ndarray, contexts: np.ndarray):
+        """In a shard, (index or -1, probability) of successors of the contexts `at`, and the sums of `contexts`, both counted from the shard's first."""
+        held = _shard(f"{self.base}/2/{self.shards[shard]}", tuple(f"{k}.{name}" for k in (2, 3) for name in ("pointers", "successors", "wide")))
+        codes = held[f"{level}.codes"]
+        begin, end = (x.astype(np.int64) for x in held[f"{level}.pointers"].pair(contexts))
+        size, mass = end - begin, np.zeros(len(contexts))
+        narrow = np.flatnonzero((size > 0) & (size <= NARROW))
+        for j in range(NARROW):
+            narrow = narrow[size[narrow] > j]
+            mass[narrow] += TAKES[codes[begin[narrow] + j]]
+        wide = np.flatnonzero(size > NARROW)
+        mass[wide] = held[f"{level}.mass"][held[f"{level}.wide"].find(contexts[wide].astype(np.uint64))]
+        found = held[f"{level}.successors"].find(at.astype(np.uint64) * U(self.types) + words_.astype(np.uint64))
+        share = np.zeros(len(at))
+        hit = np.flatnonzero(found >= 0)
+        share[hit] = TAKES[codes[found[hit]]]
+        return found, share, mass
+
 
 # ------------------------------------------------------------- counting
 
-def _tokens(batch: pa.RecordBatch, model: Model | None):
+def _tokens(batch: pa.RecordBatch):
     """(hash per dictionary entry, entry per token, first token of each text and the end): words and one end per text."""
     encoded, starts = words(batch)
     hashes, index = word_hashes(encoded, lower=True)
@@ -277,155 +357,183 @@ def _hash_end() -> int:
     return xxhash.xxh64_intdigest(END_MARK)
 
 
-def _walk(model: Model, hashes: np.ndarray, index: np.ndarray, starts: np.ndarray, levels: int):
-    """(ids, counts, node per level, probability per level, sum per level of each token's context)."""
-    ids, counts = model.ids(hashes)
-    ids, counts = ids[index], counts[index]
-    end = ids[starts[1] - 1] if len(starts) > 1 else -1
-    first = np.zeros(len(ids), bool)
-    first[starts[:-1]] = True
-    nodes, shares, masses = [ids], [], []
-    for level in range(2, levels + 1):
-        context = np.concatenate([[-1], nodes[-1][:-1]])
-        context[first] = end if level == 2 else -1
-        both = np.flatnonzero((context >= 0) & (ids >= 0))
-        keys, back = np.unique((context[both] << 32) | ids[both], return_inverse=True)
-        some = np.flatnonzero(context >= 0)
-        contexts, place = np.unique(context[some], return_inverse=True)
-        node, share, mass = model.look_up(level, keys, contexts)
-        nodes.append(np.full(len(ids), -1, np.int64))
-        shares.append(np.zeros(len(ids)))
-        masses.append(np.zeros(len(ids)))
-        nodes[-1][both], shares[-1][both], masses[-1][some] = node[back], share[back], mass[place]
-    return ids, counts, nodes, shares, masses, first, end
-
-
-def _blob(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    kind = np.uint8 if counts.max() < 256 else np.uint32
-    return np.int64(len(keys)).tobytes() + keys.tobytes() + counts.astype(kind).tobytes()
-
-
-def _merged(blobs) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys of all blobs with their counts."""
-    keys, counts = [], []
-    for b in blobs:
-        n = int(np.frombuffer(b, np.int64, 1)[0])
-        keys.append(np.frombuffer(b, np.uint64, n, 8))
-        counts.append(np.frombuffer(b, np.uint8 if len(b) < 8 + 12 * n else np.uint32, n, 8 + 8 * n).astype(np.int64))
-    keys, counts = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(keys)
-    keys = keys[order]
-    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[at], np.add.reduceat(counts[order], at)
-
-
-def _dealt(keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
-    order = np.argsort(bucket, kind="stable")
-    at = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0])) if len(order) else []
-    for a, b in zip(at, [*at[1:], len(order)]):
-        some = order[a:b]
-        yield pa.RecordBatch.from_arrays([pa.array([int(bucket[some[0]])], pa.int32()), pa.array([_blob(keys[some], counts[some])], pa.binary())], ["bucket", "blob"])
+def _blob(keys: np.ndarray, counts: np.ndarray, third: np.ndarray | None = None) -> bytes:
+    """Growing keys with counts, and a number beside each: Elias-Fano coded from the first key, packed, and plain."""
+    ef = ef_build(keys - keys[0], "k")
+    bits = 0 if third is None else int(third.max()).bit_length()
+    beside = packed(third, bits) if bits else np.zeros(0, np.uint64)
+    size = 1 if counts.max() < 256 else 4
+    head = np.array([len(keys), keys[0], ef["k.n"][1], len(ef["k.low"]), len(ef["k.high"]), bits, len(beside), size], np.uint64)
+    return b"".join(x.tobytes() for x in (head, ef["k.low"], ef["k.high"], beside, counts.astype(f"u{size}")))
+
+
+def _unblob(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, counts, third) of _blob."""
+    n, first, low_bits, low, high, bits, beside, size = np.frombuffer(blob, np.uint64, 8).tolist()
+    raw = np.frombuffer(blob, np.uint64, low + high + beside, 64)
+    keys = ef_values(raw[:low], raw[low:low + high], n, low_bits) + U(first)
+    third = unpacked(raw[low + high:], bits, np.arange(n))
+    return keys, np.frombuffer(blob, f"u{size}", n, 64 + 8 * len(raw)).astype(np.int64), third
+
+
+def _starts(sorted_: np.ndarray) -> np.ndarray:
+    """Where each distinct value of a sorted array starts."""
+    return np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])) if len(sorted_) else np.zeros(0, np.int64)
+
+
+def _dealt(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A blob per bucket; buckets grow."""
+    at = _starts(bucket)
+    for a, b in zip(at, [*at[1:], len(bucket)]):
+        yield pa.RecordBatch.from_arrays([pa.array([int(bucket[a])], pa.int64()), pa.array([_blob(*(c[a:b] for c in columns))], pa.binary())], ["bucket", "blob"])
 
 
 def _count_words(rows: DataFrame, base: str, shift: int) -> pd.DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, most=CHUNK):
-            hashes, index, _ = _tokens(batch, None)
+            hashes, index, _ = _tokens(batch)
             keys, place = np.unique(hashes, return_inverse=True)
             n = np.bincount(place[index], minlength=len(keys))
             keys, n = keys[n > 0], n[n > 0]
-            yield from _dealt(keys, n, (keys >> U(shift)).astype(np.int64) if shift < 64 else np.zeros(len(keys), np.int64))
+            yield from _dealt((keys >> U(shift)).astype(np.int64) if shift < 64 else np.zeros(len(keys), np.int64), keys, n)
 
     def write(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, n = _merged(pdf["blob"])
-        kind = np.uint32 if n.max() < 1 << 32 else np.uint64
-        write_arrays(f"{base}/1/{key[0]}", {**ef_build(keys - U((int(key[0]) << shift) & ((1 << 64) - 1)), "words"), "counts": n.astype(kind)})
+        keys, n = (np.concatenate(x) for x in list(zip(*map(_unblob, pdf["blob"])))[:2])
+        order = np.argsort(keys)
+        keys = keys[order]
+        at = _starts(keys)
+        keys, n = keys[at], np.add.reduceat(n[order], at)
+        sums = np.concatenate([[0], np.cumsum(n)]).astype(np.uint64)
+        write_arrays(f"{base}/1/{key[0]}", {**ef_build(keys - U((int(key[0]) << shift) & ((1 << 64) - 1)), "words"), **ef_build(sums, "sums")})
         return pd.DataFrame({"shard": [key[0]], "n": [len(keys)], "tokens": [int(n.sum())]})
 
-    return rows.mapInArrow(count, "bucket int, blob binary").groupBy("bucket").applyInPandas(write, "shard long, n long, tokens long").toPandas()
+    return rows.mapInArrow(count, "bucket long, blob binary").groupBy("bucket").applyInPandas(write, "shard long, n long, tokens long").toPandas()
 
 
-def _count_level(rows: DataFrame, model: Model, level: int, cutoff: int) -> DataFrame:
-    """Rows (key, n) of the k-grams to keep."""
-    buckets = 1 + model.tokens // PER_SHARD
+def _count_triples(rows: DataFrame, model: Model) -> DataFrame:
+    """Rows (bucket, blob): keys first * types + second, and the third word, `types` where the text has ended."""
+    types, per = model.types, -(-model.tokens // (1 + model.tokens // PER_SHARD))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, most=CHUNK):
-            ids, counts, nodes, _, _, first, end = _walk(model, *_tokens(batch, model), level - 1)
-            context = np.concatenate([[-1], nodes[-1][:-1]])
-            context[first] = end if level == 2 else -1
-            if level == 2:  # a pair is no more frequent than its words
-                often = counts >= cutoff
-                good = often & (np.concatenate([[False], often[:-1]]) | first)
-            else:
-                good = nodes[-1] >= 0
-            good &= (context >= 0) & (ids >= 0)
-            keys, n = np.unique((context[good] << 32) | ids[good], return_counts=True)
-            keys = keys.astype(np.uint64)
-            yield from _dealt(keys, n, (mix(keys) % U(buckets)).astype(np.int64))
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, n = _merged(pdf["blob"])
-        return pd.DataFrame({"key": keys[n >= cutoff].view(np.int64), "n": n[n >= cutoff]})
-
-    return cut_lineage(rows.mapInArrow(count, "bucket int, blob binary").groupBy("bucket").applyInPandas(merge, "key long, n long"))
-
-
-def _write_level(kept: DataFrame, model: Model, level: int) -> pd.DataFrame:
-    def build(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [p for p in parts if len(p)]
-        if not parts:
-            return
-        keys, n = (np.concatenate([p[c].to_numpy("int64") for p in parts]) for c in ("key", "n"))
-        context, word = keys >> 32, (keys & 0xFFFFFFFF).astype(np.uint64)
-        at = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-        last = word[np.concatenate([at[1:], [len(keys)]]) - 1] + ONE  # a range's values end here, from its base
-        base = np.concatenate([[U(0)], np.cumsum(last)[:-1]])
-        many = np.diff(np.concatenate([at, [len(keys)]]))
-        share = (n - DISCOUNT) / np.repeat(model.count_of(level - 1, context[at]), many)
-        codes = np.minimum(255, np.ceil(-np.log2(share) * STEP)).astype(np.uint8)
-        number = TaskContext.get().partitionId()
-        write_arrays(f"{model.base}/{level}/{number}", {
-            **ef_build(context[at].astype(np.uint64), "contexts"), **ef_build(np.concatenate([at, [len(keys)]]).astype(np.uint64), "pointers"),
-            **ef_build(word + np.repeat(base, many), "successors"), "codes": codes,
-            "mass": np.add.reduceat(np.exp2(-codes.astype(np.float64) / STEP), at), "counts": n.astype(np.uint32 if n.max() < 1 << 32 else np.uint64),
-        })
-        yield pd.DataFrame({"shard": [number], "n": [len(keys)], "first": [keys[0]], "last": [keys[-1]]})
-
-    shards = 1 + kept.count() // PER_SHARD
-    return (
-        kept.repartitionByRange(shards, "key").sortWithinPartitions("key")
-        .mapInPandas(build, "shard long, n long, first long, last long").toPandas()
-    )
+            hashes, index, starts = _tokens(batch)
+            ids, n, sums = model.ids(hashes)
+            ids, one, rank = np.unique(ids, return_index=True, return_inverse=True)
+            second, none = rank[index], len(ids)
+            first, third = np.empty_like(second), np.empty_like(second)
+            first[1:], third[:-1] = second[:-1], second[1:]
+            first[starts[:-1]], third[starts[1:] - 1] = rank[-1], none
+            bits = none.bit_length()
+            pair, place = (first << bits) | second, None
+            if 3 * bits > 62:  # a text of millions of different words
+                pair, place = np.unique(pair, return_inverse=True)
+            triple, many = np.unique(((pair if place is None else place) << bits) | third, return_counts=True)
+            third, pair = triple & ((1 << bits) - 1), triple >> bits if place is None else pair[triple >> bits]
+            first, second = pair >> bits, ids[pair & ((1 << bits) - 1)]
+            # the range that holds this share of the first word's count
+            at = sums[one][first] + (n[one][first] * (second / types)).astype(np.int64)
+            yield from _dealt(at // per, (ids[first] * types + second).astype(np.uint64), many, np.append(ids, types)[third].astype(np.uint64))
+
+    return rows.mapInArrow(count, "bucket long, blob binary")
+
+
+def _level(level: int, context: np.ndarray, contexts: int, words_: np.ndarray, share: np.ndarray, types: int) -> dict[str, np.ndarray]:
+    """Arrays of a level of a shard; context counts from the shard's first."""
+    codes = np.minimum(255, np.ceil(-np.log2(share) * STEP)).astype(np.uint8)
+    many = np.bincount(context, minlength=contexts)
+    pointers = np.concatenate([[0], np.cumsum(many)])
+    wide = np.flatnonzero(many > NARROW)
+    mass = np.add.reduceat(TAKES[codes], pointers[:-1][many > 0]) if len(codes) else np.zeros(0)
+    return {
+        **ef_build(pointers.astype(np.uint64), f"{level}.pointers"),
+        **ef_build(context.astype(np.uint64) * U(types) + words_.astype(np.uint64), f"{level}.successors"),
+        **ef_build(wide.astype(np.uint64), f"{level}.wide"), f"{level}.codes": codes, f"{level}.mass": mass[many[many > 0] > NARROW],
+    }
+
+
+def _write_levels(triples: DataFrame, model: Model, cutoffs: tuple[int, ...]) -> pd.DataFrame:
+    types = model.types
+
+    def write(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        keys, n, third = (np.concatenate(x) for x in zip(*map(_unblob, pdf.pop("blob"))))
+        pairs, place = np.unique(keys, return_inverse=True)
+        triple = (place.astype(np.uint64) << U(32)) | third
+        order = np.argsort(triple)
+        triple = triple[order]
+        at = _starts(triple)
+        n, place, third = np.add.reduceat(n[order], at), (triple[at] >> U(32)).astype(np.int64), (triple[at] & U(0xFFFFFFFF)).astype(np.int64)
+        del keys, triple, order
+        total = np.bincount(place, n, len(pairs)).astype(np.int64)
+        kept = total >= cutoffs[1]
+        node = np.cumsum(kept) - 1
+        good = kept[place] & (n >= cutoffs[2]) & (third < types)
+        made = _level(3, node[place[good]], int(kept.sum()), third[good], (n[good] - DISCOUNT) / total[place[good]], types)
+        pairs, total = pairs[kept].astype(np.int64), total[kept]
+        if not len(pairs):
+            return pd.DataFrame({"shard": [], "n": [], "first": [], "last": []}, dtype="int64")
+        first, second = pairs // types, pairs % types
+        made |= _level(2, first - first[0], int(first[-1] - first[0]) + 1, second, (total - DISCOUNT) / model.count_of(first), types)
+        write_arrays(f"{model.base}/2/{key[0]}", made)
+        return pd.DataFrame({"shard": [key[0]], "n": [len(pairs)], "first": [pairs[0]], "last": [pairs[-1]]})
+
+    return triples.groupBy("bucket").applyInPandas(write, "shard long, n long, first long, last long").toPandas()
 
 
 def train(rows: DataFrame, cutoffs: tuple[int, ...] = (1, 1, 1)) -> Model:
-    """The model of all rows (column text), with a level per cutoff; the first level keeps every word."""
-    if list(cutoffs) != sorted(cutoffs):
-        raise ValueError("cutoffs must not fall")
+    """The model of order 3 of all rows (column text); the first level keeps every word."""
+    if len(cutoffs) != 3 or list(cutoffs) != sorted(cutoffs):
+        raise ValueError("three cutoffs are needed, and they must not fall")
     base = new_path(rows.sparkSession, "trie")
-    shift = 64 - max(0, (rows.count() // 8192).bit_length())
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shift = 64 - (size // TEXT_PER_SHARD).bit_length()
     model = Model(base, shift, _count_words(rows, base, shift))
-    for level, cutoff in enumerate(cutoffs[1:], 2):
-        if model.types >= 1 << 31 or (model.levels and model.levels[-1][3][-1] >= 1 << 31):
-            raise ValueError("more than 2**31 words or nodes in a level")
-        kept = _count_level(rows, model, level, cutoff)
-        model.add(_write_level(kept, model, level))
+    if model.types >= 1 << 31:
+        raise ValueError("more than 2**31 words")
+    if model.tokens:
+        model.add(_write_levels(_count_triples(rows, model), model, cutoffs))
     return model
 
 
+def _interpolated(model: Model, hashes: np.ndarray, index: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(known, base probability, probability) of each token."""
+    ids, counts, _ = model.ids(hashes)
+    counts = counts[index]
+    plain = (counts + PRIOR) / (model.tokens + PRIOR * (model.types + 1))
+    ids, rank = np.unique(ids, return_inverse=True)
+    word, base = rank[index], len(ids)
+    before = np.empty_like(word)
+    before[1:], before[starts[:-1]] = word[:-1], rank[-1]
+    pairs, pair = np.unique(before * base + word, return_inverse=True)
+    first, second = pairs // base, pairs % base
+    known = np.flatnonzero((ids[first] >= 0) & (ids[second] >= 0))
+    node, share, mass = np.full(len(pairs), -1, np.int64), np.zeros(len(pairs)), np.zeros(base)
+    some = np.flatnonzero(ids >= 0)
+    node[known], share[known], mass[some] = model.bigrams(ids[first[known]], ids[second[known]], ids[some])
+    p = share[pair] + (1 - mass[before]) * plain
+    # the pair before a token is its context; pairs are in the order of their nodes
+    context = np.empty_like(pair)
+    context[1:] = pair[:-1]
+    context[starts[:-1]] = -1
+    deep = np.flatnonzero((context >= 0) & (node[context] >= 0))
+    nodes = np.flatnonzero(node >= 0)
+    place = np.zeros(len(pairs), np.int64)
+    place[nodes] = np.arange(len(nodes))
+    triples, back = np.unique(place[context[deep]] * base + word[deep], return_inverse=True)
+    sought = np.flatnonzero(ids[triples % base] >= 0)
+    share, (at, third) = np.zeros(len(triples)), (triples // base, ids[triples % base])
+    share[sought], mass = model.trigrams(at[sought], third[sought], node[nodes])
+    p[deep] = share[back] + (1 - mass[place[context[deep]]]) * p[deep]
+    return counts > 0, plain, p
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of docs (doc_id, held_out, text): also n_tokens, n_known, train_tokens, base_score, score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, most=CHUNK):
-            hashes, index, starts = _tokens(batch, model)
-            _, counts, _, shares, masses, _, _ = _walk(model, hashes, index, starts, len(model.levels) + 1)
-            plain = (counts + PRIOR) / (model.tokens + PRIOR * (model.types + 1))
-            p = plain
-            for share, mass in zip(shares, masses):
-                p = share + (1 - mass) * p
-            per = [np.add.reduceat(x, starts[:-1]) for x in (np.log10(plain), np.log10(p), (counts > 0).astype(np.int64))]
+            hashes, index, starts = _tokens(batch)
+            known, plain, p = _interpolated(model, hashes, index, starts)
+            per = [np.add.reduceat(x, starts[:-1]) for x in (np.log10(plain), np.log10(p), known.astype(np.int64))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(np.diff(starts)), pa.array(per[2]),
                  pa.array(np.full(batch.num_rows, model.tokens)), pa.array(per[0]), pa.array(per[1])],
