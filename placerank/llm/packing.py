@@ -41,7 +41,6 @@ def tokenizer(path: str):
         from tokenizers import Tokenizer
 
         _tokenizers[path] = Tokenizer.from_file(path)
-        _tokenizers[path].encode_special_tokens = True
     return _tokenizers[path]
 
 
@@ -49,14 +48,19 @@ def token_ids(column: pa.Array, path: str, end: int = 1) -> tuple[np.ndarray, np
     """(ids of all texts one after the other, each with the end id; where each text's ids start, one entry more).
 
     The byte-level tokenizer never joins a space before a word with what stands left of it, so words with their space
-    are encoded once per distinct word. Texts where a space is followed by white space or by the end are encoded whole.
+    are encoded once per distinct word. Texts where a space is followed by white space or by the end, and those that hold an added token
+    of the file (a special one, which the tokenizer takes out of the text before all else), are encoded whole.
     """
     import pyarrow.compute as pc
 
     loaded = tokenizer(path)
     column = pc.fill_null(column, "").cast(pa.large_string())
     loose = pc.match_substring_regex(column, r" (\s|$)|[^\x00-\x7F]")  # then looked at once more, with all white space
-    whole = [i for i in np.flatnonzero(np.asarray(loose)).tolist() if LOOSE.search(column[i].as_py())]
+    added = np.zeros(len(column), bool)
+    for token in loaded.get_added_tokens_decoder().values():
+        # one with a space in it could also come about between two words that are encoded side by side
+        added |= " " in token.content or np.asarray(pc.match_substring(column, token.content))
+    whole = [i for i in np.flatnonzero(np.asarray(loose) | added).tolist() if added[i] or LOOSE.search(column[i].as_py())]
     tight = column
     if whole:
         mask = np.zeros(len(column), bool)

@@ -254,6 +254,21 @@ def test_quality(spark, docs, none):
     assert quality.classify(none, labels).count() == 0 and quality.classify(docs, labels.limit(0)).count() == len(ROWS)
 
 
+def test_token_ids_are_those_of_the_file():
+    """Against the tokenizer as the file gives it, loaded apart: texts with its special token, loose spaces, and more than one slice of words."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    rng, mark = np.random.default_rng(8), "<|endoftext|>"
+    texts = [None, "", mark, f"a {mark} b", f"x{mark}{mark}y  z", f" {mark} ", "<|endof text|>", "tab\tand  two \n", "é ü\u3000 ß",
+             " ".join(f"w{i}" for i in rng.integers(0, 20000, 60000)), " ".join([mark, *(f"v{i}" for i in range(9000)), mark])]
+    fresh = Tokenizer.from_file(FILE)
+    ids, starts = packing.token_ids(pa.array(texts, pa.string()), FILE)
+    for i, t in enumerate(texts):
+        assert ids[starts[i]:starts[i + 1]].tolist() == [*fresh.encode(t or "", add_special_tokens=False).ids, 1]
+    assert 50256 in ids
+
+
 def test_sequence():
     rng = np.random.default_rng(7)
     for n, top in ((0, 5), (1, 5), (1000, 2000), (3000, 10**12), (2000, 1 << 63)):
