@@ -29,7 +29,16 @@ def haversine(spark, d):
 
 
 E2 = "0.006694380022903416e0"
-LAEA_SQL = f"""
+def laea_sql(digits: int | None = None) -> str:
+    """(c_custkey, lon, lat) of every customer's place on the metric grid, rounded if asked for."""
+    lon, lat = (f"round({c}, {digits})" if digits else c for c in (LAEA_LON, LAEA_LAT))
+    return f"{LAEA_STEPS}\nSELECT c_custkey, {lon} AS lon, {lat} AS lat FROM f"
+
+
+LAEA_LON = "degrees(radians(10e0) + atan2(x * sin(cc), d * rho * cos(b0) * cos(cc) - d * d * y * sin(b0) * sin(cc)))"
+LAEA_LAT = f"""degrees(beta + ({E2} / 3 + 31 * pow({E2}, 2) / 180 + 517 * pow({E2}, 3) / 5040) * sin(2 * beta)
+    + (23 * pow({E2}, 2) / 360 + 251 * pow({E2}, 3) / 3780) * sin(4 * beta) + (761 * pow({E2}, 3) / 45360) * sin(6 * beta))"""
+LAEA_STEPS = f"""
 WITH k AS (SELECT sqrt({E2}) AS e, radians(52e0) AS phi0),
 q AS (SELECT e, phi0, (1 - {E2}) * (1 / (1 - {E2}) - ln((1 - e) / (1 + e)) / (2 * e)) AS qp,
   (1 - {E2}) * (sin(phi0) / (1 - {E2} * sin(phi0) * sin(phi0)) - ln((1 - e * sin(phi0)) / (1 + e * sin(phi0))) / (2 * e)) AS q0 FROM k),
@@ -40,13 +49,10 @@ p AS (SELECT c_custkey, b0, rq, d, 3200000e0 + (c_custkey * 7919) % 900000 - 432
   2100000e0 + (c_custkey * 6007) % 1000000 - 3210000e0 AS y FROM customer, d),
 r AS (SELECT *, sqrt((x / d) * (x / d) + (d * y) * (d * y)) AS rho FROM p),
 c AS (SELECT *, 2 * asin(rho / (2 * rq)) AS cc FROM r),
-f AS (SELECT *, asin(cos(cc) * sin(b0) + d * y * sin(cc) * cos(b0) / rho) AS beta FROM c)
-SELECT c_custkey, round(degrees(radians(10e0) + atan2(x * sin(cc), d * rho * cos(b0) * cos(cc) - d * d * y * sin(b0) * sin(cc))), 7) AS lon,
-  round(degrees(beta + ({E2} / 3 + 31 * pow({E2}, 2) / 180 + 517 * pow({E2}, 3) / 5040) * sin(2 * beta)
-    + (23 * pow({E2}, 2) / 360 + 251 * pow({E2}, 3) / 3780) * sin(4 * beta) + (761 * pow({E2}, 3) / 45360) * sin(6 * beta)), 7) AS lat FROM f"""
+f AS (SELECT *, asin(cos(cc) * sin(b0) + d * y * sin(cc) * cos(b0) / rho) AS beta FROM c)"""
 
 
-@query(LAEA_SQL)
+@query(laea_sql(7))
 def laea_inverse(spark, d):
     k = F.col("c_custkey")
     xy = table(spark, d, "customer").select(
@@ -68,7 +74,13 @@ _STEPS = ",\n".join(
     f"i{i + 1} AS (SELECT *, pi() / 2 - 2 * atan(t * pow((1 - e * sin(phi{i})) / (1 + e * sin(phi{i})), e / 2)) AS phi{i + 1} FROM i{i})"
     for i in range(5)
 )
-LCC_SQL = f"""
+def lcc_sql(digits: int | None = None) -> str:
+    """(s_suppkey, lon, lat) of every supplier's place on the metric grid, rounded if asked for."""
+    lon, lat = (f"round({c}, {digits})" if digits else c for c in ("degrees(atan2(x, y) / n + radians(3e0))", "degrees(phi5)"))
+    return f"{LCC_STEPS}\nSELECT s_suppkey, {lon} AS lon, {lat} AS lat FROM i5"
+
+
+LCC_STEPS = f"""
 WITH k AS (SELECT sqrt({E2}) AS e, radians(49e0) AS p1, radians(44e0) AS p2, radians(46.5e0) AS pf),
 n AS (SELECT *, (ln({_m('p1')}) - ln({_m('p2')})) / (ln({_t('p1')}) - ln({_t('p2')})) AS n FROM k),
 f AS (SELECT *, {_m('p1')} / (n * pow({_t('p1')}, n)) AS f FROM n),
@@ -77,11 +89,10 @@ p AS (SELECT s_suppkey, e, n, f, 200000e0 + (s_suppkey * 7919) % 1000000 - 70000
   rf - (6100000e0 + (s_suppkey * 6007) % 900000 - 6600000e0) AS y FROM supplier, g),
 i0 AS (SELECT *, pow(sqrt(x * x + y * y) / (6378137e0 * f), 1 / n) AS t,
   pi() / 2 - 2 * atan(pow(sqrt(x * x + y * y) / (6378137e0 * f), 1 / n)) AS phi0 FROM p),
-{_STEPS}
-SELECT s_suppkey, round(degrees(atan2(x, y) / n + radians(3e0)), 7) AS lon, round(degrees(phi5), 7) AS lat FROM i5"""
+{_STEPS}"""
 
 
-@query(LCC_SQL)
+@query(lcc_sql(7))
 def lcc_inverse(spark, d):
     k = F.col("s_suppkey")
     xy = table(spark, d, "supplier").select(

@@ -13,6 +13,7 @@ from placerank.functions.scores import share
 from placerank.functions.text import decimal_comma
 from placerank.operators.clean import resolve_columns
 from placerank.operators.stats import minmax
+from placerank.session import cut_lineage
 from placerank.sources.readers import read_delimited
 
 # Canonical column -> spellings found in the files, first present wins
@@ -57,9 +58,13 @@ def locate_census(cells: DataFrame) -> DataFrame:
     return epsg3035_to_wgs84(cells, "X_c", "Y_c", "lon", "lat").filter(in_bbox("lat", "lon", fixed.BBOX_WIDE))
 
 
-def census_features(cells: DataFrame) -> DataFrame:
-    """Target share, income score over all cells, and department; cells of a known department."""
-    shared = cells.withColumn("target_share", share(["Ind_18_24", "Ind_25_39"], "Ind"))
+def census_features(cells: DataFrame, cut: bool = True) -> DataFrame:
+    """Target share, income score over all cells, and department; cells of a known department.
+
+    With ``cut`` the cells are written to the checkpoint folder first: the income range and the rows both need them, and would
+    otherwise parse and project the files twice.
+    """
+    shared = (cut_lineage(cells) if cut else cells).withColumn("target_share", share(["Ind_18_24", "Ind_25_39"], "Ind"))
     scored = minmax(shared, {"Ind_snv": "income_score"}, degenerate=0.0)
     return scored.withColumn("department", department_of("code_commune_insee", "IdINSPIRE")).filter(
         valid_code("department", overseas=True)
