@@ -6,9 +6,9 @@ from catalog.base import (
     ACCURACY, CELL, CELLS_SQL, CLUBS_SQL, PRICES_SQL, STOP, WHOLE, cells, clubs, query, sales, spot, spot_sql, table,
 )
 from placerank import fixed
-from placerank.operators import dedupe, joins, rank, rollup as roll, sets, spatial, stats
+from placerank.operators import dedupe, joins, rank, rollup as roll, sets, sketches, spatial, stats
 from placerank.plans import score
-from placerank.session import cut_lineage
+from placerank.session import cut_lineage, new_path
 from placerank.sources import readers, writers
 
 
@@ -401,3 +401,26 @@ def coverage_check(spark, d):
 @query("""SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem""")
 def distinct_keys(spark, d):
     return sets.distinct_keys(table(spark, d, "lineitem"), "l_suppkey", "l_returnflag")
+
+
+@query("""
+SELECT l_returnflag, count(*) AS n, min(l_extendedprice) AS price_min, max(l_extendedprice) AS price_max, true AS p50_within, true AS p90_within
+FROM lineitem GROUP BY 1""")
+def sketch_table(spark, d):
+    """Sketches per year of sale and flag, one year replayed, merged to the flag; the ranks of the answers are then counted exactly."""
+    lines = table(spark, d, "lineitem").select(
+        "l_returnflag", F.col("l_extendedprice").alias("price"), F.year(F.col("l_shipdate").cast("date")).alias("year")
+    )
+    path, k, asked = new_path(spark, "sketches"), 4096, {"p50": 0.5, "p90": 0.9}
+    sketches.write_parts(lines, path, "year", ["l_returnflag"], ["price"], k)
+    sketches.write_part(lines.filter("year = 1995"), path, "1995", ["l_returnflag"], ["price"], k)
+    found = sketches.quantiles(sketches.read_merged(spark, path, ["l_returnflag"]), asked, ["l_returnflag"])
+    counts = [F.count_if(F.col("price") < F.col(f"price_{q}")).alias(f"{q}_below") for q in asked]
+    counts += [F.count_if(F.col("price") <= F.col(f"price_{q}")).alias(f"{q}_upto") for q in asked]
+    ranked = lines.join(found, "l_returnflag").groupBy("l_returnflag", "n", "price_min", "price_max").agg(*counts)
+    error = 2 * sketches.rank_error(k)  # twice what 99 of 100 hold
+    within = [
+        ((F.col(f"{name}_below") / F.col("n") - error <= q) & (F.col(f"{name}_upto") / F.col("n") + error >= q)).alias(f"{name}_within")
+        for name, q in asked.items()
+    ]
+    return ranked.select("l_returnflag", "n", "price_min", "price_max", *within)
