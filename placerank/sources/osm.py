@@ -27,11 +27,14 @@ def _valid_location() -> Column:
     return F.col("lat").between(-90.0, 90.0) & F.col("lon").between(-180.0, 180.0)
 
 
+def _stop_type() -> Column:
+    return F.coalesce(*[F.when(_tag(k) == v, F.lit(v)) for k, v in STOP_TAGS])
+
+
 def osm_transport_stops(nodes: DataFrame) -> DataFrame:
-    kind = F.coalesce(*[F.when(_tag(k) == v, F.lit(v)) for k, v in STOP_TAGS])
     return (
         nodes.filter(_valid_location())
-        .select(F.col("id").alias("osm_id"), kind.alias("stop_type"), "lat", "lon")
+        .select(F.col("id").alias("osm_id"), _stop_type().alias("stop_type"), "lat", "lon")
         .filter(F.col("stop_type").isNotNull())
     )
 
@@ -66,15 +69,20 @@ def osm_road_axes(ways: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def osm_extract_stats(nodes: DataFrame, ways: DataFrame) -> DataFrame:
-    """One row: nodes and ways seen, stops and roads kept, roads without a located node."""
-    stops = osm_transport_stops(nodes).agg(F.count("*").alias("n")).scalar()
+    """One row: nodes and ways seen, stops and roads kept, roads without a located node.
+
+    Nodes and ways are each counted in one pass, and read once more for the join that tells which roads are kept.
+    """
+    counted = nodes.agg(
+        F.count("*").alias("nodes_seen"), F.count_if(_valid_location() & _stop_type().isNotNull()).alias("stops_kept")
+    )
+    seen = ways.agg(
+        F.struct(F.count("*").alias("ways"), F.count_if(_tag("highway").isin(*ROAD_CLASSES)).alias("axes")).alias("s")
+    ).scalar()
     roads = osm_road_axes(ways, nodes).agg(F.count("*").alias("n")).scalar()
-    axes = _axes(ways).agg(F.count("*").alias("n")).scalar()
-    seen = nodes.agg(F.count("*").alias("nodes_seen"))
-    return seen.select(
-        "nodes_seen",
-        ways.agg(F.count("*").alias("n")).scalar().alias("ways_seen"),
-        stops.alias("stops_kept"),
-        roads.alias("roads_kept"),
-        (axes - roads).alias("roads_without_nodes"),
+    # each scalar stands in the plan once
+    row = counted.select("nodes_seen", "stops_kept", seen.alias("_seen"), roads.alias("roads_kept"))
+    return row.select(
+        "nodes_seen", F.col("_seen.ways").alias("ways_seen"), "stops_kept", "roads_kept",
+        (F.col("_seen.axes") - F.col("roads_kept")).alias("roads_without_nodes"),
     )
