@@ -80,8 +80,9 @@ def _files(df: DataFrame, base: str, ending: str, encode: Callable, opening: Cal
         for batch in batches:
             for row in batch.to_pylist():
                 if out is None:
-                    name = f"part-{task.partitionId():06d}-{number:04d}.{ending}"
-                    hidden = f"{folder}/_{task.taskAttemptId()}-{name}"
+                    # the attempt is part of the name, so that a late attempt cannot write over an archive that the manifest lists
+                    name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}-{number:04d}.{ending}"
+                    hidden = f"{folder}/_{name}"
                     out = [system.open_output_stream(hidden, compression=None), hidden, name, 0]
                     first = opening(name, task.partitionId())
                     if first:
@@ -112,18 +113,31 @@ def _members(raw) -> Iterator[tuple[bytes, bytes]]:
 
 
 def _parsed(spark: SparkSession, base: str, ending: str, parse: Callable, schema: str) -> DataFrame:
-    """The records of all archives under base/files, in rows of the schema."""
-    if spark.read.parquet(f"{base}/manifest").isEmpty():
+    """The records of the archives that the manifest lists, in rows of the schema.
+
+    Only those: a lost attempt may have left whole archives in the folder, whose records were written again by the attempt
+    that took its place. The tasks open the archives themselves; neither names nor contents pass through the driver.
+    """
+    manifest = spark.read.parquet(f"{base}/manifest")
+    files = manifest.count()
+    if not files:
         return spark.createDataFrame([], schema)
     names = [f.split()[0] for f in schema.split(", ")]
     types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     arrow = pa.schema([(f.split()[0], types[f.split()[1]]) for f in schema.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
         for batch in batches:
-            for raw in batch.column("content"):
+            for path in batch.column("path").to_pylist():
+                if not path.endswith(f".{ending}"):
+                    raise ValueError(f"{path} is not a {ending} archive")
+                system, name = fs.FileSystem.from_uri(path)
+                with system.open_input_file(name) as source:
+                    raw = source.read_buffer()
                 rows, size = [], 0
-                for row in parse(raw.as_buffer()):
+                for row in parse(raw):
                     rows.append(row)
                     size += sum(len(v) for v in row if isinstance(v, bytes))
                     if size >= 8 << 20:
@@ -132,8 +146,8 @@ def _parsed(spark: SparkSession, base: str, ending: str, parse: Callable, schema
                 if rows:
                     yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], arrow)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{ending}").load(f"{base}/files")
-    return files.select("content").mapInArrow(run, schema)
+    # a task per archive, which is as large as `roll` lets it grow
+    return manifest.select("path").repartition(min(files, 20_000)).mapInArrow(run, schema)
 
 
 # ------------------------------------------------------------- ARC

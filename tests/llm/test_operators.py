@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import pathlib
 import zlib
 
 import numpy as np
@@ -230,6 +231,17 @@ def test_warc(spark):
     assert warc.roundtrip(pages.limit(0)).count() == 0
 
 
+def test_archives_of_lost_attempts_are_not_read(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://{i}", "<p>" + "x" * i + "</p>") for i in range(200)], "page_id long, url string, html string")
+    base = str(tmp_path / "arc")
+    manifest = warc.write_arc(pages, base, roll=1 << 10).collect()
+    assert sum(r.records for r in manifest) == 200 and len(manifest) > 8
+    some = pathlib.Path(manifest[0].path)
+    (some.parent / some.name.replace("part-", "part-9")).write_bytes(some.read_bytes())  # whole, but not listed
+    (some.parent / f"_{some.name}").write_bytes(some.read_bytes()[:40])  # cut short
+    assert sorted(r.page_id for r in warc.read_arc(spark, base).select("page_id").collect()) == list(range(200))
+
+
 def test_arc_versions():
     for version in (1, 2):
         more = "200 X - 0 f " if version == 2 else ""
