@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog.base import (
-    ACCURACY, CELL, CELLS_SQL, CLUBS_SQL, PRICES_SQL, STOP, WHOLE, cells, clubs, query, sales, spot, spot_sql, table,
+    ACCURACY, CELL, CELLS_SQL, CLUBS_SQL, PRICES_SQL, STOP, cells, clubs, query, sales, spot, spot_sql, table,
 )
 from placerank import fixed
 from placerank.operators import dedupe, joins, rank, rollup as roll, sets, sketches, spatial, stats
@@ -92,7 +92,7 @@ SELECT min(l_quantity) AS min_l_quantity, max(l_quantity) AS max_l_quantity, min
   max(l_extendedprice) AS max_l_extendedprice, quantile_disc(l_extendedprice, 0.5) AS median FROM lineitem""")
 def global_stats(spark, d):
     lines = table(spark, d, "lineitem")
-    median = stats.global_median(lines, "l_extendedprice", WHOLE).scalar()
+    median = stats.global_median(lines, "l_extendedprice", exact=True).scalar()
     return stats.min_max(lines, ["l_quantity", "l_extendedprice"]).withColumn("median", median)
 
 
@@ -100,7 +100,7 @@ def global_stats(spark, d):
 SELECT count(*) AS n, min(o_totalprice) AS min, max(o_totalprice) AS max, quantile_disc(o_totalprice, 0.5) AS p50,
   quantile_disc(o_totalprice, 0.9) AS p90, quantile_disc(o_totalprice, 0.99) AS p99 FROM orders""")
 def quantile_profile(spark, d):
-    return stats.quantile_profile(table(spark, d, "orders"), "o_totalprice", accuracy=WHOLE)
+    return stats.quantile_profile(table(spark, d, "orders"), "o_totalprice", exact=True)
 
 
 @query("""

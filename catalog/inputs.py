@@ -6,7 +6,7 @@ from pyspark.sql.types import (
 )
 
 from catalog.base import (
-    ACCURACY, CELL, CELLS_SQL, PRICES_SQL, ROAD, STOP, WHOLE, cells, query, sales, spot, spot_sql, table,
+    ACCURACY, CELL, CELLS_SQL, PRICES_SQL, ROAD, STOP, cells, query, sales, spot, spot_sql, table,
 )
 from catalog.grouping import _values
 from placerank import fixed
@@ -172,7 +172,7 @@ def table_profile(spark, d):
     writers.write_table(orders, f"{path}/orders")
     profile = exports.table_profile(
         spark, {"orders": f"{path}/orders", "missing": f"{path}/missing"}, orders, score="o_totalprice",
-        tops={"top5": (orders, "o_orderkey", "o_totalprice")}, accuracy=WHOLE,
+        tops={"top5": (orders, "o_orderkey", "o_totalprice")}, exact=True,
     )
     writers.write_profile(profile, f"{path}/metadata")
     back = spark.read.schema(profile.schema).json(f"{path}/metadata")

@@ -66,18 +66,22 @@ def count_and_label(df: DataFrame, key: str, label: str, count: str = "n") -> Da
     return df.groupBy(key).agg(F.count("*").alias(count), F.min(label).alias(label))
 
 
-def global_median(df: DataFrame, column: str, accuracy: int = 1000) -> DataFrame:
+def global_median(df: DataFrame, column: str, accuracy: int = 1000, exact: bool = False) -> DataFrame:
+    """The lower median of the table, of a sketch or exactly."""
+    if exact:
+        return exact_quantiles(df, [column], {"q": 0.5}, interpolate=False).toDF("median")
     return df.agg(F.percentile_approx(column, 0.5, accuracy).alias("median"))
 
 
-def quantile_profile(df: DataFrame, column: str, qs: Sequence[float] = (0.5, 0.9, 0.99), accuracy: int = 10000) -> DataFrame:
-    """Row count, min, max and approximate quantiles; all 0.0 for an empty table."""
-    row = df.agg(
-        F.count("*").alias("n"),
-        F.min(column).alias("min"),
-        F.max(column).alias("max"),
-        F.percentile_approx(column, list(qs), accuracy).alias("q"),
-    )
+def quantile_profile(
+    df: DataFrame, column: str, qs: Sequence[float] = (0.5, 0.9, 0.99), accuracy: int = 10000, exact: bool = False
+) -> DataFrame:
+    """Row count, min, max and quantiles, of a sketch or exactly; all 0.0 for an empty table."""
+    sketch = [] if exact else [F.percentile_approx(column, list(qs), accuracy).alias("q")]
+    row = df.agg(F.count("*").alias("n"), F.min(column).alias("min"), F.max(column).alias("max"), *sketch)
+    if exact:
+        found = exact_quantiles(df, [column], {str(i): q for i, q in enumerate(qs)}, interpolate=False)
+        row = row.withColumn("q", found.select(F.array(*found.columns)).scalar())
     return row.select(
         "n",
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ("min", "max")],
@@ -90,9 +94,9 @@ def quantile_profile(df: DataFrame, column: str, qs: Sequence[float] = (0.5, 0.9
 
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], qs: Mapping[str, float], keys: Sequence[str] = (),
-    accuracy: int = 10000, margin: float = 4.0,
+    accuracy: int = 10000, margin: float = 4.0, interpolate: bool = True,
 ) -> DataFrame:
-    """Exact interpolated quantiles per group, named '<column>_<name>'; a null key is a group.
+    """Exact quantiles per group, named '<column>_<name>'; a null key is a group. Interpolated, or the smallest value that as large a share reaches.
 
     The built-in ``percentile`` keeps every distinct value of a group in one task's memory. Here a
     sketch first brackets each wanted rank, ``margin`` of its errors wide on each side; values outside the brackets are only counted
@@ -131,7 +135,8 @@ def exact_quantiles(
     missed = F.raise_error(F.lit("a quantile lies outside the bracket of its sketch; raise accuracy or margin")).cast("double")
     picks, outs = [], []
     for name, q in wanted:
-        rank = F.lit(q) * (F.col("n") - 1)
+        # rounded, so that 0.07 * 100 is 7
+        rank = F.lit(q) * (F.col("n") - 1) if interpolate else F.greatest(F.ceil(F.round(F.lit(q) * F.col("n"), 9)) - 1, F.lit(0))
         for side, index in (("f", F.floor(rank)), ("g", F.ceil(rank))):
             hit = (F.col("_end") > index) & (F.col("_end") - F.col("_c") <= index)
             picks.append(F.max(F.when(hit, F.when(F.col("_v").isNull(), missed).otherwise(F.col("_v")))).alias(f"_{name}_{side}"))

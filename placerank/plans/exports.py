@@ -161,12 +161,13 @@ def write_exports(tables: Mapping[str, DataFrame], root: str, partition: Mapping
 def table_profile(
     spark: SparkSession, paths: Mapping[str, str], cells: DataFrame, *, score: str = "score",
     tops: Mapping[str, tuple[DataFrame, str, str]] | None = None, top: int = 5, accuracy: int = 10000,
+    exact: bool = False,
 ) -> DataFrame:
     """One row: per-table rows and size, score statistics, and lists of top keys. A missing table counts 0.
 
     ``tops`` maps a name to (table, key column, order column).
     """
-    row = quantile_profile(cells, score, accuracy=accuracy).select(F.struct("*").alias("score_stats"))
+    row = quantile_profile(cells, score, accuracy=accuracy, exact=exact).select(F.struct("*").alias("score_stats"))
     infos = {}
     for name, path in paths.items():
         if expand(spark, f"{path.rstrip('/')}/*"):

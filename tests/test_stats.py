@@ -59,6 +59,17 @@ def test_dual_rank_orders_no_table_in_one_task(spark):
     assert all("_range" in line for line in plan.splitlines() if "row_number" in line and "Window [" in line)
 
 
+def test_exact_quantiles_without_interpolation(spark):
+    values = np.random.default_rng(3).integers(0, 400, 5000).astype(float)
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double")
+    r = stats.quantile_profile(df, "x", (0.0, 0.07, 0.5, 1.0), exact=True).collect()[0]
+    # in whole numbers, as 0.07 * 5000 is a little more than 350
+    wanted = [min(v for v in values if np.sum(values <= v) * 100 >= percent * len(values)) for percent in (0, 7, 50, 100)]
+    assert (r["n"], r["p0"], r["p7"], r["p50"], r["p100"]) == (5001, *wanted)
+    assert stats.global_median(df, "x", exact=True).collect()[0]["median"] == wanted[2]
+    assert stats.quantile_profile(df.limit(0), "x", exact=True).collect()[0].asDict() == {"n": 0, "min": 0.0, "max": 0.0, "p50": 0.0, "p90": 0.0, "p99": 0.0}
+
+
 def test_quantiles_of_an_empty_table(spark):
     df = spark.createDataFrame([], "x double")
     assert stats.exact_quantiles(df, ["x"], {"mid": 0.5}).agg(F.max("x_mid")).collect()[0][0] is None
