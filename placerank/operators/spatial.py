@@ -5,9 +5,10 @@ cell. A node knows how many places it holds and the box around them, as chords i
 multiplications and holds at the poles and across the 180th meridian too. Copies at one position are one row of a weight. A node lists at most
 ``fine`` squared others, so a bucket is one row of bounded size, however many places it holds.
 
-Each place bucket is copied to the buckets around it and the copies of a bucket are gathered, so a point meets its whole
-surroundings as one row, by an equality join on two integers, and descends in it without a shuffle: only into nodes that the circle
-cuts or that may hold a nearer place than the best one known. A node within the circle is counted as a whole. What is left are
+Only the box and the counts of a place bucket are copied to the buckets around it, so what is copied does not grow with the places of a
+bucket; a point meets the boxes of its whole surroundings as one row, by an equality join on two integers. It then goes to the buckets
+themselves, which stay where they are: only to those that the circle cuts or that may hold a nearer place than the best one known, which its
+own bucket tells closely. There it descends in the nodes by the same rule. A node within the circle is counted as a whole. What is left are
 parts, one ``fine**4``-th of a bucket; one position is compared at once, and only parts with several are opened by a join. Each point's
 comparisons grow with the nodes that its circle cuts, not with the places of its bucket, as long as places spread over its parts.
 The depth is fixed, as rows are bounded by it: where parts hold many positions, take a smaller ``deg``. Results are those of all pairs.
@@ -122,7 +123,7 @@ def _place_tree(positions: DataFrame, deg: float, fine: int, sums: list[str]) ->
     box = [f"{a}{end}" for a in _AXES for end in (0, 1)]
     more = [F.expr(text) for text in ("count(*) AS k", "min(_lat) AS _lat", "min(_lon) AS _lon")]
     parts = spots.groupBy("_sy", "_sx").agg(*_box(sums), *more)
-    several = spots.join(parts.filter("k > 1").selectExpr("_sy", "_sx"), ["_sy", "_sx"], "left_semi").selectExpr("_sy", "_sx", "_lat", "_lon", *sums)
+    several = spots.selectExpr("_sy", "_sx", "_lat", "_lon", *sums, "count(*) OVER (PARTITION BY _sy, _sx) AS k").filter("k > 1").drop("k")
 
     def gathered(nodes: DataFrame, kept: list[str], name: str, **keys: str) -> DataFrame:
         """Nodes of one level, each in the list of the node above; a list has at most ``fine`` squared entries."""
@@ -134,9 +135,17 @@ def _place_tree(positions: DataFrame, deg: float, fine: int, sums: list[str]) ->
     return buckets.selectExpr("lat_b", "lon_b", f"struct({', '.join([*box, *sums])}, cells) AS node"), several
 
 
-def _surroundings(buckets: DataFrame, around) -> DataFrame:
-    """One row per bucket that sees places, with the trees of all buckets around it in ``_near``."""
-    return around(buckets).groupBy("lat_b", "lon_b").agg(F.collect_list("node").alias("_near"))
+class Tree(NamedTuple):
+    """``near``: a row per bucket that sees places, with the boxes of all buckets around it in ``_near``; ``buckets``: the rows of ``_place_tree``."""
+
+    near: DataFrame
+    buckets: DataFrame
+
+
+def _surroundings(buckets: DataFrame, around) -> Tree:
+    held = [f"node.{name}" for name in buckets.schema["node"].dataType.names if name != "cells"]
+    boxes = buckets.selectExpr("lat_b", "lon_b", f"struct({', '.join(held)}, lat_b AS _by, lon_b AS _bx) AS node")
+    return Tree(around(boxes).groupBy("lat_b", "lon_b").agg(F.collect_list("node").alias("_near")), buckets)
 
 
 def _given(df: DataFrame, drop: tuple[str, ...] = (), **values: str) -> DataFrame:
@@ -145,15 +154,19 @@ def _given(df: DataFrame, drop: tuple[str, ...] = (), **values: str) -> DataFram
     return df.selectExpr(*[c for c in df.columns if c not in values and c not in drop], f"inline(array(struct({made})))")
 
 
-def _opened(points: DataFrame, tree: DataFrame, several: DataFrame, sums: list[str], *, nearest: bool, radius_km: float | None,
+def _opened(points: DataFrame, tree: Tree, several: DataFrame, sums: list[str], *, nearest: bool, radius_km: float | None,
             count: str | None) -> DataFrame:
     """Rows of a point's columns with a position to compare (_lat, _lon, *sums), and ``_border``, whether the circle cuts its node.
 
     ``nearest`` keeps nodes that may hold a nearer place than the best known one. With ``count`` (one of ``sums``) nodes within the circle
-    are counted as a whole: each row of a point has their total in ``_inside``, and other nodes are opened only if the circle cuts
-    them. Else, with a radius, every node within it or cut by it is opened. A point without any position left has one row of nulls.
+    are counted as a whole: the sum of ``_inside`` over a point's rows is their total, in rows without a position, and other nodes are
+    opened only if the circle cuts them; each point that sees a place has a row. Else, with a radius, every node within it or cut by it is opened.
+
+    The sides of each join are dealt by its keys before Spark chooses the kind of join, by sizes it has measured: file sizes tell
+    little of copies and lists.
     """
     inner, outer = _chords(radius_km) if radius_km is not None else (None, None)
+    unknown = "CAST(NULL AS INT)"
 
     def near(node: str) -> str:
         kept = [f"{_low(node)} <= _best"] if nearest else []
@@ -176,24 +189,49 @@ def _opened(points: DataFrame, tree: DataFrame, several: DataFrame, sums: list[s
         asked = f"filter({nodes}, n -> {_high('n')} > {inner!r}D)" if count else nodes
         return f"flatten(transform({asked}, n -> n.{name}))"
 
+    def counted(rows: str, none: str) -> str:
+        """The list with an entry for what is counted as a whole, if there is anything or the list is empty."""
+        return f"concat(CASE WHEN _inside > 0 OR size({rows}) = 0 THEN array({none}) ELSE array() END, {rows})" if count else rows
+
+    names = [c for c in points.columns if c not in ("lat_b", "lon_b")]
+    held = [*names, "_best"] if nearest else names
     vector = [f"{text} AS _p{a}" for a, text in _unit_vector("_plat", "_plon").items()]
-    rows = points.selectExpr("*", *vector).join(tree, ["lat_b", "lon_b"]).drop("lat_b", "lon_b")
+    lost = f"{-(2**31)} + pmod(hash({', '.join(names)}), {1 << 20})"
+
+    # the boxes of the buckets around; a point's own bucket tells closely how near the nearest place is at most
+    rows = points.repartition("lat_b", "lon_b").selectExpr("*", *vector).join(tree.near, ["lat_b", "lon_b"])
     if nearest:
-        rows = _given(rows, **best("_near"))
-    rows = _given(rows, ("_near",), _kept=f"filter(_near, n -> {near('n')})", _inside=within("_near"))
-    for name in ("cells", "parts"):
-        rows = _given(rows, ("_kept",), _nodes=f"flatten(transform(_kept, n -> n.{name}))", _inside=f"_inside + {within(below('_kept', name))}")
-        if nearest:
-            rows = _given(rows, **best("_nodes", "_best"))
-        rows = _given(rows, ("_nodes",), _kept=f"filter(_nodes, n -> {near('n')})", _inside="_inside")
+        rows = rows.join(tree.buckets.selectExpr("lat_b", "lon_b", "node.cells AS _own"), ["lat_b", "lon_b"], "left").drop("lat_b", "lon_b")
+        rows = _given(rows, _best=f"least(array_min(transform(_near, n -> {_high('n')})), array_min(transform(_own, n -> {_high('n')})))")
+        rows = _given(rows, ("_own",), **best(f"flatten(transform(filter(_own, n -> {_low('n')} <= _best), n -> n.parts))", "_best"))
+    whole = f"{_high('n')} <= {inner!r}D" if count else "false"
+    seen = f"transform(filter(_near, n -> {near('n')}), n -> struct(n._by AS _by, n._bx AS _bx, 0L AS _inside, {whole} AS _whole))"
+    rows = _given(rows, ("lat_b", "lon_b", "_near"), _seen=seen, _inside=within("_near"))
+    pairs = rows.selectExpr(*held, f"inline({counted('_seen', f'struct({unknown} AS _by, {unknown} AS _bx, _inside, true AS _whole)')})")
+
+    # the buckets themselves; what has none of them left gets keys of its own that nothing has, so that it is spread and not one key of nulls
+    pairs = pairs.selectExpr(*held, f"coalesce(_by, {lost}) AS _by", f"coalesce(_bx, {-(2**31)}) AS _bx", "_inside", "_whole").repartition("_by", "_bx")
+    cells = tree.buckets.selectExpr("lat_b AS _by", "lon_b AS _bx", "node.cells AS _nodes")
+    rows = pairs.join(cells, ["_by", "_bx"], "left" if count else "inner").drop("_by", "_bx").selectExpr("*", *vector)
+    if count:
+        rows = rows.withColumn("_nodes", F.expr("coalesce(_nodes, array())"))
+    if nearest:
+        rows = _given(rows, **best("_nodes", "_best"))
+    rows = _given(rows, ("_nodes", "_whole"), _kept=f"filter(_nodes, n -> {near('n')})",
+                  _inside=f"_inside + CASE WHEN _whole THEN 0L ELSE {within('_nodes')} END")
+    rows = _given(rows, ("_kept",), _nodes="flatten(transform(_kept, n -> n.parts))", _inside=f"_inside + {within(below('_kept', 'parts'))}")
+    if nearest:
+        rows = _given(rows, **best("_nodes", "_best"))
     border = f"{_low('n')} <= {outer!r}D AND {_high('n')} > {inner!r}D" if count else "false"
-    names = [c for c in rows.columns if c not in ("_kept", "_inside", "_best", "_px", "_py", "_pz")]
     fields = ["_sy", "_sx", "k", "_lat", "_lon", *sums]
-    rows = rows.selectExpr(*names, "_inside", f"transform(_kept, n -> struct({', '.join('n.' + f for f in fields)}, {border} AS _border)) AS _open")
-    rows = rows.selectExpr(*names, "_inside", "explode_outer(_open) AS _part").selectExpr(*names, "_inside", "_part.*")
-    # parts with one position get keys of their own that nothing has, so that they are spread and not one key of nulls
-    lost = f"CASE WHEN coalesce(k, 1) > 1 THEN _sy ELSE {-(2**31)} + pmod(hash({', '.join(names)}), {1 << 20}) END"
-    rows = rows.selectExpr(*names, "_inside", "_border", f"{lost} AS _sy", f"CASE WHEN k > 1 THEN _sx ELSE {-(2**31)} END AS _sx", "_lat", "_lon", *sums)
+    opened = f"transform(filter(_nodes, n -> {near('n')}), n -> struct({', '.join(f'n.{f} AS {f}' for f in fields)}, {border} AS _border, 0L AS _inside))"
+    rows = _given(rows, ("_nodes",), _open=opened, _inside="_inside")
+    kinds = {"_sy": "INT", "_sx": "INT", "k": "BIGINT", "_lat": "DOUBLE", "_lon": "DOUBLE", **{c: dict(several.dtypes)[c] for c in sums}}
+    none = ", ".join(f"CAST(NULL AS {kinds[f]}) AS {f}" for f in fields)
+    rows = rows.selectExpr(*names, f"inline({counted('_open', f'struct({none}, false AS _border, _inside)')})")
+    # rows of one position or none likewise
+    rows = rows.selectExpr(*names, "_inside", "_border", f"CASE WHEN k > 1 THEN _sy ELSE {lost} END AS _sy",
+                           f"CASE WHEN k > 1 THEN _sx ELSE {-(2**31)} END AS _sx", "_lat", "_lon", *sums).repartition("_sy", "_sx")
     inner_rows = several.selectExpr("_sy", "_sx", *[f"{c} AS _in{c}" for c in ("_lat", "_lon", *sums)])
     chosen = [f"CASE WHEN _in_lat IS NOT NULL THEN _in{c} ELSE {c} END AS {c}" for c in ("_lat", "_lon", *sums)]
     return rows.join(inner_rows, ["_sy", "_sx"], "left").selectExpr(*names, "_inside", "_border", *chosen)
@@ -239,8 +277,12 @@ def proximity_metrics(
     positions = _located(places, *place).groupBy(F.col(place[0]).alias("_lat"), F.col(place[1]).alias("_lon")).agg(F.count("*").alias("_w"))
     buckets, several = _place_tree(positions, deg, fine, ["_w"])
     tree = _surroundings(buckets, _around(deg, span, radius_km, exact))
+    asked = _with_bucket(points, point_id, *point, deg)
+    if count:
+        # a point that comes several times is looked up once
+        asked = asked.groupBy(*asked.columns).agg(F.count("*").alias("_times"))
     rows = _opened(
-        _with_bucket(points, point_id, *point, deg), tree, several, ["_w"], nearest=nearest is not None,
+        asked, tree, several, ["_w"], nearest=nearest is not None,
         radius_km=radius_km if count else None, count="_w" if count else None,
     ).withColumn("_d", haversine_km("_plat", "_plon", "_lat", "_lon"))
     aggs = []
@@ -249,8 +291,13 @@ def proximity_metrics(
     if count:
         hit = F.col("_border") & (F.col("_d") <= radius_km)
         aggs.append(F.sum(F.when(hit, F.col("_w")).otherwise(F.lit(0))).alias("_hits"))
-        aggs.append(F.max("_inside").alias("_inside"))
-    out = rows.groupBy(point_id).agg(*aggs)
+        aggs.append(F.sum("_inside").alias("_inside"))
+        out = rows.groupBy(point_id, "_plat", "_plon", "_times").agg(*aggs)
+        aggs = [F.min(nearest).alias(nearest)] if nearest is not None else []
+        aggs += [F.sum(F.col("_hits") * F.col("_times")).alias("_hits"), F.max("_inside").alias("_inside")]
+        out = out.groupBy(point_id).agg(*aggs)
+    else:
+        out = rows.groupBy(point_id).agg(*aggs)
     columns = [F.col(point_id)]
     if nearest is not None:
         columns.append((F.when(F.col(nearest) <= radius_km, F.col(nearest)) if exact else F.col(nearest)).alias(nearest))

@@ -213,3 +213,23 @@ def test_both_pressures_of_live_clubs_share_one_join(spark):
         assert r["competition_pressure"] == pytest.approx(min(both, fixed.PRESSURE_MAX)) and r["event_pressure"] == pytest.approx(event[i]["event_pressure"])
     plan = live.live_score(clubs, cut=False)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("collect_list(node") == 1
+
+
+def test_only_boxes_are_copied_to_the_buckets_around(spark):
+    """What a bucket sends to its neighbours is one box and its counts, however many places it holds."""
+    _, q = frames(spark, city(1, 5), city(3000, 5))
+    buckets, _ = spatial._place_tree(q.selectExpr("lat AS _lat", "lon AS _lon", "1L AS _w"), 1.0, 8, ["_w"])
+    near = spatial._surroundings(buckets, spatial._around(1.0, 3, None, False)).near
+    held = near.schema["_near"].dataType.elementType
+    assert "cells" not in held.names and all(f.dataType.typeName() != "array" for f in held)
+    assert near.count() == 49
+
+
+def test_joins_of_the_tree_are_dealt_before_they_are_chosen(spark):
+    """A join chosen by the size of the files would broadcast all copies and lists."""
+    points, places = make(1, 60, 120)
+    p, q = frames(spark, points, places)
+    got = spatial.proximity_metrics(p, q, point_id="id", deg=0.05, span=3, radius_km=5.0)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [lat_b") == 1 and plan.count("RepartitionByExpression [_by") == 1
+    assert plan.count("RepartitionByExpression [_sy") == 1 and "LeftSemi" not in plan
