@@ -113,9 +113,10 @@ def exact_quantiles(
         *keys, F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_x")) for c in cols])).alias("_m")
     ).select(*keys, "_m._col", F.nanvl("_m._x", F.lit(None)).alias("_x"))
     by = [*keys, "_col"]
-    brackets = melted.groupBy(*by).agg(
+    # written, so that Spark knows how small they are: else it deals the whole table by group, and a hot group is read by one task
+    brackets = cut_lineage(melted.groupBy(*by).agg(
         F.struct(F.count(x).alias("n"), F.percentile_approx(x, edges, accuracy).alias("edges")).alias("_b")
-    )
+    ))
     rows = null_safe_join(melted, brackets, by, how="inner")
 
     inside, segment = F.lit(False), F.lit(0)

@@ -143,3 +143,21 @@ def test_a_join_of_a_large_table_is_not_hinted(spark):
     df = spark.range(10).toDF("k")
     plan = joins.enrich(df, df.withColumn("v", F.lit(1)), "k")._jdf.queryExecution().analyzed().toString()
     assert "hint" not in plan.lower()
+
+
+def test_exact_quantiles_do_not_deal_the_table_by_group(spark):
+    """The values are bracketed where they are read: only the runs between are exchanged, so no task reads a whole group."""
+    from placerank.operators import stats
+
+    df = spark.range(20000).selectExpr("id % 2 AS g", "pmod(hash(id), 5000) AS x")
+    planned = []
+    real = stats._with_ends
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32k")  # the table is above it, its brackets are not
+    try:
+        stats._with_ends = lambda runs, *a: planned.append(runs._jdf.queryExecution().sparkPlan().toString()) or real(runs, *a)
+        stats.exact_quantiles(df, ["x"], {"m": 0.5}).collect()
+        stats.exact_quantiles(df, ["x"], {"m": 0.5}, ["g"]).collect()
+    finally:
+        stats._with_ends = real
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all("BroadcastHashJoin" in p and "SortMergeJoin" not in p for p in planned) and len(planned) == 2
