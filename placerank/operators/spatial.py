@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from placerank import fixed
 from placerank.functions.geo import grid_key, haversine_km
 from placerank.functions.scores import clip, size_factor
+from placerank.session import cut_lineage
 
 KM_PER_DEGREE = math.pi * fixed.EARTH_RADIUS_KM / 180
 _TIGHT = 1e-9
@@ -59,6 +60,42 @@ def _located(df: DataFrame, lat: str, lon: str) -> DataFrame:
     return df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~F.isnan(lat) & ~F.isnan(lon))
 
 
+#: pairs that one task makes, and more tasks than a driver should keep
+PAIRS_PER_TASK, MOST_TASKS = 2_000_000, 20_000
+
+
+def _dealt(left: DataFrame, right: DataFrame, how: str = "inner", most: int | None = None) -> DataFrame:
+    """The join of rows that share a bucket (lat_b, lon_b), dealt to tasks by the pairs that it makes.
+
+    The pairs of a bucket are known beforehand from the rows on both sides. Their sum gives the number of tasks; adaptive execution
+    would go by the bytes that are read, and a few bytes make many pairs. A bucket of more than ``most`` pairs is cut into blocks, by a
+    hash of the rows: a block of the left meets each block of the right once (an outer join cuts the left only).
+    Dealt rows of such buckets are written to the checkpoint folder.
+    """
+    keys, most = ["lat_b", "lon_b"], most or PAIRS_PER_TASK
+    spark = left.sparkSession
+    sizes = [df.groupBy(*keys).agg(F.count("*").cast("double").alias(n)) for df, n in ((left, "_l"), (right, "_r"))]
+    work = cut_lineage(sizes[0].join(sizes[1], keys).select(*keys, (F.col("_l") * F.col("_r")).alias("_pairs")))
+    total, largest = (x or 0.0 for x in work.agg(F.sum("_pairs"), F.max("_pairs")).first())
+    tasks = int(min(max(total / most, spark.sparkContext.defaultParallelism), MOST_TASKS))
+    if largest <= most:
+        return left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys, how)
+
+    blocks = F.col("_pairs") / most
+    crowded = work.filter(F.col("_pairs") > most).select(*keys, F.ceil(F.sqrt(blocks) if how == "inner" else blocks).alias("_cut"))
+
+    def cut(df: DataFrame, own: str, other: str, copied: bool) -> DataFrame:
+        known = F.coalesce(F.col("_cut"), F.lit(1))
+        # rows without a bucket meet nothing and need not meet each other
+        parts = F.when(F.col("lat_b").isNull() | F.col("lon_b").isNull(), F.lit(tasks)).otherwise(known)
+        place = F.pmod(F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind]), parts)
+        others = F.explode(F.sequence(F.lit(0).cast("long"), known - 1)) if copied else F.lit(0).cast("long")
+        placed = df.join(crowded, keys, "left").withColumn(own, place if how == "inner" or own == "_i" else F.lit(0).cast("long"))
+        return cut_lineage(placed.withColumn(other, others).drop("_cut")).repartition(tasks, *keys, "_i", "_j")
+
+    return cut(left, "_i", "_j", how == "inner").join(cut(right, "_j", "_i", True), [*keys, "_i", "_j"], how).drop("_i", "_j")
+
+
 def neighbor_join(
     points: DataFrame, places: DataFrame, deg: float, span: int, how: str = "left",
     point: tuple[str, str] = ("lat", "lon"), place: tuple[str, str] = ("place_lat", "place_lon"),
@@ -73,7 +110,7 @@ def neighbor_join(
     left = points.withColumns({"lat_b": a_lat, "lon_b": a_lon})
     right = expand_neighbors(_located(places, *place).withColumns({"lat_b": b_lat, "lon_b": b_lon}), span)
     return (
-        left.join(right, ["lat_b", "lon_b"], how)
+        _dealt(left, right, how)
         .drop("lat_b", "lon_b")
         .withColumn(distance, haversine_km(*point, *place))
     )
@@ -367,8 +404,7 @@ def within_radius_pairs(
         _located(b, *right).withColumns({"lat_b": b_lat, "lon_b": b_lon}), lat_span, reach=reach
     )
     return (
-        _located(a, *left).withColumns({"lat_b": a_lat, "lon_b": a_lon})
-        .join(near, ["lat_b", "lon_b"]).drop("lat_b", "lon_b")
+        _dealt(_located(a, *left).withColumns({"lat_b": a_lat, "lon_b": a_lon}), near).drop("lat_b", "lon_b")
         .withColumn(distance, haversine_km(*left, *right))
         .filter(F.col(distance) <= radius_km)
     )
@@ -393,7 +429,7 @@ def within_radius_self_pairs(
     later = (F.col("lat_b") > F.col("_hy")) | ((F.col("lat_b") == F.col("_hy")) & (F.col("lon_b") >= F.col("_hx")))
     copies = copies.filter(later).withColumnsRenamed({"_k": "_k2", "_lat": "_lat2", "_lon": "_lon2"})
     at_home = (F.col("lat_b") == F.col("_hy")) & (F.col("lon_b") == F.col("_hx"))
-    met = rows.join(copies, ["lat_b", "lon_b"]).filter(~at_home | (F.col("_k") < F.col("_k2")))
+    met = _dealt(rows, copies).filter(~at_home | (F.col("_k") < F.col("_k2")))
     return met.withColumn(distance, haversine_km("_lat", "_lon", "_lat2", "_lon2")).filter(F.col(distance) <= radius_km).select(
         F.least("_k", "_k2").alias(names[0]), F.greatest("_k", "_k2").alias(names[1]), distance
     )

@@ -233,3 +233,29 @@ def test_joins_of_the_tree_are_dealt_before_they_are_chosen(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RepartitionByExpression [lat_b") == 1 and plan.count("RepartitionByExpression [_by") == 1
     assert plan.count("RepartitionByExpression [_sy") == 1 and "LeftSemi" not in plan
+
+
+@pytest.mark.parametrize("most", [7, 10**6])
+def test_pairs_of_a_crowded_bucket_are_dealt_to_many_tasks(spark, monkeypatch, most):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(spatial, "PAIRS_PER_TASK", most)
+    points, places = make(13, 40, 50)
+    p, q = frames(spark, points, places)
+    p = p.unionByName(spark.createDataFrame([(900, 10.0, 10.0), (901, None, 2.0)], "id int, lat double, lon double"))
+    near, d, _, _ = brute(points, places, 0.05, 1, 1.0)
+    pairs = spatial.neighbor_join(p, q.toDF("pid", "place_lat", "place_lon"), 0.05, 1)
+    got = pairs.select("id", "pid", F.spark_partition_id().alias("task")).collect()
+    alone = [i for i in range(len(points)) if not near[i].any()] + [900, 901]
+    assert sorted((r.id, -1 if r.pid is None else r.pid) for r in got) == sorted([(int(i), int(j)) for i, j in zip(*np.where(near))] + [(i, -1) for i in alone])
+    # the pairs of the most crowded bucket
+    home = np.floor(points / 0.05).astype(int)
+    values, number = np.unique(home, axis=0, return_counts=True)
+    there = {i for i in range(len(points)) if (home[i] == values[number.argmax()]).all()}
+    assert len({r.task for r in got if r.id in there}) >= (3 if most == 7 else 1)
+
+    selves = [(r["a"], r["b"]) for r in spatial.within_radius_self_pairs(p.filter("id < 900"), 5.0, 0.05, key="id").collect()]
+    e = km(points[:, None, 0], points[:, None, 1], points[None, :, 0], points[None, :, 1])
+    assert sorted(selves) == sorted((i, j) for i, j in zip(*np.where(e <= 5.0)) if i < j)
+    both = spatial.within_radius_pairs(p, q.toDF("pid", "qlat", "qlon"), 2.0, 0.02, left=("lat", "lon"), right=("qlat", "qlon"))
+    assert sorted((r["id"], r["pid"]) for r in both.collect()) == sorted(zip(*map(lambda x: x.tolist(), np.where(d <= 2.0))))
