@@ -16,9 +16,10 @@ from placerank.session import new_path
 from placerank.sources import files, osm, readers, writers
 
 
-def _write_csv(df, sep, parts=3):
+def _write_csv(df, sep):
+    """One file per task that has rows, so their number grows with the table."""
     path = new_path(df.sparkSession, "delimited")
-    df.repartition(parts).write.options(header=True, sep=sep).csv(path)
+    df.write.options(header=True, sep=sep).csv(path)
     return path
 
 
@@ -226,7 +227,7 @@ def price_vintages(spark, d):
     newer = {"Longitude": F.when(here, "2,5").otherwise("-60,5"), "Latitude": F.when(here, "46,5").otherwise("5,5"), **older}
     path = new_path(spark, "vintages")
     for name, columns, rows in (("2020", older, lines.filter("l_returnflag = 'N'")), ("2021", newer, lines.filter("l_returnflag <> 'N'"))):
-        rows.select(*[c.alias(n) for n, c in columns.items()]).repartition(2).write.options(header=True, sep="|").csv(f"{path}/{name}")
+        rows.select(*[c.alias(n) for n, c in columns.items()]).write.options(header=True, sep="|").csv(f"{path}/{name}")
     loaded = prices.load_sales(spark, f"{path}/*/*.csv")
     return prices.price_by_commune(prices.clean_sales(loaded), ACCURACY)
 

@@ -18,7 +18,8 @@ def raw_files(spark, d) -> sites.RawFiles:
         return F.translate(c.cast("string"), ".", ",")
 
     def written(name, df, sep=";"):
-        df.repartition(3).write.options(header=True, sep=sep).csv(f"{root}/{name}")
+        # one file per task that has rows, so their number grows with the table
+        df.write.options(header=True, sep=sep).csv(f"{root}/{name}")
         return f"{root}/{name}/*.csv"
 
     def kept(name, df):
