@@ -183,9 +183,9 @@ TOP_SQL = f"""{SENSITIVITY_SQL},
 top AS (SELECT *, (row_number() OVER (ORDER BY round(score, 9) DESC, cell_id))::INTEGER AS rank_score FROM stable QUALIFY rank_score <= 1000)"""
 
 
-def top(spark, d):
+def top(spark, d, base=None):
     # rounded, so that cells equal but for the last bits rank by id on every engine
-    return score.top_cells(stable(spark, d).withColumn("score", F.round("score", 9)))
+    return score.top_cells((base or stable(spark, d)).withColumn("score", F.round("score", 9)))
 
 
 @query(f"""
@@ -198,8 +198,8 @@ def top_zones(spark, d):
     return rounded(score.zones(best))
 
 
-def _ranked(spark, d):
-    return exports.export_top(top(spark, d))
+def _ranked(spark, d, base=None):
+    return exports.export_top(top(spark, d, base))
 
 
 @query(f"""
@@ -228,13 +228,13 @@ ex AS (SELECT s.cell_id, s.commune, s.department, s.lat, s.lon, s.score::FLOAT::
   LEFT JOIN prices p ON s.department = p.department AND substr(s.commune, 3, 3) = p.commune)"""
 
 
-def exported(spark, d):
+def exported(spark, d, base=None):
     census = table(spark, d, "customer").select(
         F.col("c_custkey").alias("cell_id"), F.col("c_nationkey").cast("double").alias("Ind"), F.col("c_acctbal").alias("Ind_snv"),
         (F.col("c_custkey") % 11).alias("Men_pauv"), (F.col("c_custkey") % 7).alias("Ind_18_24"), (F.col("c_custkey") % 13).alias("Ind_25_39"),
         F.when(F.col("c_custkey") % 5 != 1, F.col("c_custkey") % 5).cast("double").alias("I_pauv"),
     )
-    return exports.export_cells(stable(spark, d), _prices(spark, d), census)
+    return exports.export_cells(base or stable(spark, d), _prices(spark, d), census)
 
 
 # float32 columns, rounded as doubles well above their precision
@@ -316,8 +316,9 @@ UNION ALL SELECT 'top', count(*), (count(*) * (count(*) + 1) / 2)::DOUBLE FROM t
 UNION ALL SELECT 'top map', count(*), round(sum(round(coalesce(z.zlon, t.lon), 4)), 2) FROM t LEFT JOIN z USING (commune)""")
 def write_exports(spark, d):
     """All export tables written to their folders and read back from them, one in folders per department, one also as CSV, and the map."""
-    made = cut_lineage(exported(spark, d))
-    best = cut_lineage(_ranked(spark, d))
+    base = cut_lineage(stable(spark, d))  # scored once, for the cells and for the top list
+    made = cut_lineage(exported(spark, d, base))
+    best = cut_lineage(_ranked(spark, d, base))
     communes = exports.export_communes(made)
     root = new_path(spark, "exports")
     written = exports.write_exports(
