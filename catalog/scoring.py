@@ -133,10 +133,10 @@ scored AS (SELECT *, (0.30 * competition_score + 0.25 * access_score + 0.20 * pr
   * demand_index_norm AS score FROM dem)"""
 
 
-def scored(spark, d):
+def scored(spark, d, prices=None):
     """Cells with every sub-score and the composite score; all joins run before the one cut."""
     located = access.access_metrics(cells(spark, d), stops(spark, d), roads(spark, d), unique_stops=True, cut=False)
-    joined = score.gather_metrics(located, clubs(spark, d), _prices(spark, d), demand(spark, d), accuracy=ACCURACY)
+    joined = score.gather_metrics(located, clubs(spark, d), prices or _prices(spark, d), demand(spark, d), accuracy=ACCURACY)
     normed = stats.minmax(access.access_score(joined), {"income": "income_score"}, degenerate=0.0)
     return score.score_metrics(normed, cap=CAP)
 
@@ -169,8 +169,8 @@ SENSITIVITY_SQL = ",\n".join(
 )
 
 
-def stable(spark, d):
-    base = scored(spark, d)
+def stable(spark, d, prices=None):
+    base = scored(spark, d, prices)
     return score.with_stability(base, score.sensitivity(base, digits=9))
 
 
@@ -229,12 +229,13 @@ ex AS (SELECT s.cell_id, s.commune, s.department, s.lat, s.lon, s.score::FLOAT::
 
 
 def exported(spark, d, base=None):
+    prices = _prices(spark, d)  # made once, for the score and for the counts of sales
     census = table(spark, d, "customer").select(
         F.col("c_custkey").alias("cell_id"), F.col("c_nationkey").cast("double").alias("Ind"), F.col("c_acctbal").alias("Ind_snv"),
         (F.col("c_custkey") % 11).alias("Men_pauv"), (F.col("c_custkey") % 7).alias("Ind_18_24"), (F.col("c_custkey") % 13).alias("Ind_25_39"),
         F.when(F.col("c_custkey") % 5 != 1, F.col("c_custkey") % 5).cast("double").alias("I_pauv"),
     )
-    return exports.export_cells(base or stable(spark, d), _prices(spark, d), census)
+    return exports.export_cells(base or stable(spark, d, prices), prices, census)
 
 
 # float32 columns, rounded as doubles well above their precision

@@ -147,29 +147,45 @@ def _chords(radius_km: float) -> tuple[float, float]:
 
 
 def _place_tree(positions: DataFrame, deg: float, fine: int, sums: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(one row per bucket with its tree in ``node``, the positions of parts that hold several) from rows (_lat, _lon, *sums).
+    """(one row per bucket with its tree in ``node`` and the boxes of its cells in ``_own``, the positions of parts that hold several) from rows (_lat, _lon, *sums).
 
+    Positions are dealt by part, then parts by bucket, of which one has at most ``fine**4``: nodes and lists are made where their bucket lies and are not
+    sent themselves. Whatever is read of the tree needs all columns that are dealt, so Spark deals them once for all its readers. The box of one
+    position follows from the position and is not sent either.
     ``fine`` is a power of two: a part's number then gives its cell's and its bucket's, by a shift, without rounding.
     """
     bits = fine.bit_length() - 1
     if 1 << bits != fine:
         raise ValueError("fine must be a power of two")
-    part = [f"CAST(floor({c} / {deg / fine**2!r}D) AS INT) AS {name}" for c, name in (("_lat", "_sy"), ("_lon", "_sx"))]
-    ends = [f"{text} {sign} {_PAD!r}D AS {a}{end}" for a, text in _unit_vector("_lat", "_lon").items() for end, sign in ((0, "-"), (1, "+"))]
-    spots = positions.selectExpr("*", *part, *ends)
+
+    def part(y: str, x: str) -> list[str]:
+        # never null, and known not to be: a join would else filter nulls below what is dealt, which its readers then could not share
+        return [f"coalesce(CAST(floor({c} / {deg / fine**2!r}D) AS INT), 0) AS {name}" for c, name in (("_lat", y), ("_lon", x))]
+
+    ends = {f"{a}{end}": f"{text} {sign} {_PAD!r}D" for a, text in _unit_vector("_lat", "_lon").items() for end, sign in ((0, "-"), (1, "+"))}
     box = [f"{a}{end}" for a in _AXES for end in (0, 1)]
     more = [F.expr(text) for text in ("count(*) AS k", "min(_lat) AS _lat", "min(_lon) AS _lon")]
-    parts = spots.groupBy("_sy", "_sx").agg(*_box(sums), *more)
-    several = spots.selectExpr("_sy", "_sx", "_lat", "_lon", *sums, "count(*) OVER (PARTITION BY _sy, _sx) AS k").filter("k > 1").drop("k")
+    spots = positions.selectExpr("_lat", "_lon", *sums, *part("_py", "_px")).repartition("_py", "_px")
+    counted = spots.selectExpr("_py AS _sy", "_px AS _sx", "_lat", "_lon", *sums, "count(*) OVER (PARTITION BY _py, _px) AS k")
+    several = counted.filter("k > 1").drop("k")
 
-    def gathered(nodes: DataFrame, kept: list[str], name: str, **keys: str) -> DataFrame:
-        """Nodes of one level, each in the list of the node above; a list has at most ``fine`` squared entries."""
-        above = [F.expr(f"shiftright({c}, {bits}) AS {n}") for n, c in keys.items()]
-        return nodes.groupBy(*above).agg(*_box(sums), F.expr(f"collect_list(struct({', '.join(kept)})) AS {name}"))
+    parts = spots.selectExpr("*", *[f"{ends[name]} AS {name}" for name in box]).groupBy("_py", "_px").agg(*_box(sums), *more)
+    home = [f"shiftright({c}, {2 * bits}) AS {name}" for c, name in (("_py", "_hy"), ("_px", "_hx"))]
+    sent = parts.selectExpr(*home, "_lat", "_lon", "k", *sums, f"CASE WHEN k > 1 THEN struct({', '.join(box)}) END AS _box").repartition("_hy", "_hx")
+    # the vector first, by itself: the boxes are then short code
+    at = _given(sent, **{f"_u{a}": text for a, text in _unit_vector("_lat", "_lon").items()})
+    boxes = [f"CASE WHEN k > 1 THEN _box.{a}{end} ELSE _u{a} {sign} {_PAD!r}D END AS {a}{end}" for a in _AXES for end, sign in ((0, "-"), (1, "+"))]
+    parts = at.selectExpr("_hy", "_hx", "_lat", "_lon", "k", *sums, *part("_sy", "_sx"), *boxes)
 
-    cells = gathered(parts, [*box, *sums, "k", "_lat", "_lon", "_sy", "_sx"], "parts", _cy="_sy", _cx="_sx")
-    buckets = gathered(cells, [*box, *sums, "parts"], "cells", lat_b="_cy", lon_b="_cx")
-    return buckets.selectExpr("lat_b", "lon_b", f"struct({', '.join([*box, *sums])}, cells) AS node"), several
+    def gathered(nodes: DataFrame, keys: list, **lists: list[str]) -> DataFrame:
+        """Nodes of one level, each in the lists of the node above; a list has at most ``fine`` squared entries."""
+        made = [F.expr(f"collect_list(struct({', '.join(kept)})) AS {name}") for name, kept in lists.items()]
+        return nodes.groupBy("_hy", "_hx", *keys).agg(*_box(sums), *made)
+
+    above = [F.expr(f"shiftright({c}, {bits}) AS {name}") for c, name in (("_sy", "_cy"), ("_sx", "_cx"))]
+    cells = gathered(parts, above, parts=[*box, *sums, "k", "_lat", "_lon", "_sy", "_sx"])
+    buckets = gathered(cells, [], cells=[*box, *sums, "parts"], _own=[*box, *sums])
+    return buckets.selectExpr("_hy AS lat_b", "_hx AS lon_b", f"struct({', '.join([*box, *sums])}, cells) AS node", "_own"), several
 
 
 class Tree(NamedTuple):
@@ -235,12 +251,11 @@ def _opened(points: DataFrame, tree: Tree, several: DataFrame, sums: list[str],
     vector = [f"{text} AS _p{a}" for a, text in _unit_vector("_plat", "_plon").items()]
     lost = f"{-(2**31)} + pmod(hash({', '.join(names)}), {1 << 20})"
 
-    # the boxes of the buckets around; a point's own bucket tells closely how near the nearest place is at most
+    # the boxes of the buckets around; the cells of a point's own bucket tell closely how near the nearest place is at most
     rows = points.repartition("lat_b", "lon_b").selectExpr("*", *vector).join(tree.near, ["lat_b", "lon_b"])
     if nearest:
-        rows = rows.join(tree.buckets.selectExpr("lat_b", "lon_b", "node.cells AS _own"), ["lat_b", "lon_b"], "left").drop("lat_b", "lon_b")
-        rows = _given(rows, _best=f"least(array_min(transform(_near, n -> {_high('n')})), array_min(transform(_own, n -> {_high('n')})))")
-        rows = _given(rows, ("_own",), **best(f"flatten(transform(filter(_own, n -> {_low('n')} <= _best), n -> n.parts))", "_best"))
+        rows = rows.join(tree.buckets.select("lat_b", "lon_b", "_own"), ["lat_b", "lon_b"], "left").drop("lat_b", "lon_b")
+        rows = _given(rows, ("_own",), _best=f"least(array_min(transform(_near, n -> {_high('n')})), array_min(transform(_own, n -> {_high('n')})))")
     whole = f"{_high('n')} <= {inner!r}D" if count else "false"
     seen = f"transform(filter(_near, n -> {near('n')}), n -> struct(n._by AS _by, n._bx AS _bx, 0L AS _inside, {whole} AS _whole))"
     rows = _given(rows, ("lat_b", "lon_b", "_near"), _seen=seen, _inside=within("_near"))
@@ -311,15 +326,16 @@ def proximity_metrics(
     if count and radius_km is None:
         raise ValueError("counting needs radius_km")
 
-    positions = _located(places, *place).groupBy(F.col(place[0]).alias("_lat"), F.col(place[1]).alias("_lon")).agg(F.count("*").alias("_w"))
-    buckets, several = _place_tree(positions, deg, fine, ["_w"])
+    spots, sums = _located(places, *place).select(F.col(place[0]).alias("_lat"), F.col(place[1]).alias("_lon")), ["_w"] if count else []
+    positions = spots.groupBy("_lat", "_lon").agg(F.count("*").alias("_w")) if count else spots.distinct()
+    buckets, several = _place_tree(positions, deg, fine, sums)
     tree = _surroundings(buckets, _around(deg, span, radius_km, exact))
     asked = _with_bucket(points, point_id, *point, deg)
     if count:
         # a point that comes several times is looked up once
         asked = asked.groupBy(*asked.columns).agg(F.count("*").alias("_times"))
     rows = _opened(
-        asked, tree, several, ["_w"], nearest=nearest is not None,
+        asked, tree, several, sums, nearest=nearest is not None,
         radius_km=radius_km if count else None, count="_w" if count else None,
     ).withColumn("_d", haversine_km("_plat", "_plon", "_lat", "_lon"))
     aggs = []

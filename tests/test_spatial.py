@@ -235,6 +235,22 @@ def test_joins_of_the_tree_are_dealt_before_they_are_chosen(spark):
     assert plan.count("RepartitionByExpression [_sy") == 1 and "LeftSemi" not in plan
 
 
+def test_lists_and_boxes_of_a_tree_are_not_dealt(spark):
+    """What goes between tasks is a row per part, once for all readers of the tree; lists are made where they are read."""
+    points, places = make(1, 60, 120)
+    places = np.vstack([places, places + 1e-5])  # some parts of several positions
+    p, q = frames(spark, points, places)
+    buckets, _ = spatial._place_tree(q.selectExpr("lat AS _lat", "lon AS _lon", "1L AS _w"), 0.05, 8, ["_w"])
+    plan = buckets._jdf.queryExecution().sparkPlan().toString().splitlines()
+    dealt = [i for i, line in enumerate(plan) if "Exchange" in line]
+    assert dealt and max(i for i, line in enumerate(plan) if "collect_list" in line) < min(dealt)
+    for kw in ({"within": None}, {"radius_km": 5.0}):
+        got = spatial.proximity_metrics(p, q, point_id="id", deg=0.05, span=3, **kw)
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("Exchange hashpartitioning(_hy") - plan.count("ReusedExchange [_hy") == 1, plan
+
+
 @pytest.mark.parametrize("most", [7, 10**6])
 def test_pairs_of_a_crowded_bucket_are_dealt_to_many_tasks(spark, monkeypatch, most):
     from pyspark.sql import functions as F
