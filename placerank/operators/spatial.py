@@ -171,7 +171,9 @@ def _place_tree(positions: DataFrame, deg: float, fine: int, sums: list[str]) ->
 
     parts = spots.selectExpr("*", *[f"{ends[name]} AS {name}" for name in box]).groupBy("_py", "_px").agg(*_box(sums), *more)
     home = [f"shiftright({c}, {2 * bits}) AS {name}" for c, name in (("_py", "_hy"), ("_px", "_hx"))]
-    sent = parts.selectExpr(*home, "_lat", "_lon", "k", *sums, f"CASE WHEN k > 1 THEN struct({', '.join(box)}) END AS _box").repartition("_hy", "_hx")
+    sent = parts.selectExpr(*home, "_lat", "_lon", "k", *sums, f"CASE WHEN k > 1 THEN struct({', '.join(box)}) END AS _box")
+    # as many tasks as the session deals to: adaptive execution would merge them by the bytes of parts, and the lists made of these are several times larger
+    sent = sent.repartition(int(positions.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_hy", "_hx")
     # the vector first, by itself: the boxes are then short code
     at = _given(sent, **{f"_u{a}": text for a, text in _unit_vector("_lat", "_lon").items()})
     boxes = [f"CASE WHEN k > 1 THEN _box.{a}{end} ELSE _u{a} {sign} {_PAD!r}D END AS {a}{end}" for a in _AXES for end, sign in ((0, "-"), (1, "+"))]
