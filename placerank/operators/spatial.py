@@ -7,8 +7,8 @@ multiplications and holds at the poles and across the 180th meridian too. Copies
 
 Only the box and the counts of a place bucket are copied to the buckets around it, so what is copied does not grow with the places of a
 bucket; a point meets the boxes of its whole surroundings as one row, by an equality join on two integers. It then goes to the buckets
-themselves, which stay where they are: only to those that the circle cuts or that may hold a nearer place than the best one known, which its
-own bucket tells closely. There it descends in the nodes by the same rule. A node within the circle is counted as a whole. What is left are
+themselves, which stay where they are: only to those that the circle cuts or that may hold a nearer place than the best one known, which the
+cells of its own bucket tell closely. There it descends in the nodes by the same rule. A node within the circle is counted as a whole. What is left are
 parts, one ``fine**4``-th of a bucket; one position is compared at once, and only parts with several are opened by a join. Each point's
 comparisons grow with the nodes that its circle cuts, not with the places of its bucket, as long as places spread over its parts.
 The depth is fixed, as rows are bounded by it: where parts hold many positions, take a smaller ``deg``. Results are those of all pairs.
