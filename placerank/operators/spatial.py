@@ -13,6 +13,9 @@ parts, one ``fine**4``-th of a bucket; one position is compared at once, and onl
 comparisons grow with the nodes that its circle cuts, not with the places of its bucket, as long as places spread over its parts.
 The depth is fixed, as rows are bounded by it: where parts hold many positions, take a smaller ``deg``. Results are those of all pairs.
 
+A pressure needs each pair within the radius by itself. There no tree is descended and no pair goes between tasks: points and positions are dealt to
+blocks, both of bounded size, and pairs are made and summed up where a block lies.
+
 Without ``exact`` a place is seen when its bucket is at most ``span`` away on both axes, whatever the
 distance. With ``exact`` the reach of the copies follows from the radius and the latitude, so that
 every place within the radius is seen and none beyond it.
@@ -453,6 +456,55 @@ def within_radius_self_pairs(
     )
 
 
+#: points, and places, that a block holds at most
+BLOCK = 8_000
+
+
+def _compared(spots: DataFrame, positions: DataFrame, deg: float, fine: int, around, radius_km: float) -> DataFrame:
+    """Rows of a spot (_plat, _plon, lat_b, lon_b) with a position (_lat, _lon, ...): all within the radius, and none surely beyond it.
+
+    The positions of a cell, one of ``fine`` times ``fine`` of a bucket, are copied to the buckets with a spot that may have them within the radius.
+    Spots and positions of a bucket are cut into blocks, and each block of spots meets each block of positions in a task, so a task holds a bounded
+    number of rows, however crowded the bucket is. What is dealt are rows of both sides; the pairs, which grow with the square of the density, arise
+    behind the last deal, to be aggregated there. Both sides are read several times.
+    """
+    keys, cell, spark = ["lat_b", "lon_b"], ["_by", "_bx", "_cy", "_cx"], spots.sparkSession
+    at = {name: value for side, names in ((deg, cell[:2]), (deg / fine, cell[2:])) for name, value in zip(names, grid_key("_lat", "_lon", side))}
+    placed = positions.withColumns(at)
+    ends = [f"{text} {sign} {_PAD!r}D AS {a}{end}" for a, text in _unit_vector("_lat", "_lon").items() for end, sign in ((0, "-"), (1, "+"))]
+    box = [f"{a}{end}" for a in _AXES for end in (0, 1)]
+    cells = placed.selectExpr(*cell, *ends).groupBy(*cell).agg(*_box([]), F.count("*").alias("k"))
+    nodes = cells.selectExpr("_by AS lat_b", "_bx AS lon_b", f"struct({', '.join([*box, 'k', '_cy', '_cx'])}) AS node")
+
+    # one row per bucket with spots: their box, and the numbers of blocks; written, as both sides need it, and its sum gives the number of tasks
+    sides = spots.selectExpr(*keys, *[f"{text} AS {a}" for a, text in _unit_vector("_plat", "_plon").items()])
+    asked = sides.groupBy(*keys).agg(F.count("*").alias("_asked"), *[F.expr(f"{f}({a}) AS _p{a}{end}") for a in _AXES for end, f in ((0, "min"), (1, "max"))])
+    known = around(nodes.selectExpr(*keys, "node.k AS k")).groupBy(*keys).agg(F.sum("k").alias("_known"))
+    blocks = [F.ceil(F.col(n) / BLOCK).cast("int").alias(cut) for n, cut in (("_asked", "_is"), ("_known", "_js"))]
+    work = cut_lineage(asked.join(known, keys).select("*", *blocks))
+    total = work.agg(F.sum(F.col("_asked").cast("double") * F.col("_known"))).first()[0] or 0.0
+    tasks = int(min(max(total / BLOCK**2, spark.sparkContext.defaultParallelism), MOST_TASKS))
+
+    gap = " + ".join(f"pow(greatest(n.{a}0 - _p{a}1, _p{a}0 - n.{a}1, 0D), 2)" for a in _AXES)
+    far = f"{_chords(radius_km)[1] + _PAD!r}D"
+    seen = _surroundings(nodes, around).near.join(work, keys).selectExpr(*keys, "_is", "_js", f"inline(filter(_near, n -> {gap} <= {far}))")
+    block = "CAST(pmod(hash({0}lat, {0}lon), {1}) AS INT) AS {2}".format
+    every = "explode(sequence(0, {} - 1)) AS {}".format
+    left = spots.join(work.select(*keys, "_is", "_js"), keys).selectExpr(*keys, "_plat", "_plon", block("_p", "_is", "_i"), every("_js", "_j"))
+    kept = [c for c in positions.columns if c not in cell]
+    right = placed.join(seen.select(*keys, "_is", "_js", *cell), cell).selectExpr(
+        "lat_b AS _ly", "lon_b AS _lx", *kept, block("_", "_js", "_rj"), every("_is", "_ri")
+    )
+    vector = [f"{text} AS _p{a}" for a, text in _unit_vector("_plat", "_plon").items()]
+    left = left.repartition(tasks, *keys, "_i", "_j").selectExpr("*", *vector)
+    vector = [f"{text} AS {a}" for a, text in _unit_vector("_lat", "_lon").items()]
+    right = right.repartition(tasks, "_ly", "_lx", "_ri", "_rj").selectExpr("*", *vector)
+    # products, as powers take longer than all else
+    chord = " + ".join(f"(_p{a} - {a}) * (_p{a} - {a})" for a in _AXES)
+    met = f"lat_b = _ly AND lon_b = _lx AND _i = _ri AND _j = _rj AND {chord} <= {far}"
+    return left.join(right, F.expr(met)).select("_plat", "_plon", *kept)
+
+
 class Pressure(NamedTuple):
     """One class of competitors: which they are, their intensity, and the names of the results."""
 
@@ -471,7 +523,7 @@ def competition_pressures(
 
     A competitor never presses on the target with its own id. Both sides are merged by position
     first; a target's own share, which sits at distance 0 with factor 1, is taken off afterwards. The classes share one join: a position
-    has a load and a number per class. Only nodes that reach into the radius are opened, and pairs of positions are
+    has a load and a number per class. Only cells that reach into the radius are met, and pairs of positions are
     aggregated where they arise.
     """
     aggs, sums = [], []
@@ -483,23 +535,26 @@ def competition_pressures(
     for i in range(len(classes)):
         sums += [f"_load{i}", f"_n{i}"]
     some = " OR ".join(f"_n{i} > 0" for i in range(len(classes)))
-    positions = known.filter(some).groupBy("_lat", "_lon").agg(*[F.sum(c).alias(c) for c in sums])
-    buckets, several = _place_tree(positions, deg, fine, sums)
-    tree = _surroundings(buckets, _around(deg, None, radius_km, True))
-
+    # both sides are written, merged by position: they are read several times
+    positions = cut_lineage(known.filter(some).groupBy("_lat", "_lon").agg(*[F.sum(c).alias(c) for c in sums]))
     spots = _located(targets, lat, lon).select(F.col(lat).alias("_plat"), F.col(lon).alias("_plon")).distinct()
     lat_b, lon_b = grid_key("_plat", "_plon", deg)
-    rows = _opened(spots.withColumns({"lat_b": lat_b, "lon_b": lon_b}), tree, several, sums, nearest=False, radius_km=radius_km, count=None)
-    pairs = rows.withColumn("_d", haversine_km("_plat", "_plon", "_lat", "_lon")).filter(F.col("_d") <= radius_km)
-    here = (F.col("_plat") == F.col("_lat")) & (F.col("_plon") == F.col("_lon"))
-    decay = F.pow(F.greatest(1.0 - F.col("_d") / radius_km, F.lit(0.0)), exponent)
+    spots = cut_lineage(spots.withColumns({"lat_b": lat_b, "lon_b": lon_b}))
+    rows = _compared(spots, positions, deg, fine, _around(deg, None, radius_km, True), radius_km)
+    # no filter by the distance: Spark would compute it once for the join and once more for the sums
+    pairs = rows.withColumn("_d", haversine_km("_plat", "_plon", "_lat", "_lon"))
+    near = F.col("_d") <= radius_km
+    here = near & (F.col("_plat") == F.col("_lat")) & (F.col("_plon") == F.col("_lon"))
+    decay = F.when(near, F.pow(F.greatest(1.0 - F.col("_d") / radius_km, F.lit(0.0)), exponent)).otherwise(F.lit(0.0))
+    pairs = pairs.withColumns({"_decay": decay, "_here": here})
+    here = F.col("_here")
     for i in range(len(classes)):
         load, n = F.col(f"_load{i}"), F.col(f"_n{i}")
         aggs += [
             # the load at the very position is kept apart: a target's own share comes off it without rounding
-            F.sum(F.when(here, F.lit(0.0)).otherwise(decay * load)).alias(f"_away{i}"),
+            F.sum(F.when(here, F.lit(0.0)).otherwise(F.col("_decay") * load)).alias(f"_away{i}"),
             F.sum(F.when(here, load).otherwise(F.lit(0.0))).alias(f"_load_here{i}"),
-            F.min(F.when(~here & (n > 0), F.col("_d"))).alias(f"_nearest_away{i}"),
+            F.min(F.when(~here & (n > 0) & near, F.col("_d"))).alias(f"_nearest_away{i}"),
             F.sum(F.when(here, n).otherwise(F.lit(0))).alias(f"_n_here{i}"),
         ]
     own = known.groupBy(F.col("_cid").alias(target_id), F.col("_lat").alias("_plat"), F.col("_lon").alias("_plon")).agg(

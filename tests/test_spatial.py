@@ -275,3 +275,61 @@ def test_pairs_of_a_crowded_bucket_are_dealt_to_many_tasks(spark, monkeypatch, m
     assert sorted(selves) == sorted((i, j) for i, j in zip(*np.where(e <= 5.0)) if i < j)
     both = spatial.within_radius_pairs(p, q.toDF("pid", "qlat", "qlon"), 2.0, 0.02, left=("lat", "lon"), right=("qlat", "qlon"))
     assert sorted((r["id"], r["pid"]) for r in both.collect()) == sorted(zip(*map(lambda x: x.tolist(), np.where(d <= 2.0))))
+
+
+def dealt_rows(df):
+    """Rows that go between tasks while a query is run, by the metrics of its exchanges."""
+    df.collect()
+
+    def children(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return [node.executedPlan()]
+        if kind.endswith("QueryStageExec"):
+            return [node.plan()]
+        return [node.children().apply(i) for i in range(node.children().size())]
+
+    total, left = 0, [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        if node.getClass().getSimpleName() == "ShuffleExchangeExec":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        left += children(node)
+    return total
+
+
+def test_pairs_of_a_pressure_are_not_dealt(spark):
+    """What goes between tasks grows with the places, their pairs with the square of them."""
+    dealt = {}
+    for n in (500, 1000):
+        p, _ = frames(spark, city(n, 9, 0.4), city(1, 9))
+        p = p.selectExpr("*", "2D AS courts")
+        dealt[n] = dealt_rows(spatial.competition_pressure(
+            p, p, target_id="id", competitor_id="id", intensity=fixed.BASE_INTENSITY, cap=9.0))
+    assert dealt[1000] < 2.5 * dealt[500] and dealt[1000] < 40 * 1000  # of over 900 000 pairs
+
+
+@pytest.mark.parametrize("block", [7, 50])
+def test_pressure_of_a_crowded_bucket_in_blocks(spark, monkeypatch, block):
+    """Blocks of spots and of places meet once each; a target outside of all and one without a position have no pressure."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(spatial, "BLOCK", block)
+    targets, places = make(21, 40, 60, spread=1.5, lat0=47.8)
+    load = np.array([0.002 + 0.008 * max(i % 15, 1) / 12 if i % 15 <= 12 else 0.01 for i in range(len(places))])
+    live = np.arange(len(places)) % 3 == 0
+    p, q = frames(spark, targets, places)
+    p = p.unionByName(spark.createDataFrame([(900, 10.0, 10.0), (901, None, 2.0), (None, 48.0, 2.0)], "id int, lat double, lon double"))
+    q = q.selectExpr("pid + 1000 AS pid", "lat", "lon", "CAST(pid % 15 AS DOUBLE) AS courts", "pid % 3 = 0 AS live")
+    q = q.unionByName(spark.createDataFrame([(9000, None, 2.0, 3.0, True)], q.schema))
+    classes = [spatial.Pressure(F.lit(True), fixed.BASE_INTENSITY, "all", "all_km"), spatial.Pressure(F.col("live"), (0.0, 1.0), "live", "live_km")]
+    got = {r["id"]: r for r in spatial.competition_pressures(
+        p, q, classes, target_id="id", competitor_id="pid", radius_km=20.0, cap=10**6).collect()}
+    d = km(targets[:, None, 0], targets[:, None, 1], places[None, :, 0], places[None, :, 1])
+    decay = np.where(d <= 20, np.clip(1 - d / 20, 0, None) ** 1.25, 0)
+    every, lively = (decay * load).sum(axis=1), (decay * (np.minimum(np.maximum(np.arange(len(places)) % 15, 1), 12) / 12) * live).sum(axis=1)
+    for i in range(len(targets)):
+        assert got[i]["all"] == pytest.approx(every[i], abs=1e-9) and got[i]["live"] == pytest.approx(lively[i], abs=1e-9)
+        for name, seen in (("all_km", d[i] <= 20), ("live_km", (d[i] <= 20) & live)):
+            assert (got[i][name] is None) if not seen.any() else got[i][name] == pytest.approx(d[i][seen].min(), abs=1e-9)
+    assert len(got) == len(targets) + 3 and all(got[i]["all"] == 0 and got[i]["all_km"] is None for i in (900, 901))
