@@ -461,7 +461,7 @@ BLOCK = 8_000
 
 
 def _compared(spots: DataFrame, positions: DataFrame, deg: float, fine: int, around, radius_km: float) -> DataFrame:
-    """Rows of a spot (_plat, _plon, lat_b, lon_b) with a position (_lat, _lon, ...): all within the radius, and none surely beyond it.
+    """Rows of a spot (_plat, _plon, lat_b, lon_b) with a position (_lat, _lon, ...) and their distance ``_d``: all within the radius, none surely beyond it.
 
     The positions of a cell, one of ``fine`` times ``fine`` of a bucket, are copied to the buckets with a spot that may have them within the radius.
     Spots and positions of a bucket are cut into blocks, and each block of spots meets each block of positions in a task, so a task holds a bounded
@@ -499,10 +499,19 @@ def _compared(spots: DataFrame, positions: DataFrame, deg: float, fine: int, aro
     left = left.repartition(tasks, *keys, "_i", "_j").selectExpr("*", *vector)
     vector = [f"{text} AS {a}" for a, text in _unit_vector("_lat", "_lon").items()]
     right = right.repartition(tasks, "_ly", "_lx", "_ri", "_rj").selectExpr("*", *vector)
-    # products, as powers take longer than all else
+    # each pair costs what stands here: products, as powers take longer than all else, and the distance from the chord, which has its sines already
     chord = " + ".join(f"(_p{a} - {a}) * (_p{a} - {a})" for a in _AXES)
     met = f"lat_b = _ly AND lon_b = _lx AND _i = _ri AND _j = _rj AND {chord} <= {far}"
-    return left.join(right, F.expr(met)).select("_plat", "_plon", *kept)
+    distance = f"{2 * fixed.EARTH_RADIUS_KM!r}D * asin(least(sqrt({chord}) / 2, 1D)) AS _d"
+    return left.join(right, F.expr(met)).selectExpr("_plat", "_plon", *kept, distance)
+
+
+def _power(x: str, exponent: float) -> str:
+    """A column to the exponent; where that is some quarters, from roots, which take a fraction of the time of a power."""
+    whole, quarters = divmod(round(exponent * 4), 4)
+    if exponent != whole + quarters / 4 or not 0 < exponent <= 4:
+        return f"pow({x}, {exponent!r}D)"
+    return " * ".join([x] * whole + [f"sqrt({x})"] * (quarters // 2) + [f"sqrt(sqrt({x}))"] * (quarters % 2))
 
 
 class Pressure(NamedTuple):
@@ -542,11 +551,11 @@ def competition_pressures(
     spots = cut_lineage(spots.withColumns({"lat_b": lat_b, "lon_b": lon_b}))
     rows = _compared(spots, positions, deg, fine, _around(deg, None, radius_km, True), radius_km)
     # no filter by the distance: Spark would compute it once for the join and once more for the sums
-    pairs = rows.withColumn("_d", haversine_km("_plat", "_plon", "_lat", "_lon"))
     near = F.col("_d") <= radius_km
-    here = near & (F.col("_plat") == F.col("_lat")) & (F.col("_plon") == F.col("_lon"))
-    decay = F.when(near, F.pow(F.greatest(1.0 - F.col("_d") / radius_km, F.lit(0.0)), exponent)).otherwise(F.lit(0.0))
-    pairs = pairs.withColumns({"_decay": decay, "_here": here})
+    pairs = rows.withColumn("_left", F.greatest(1.0 - F.col("_d") / radius_km, F.lit(0.0))).withColumns({
+        "_decay": F.when(near, F.expr(_power("_left", float(exponent)))).otherwise(F.lit(0.0)),
+        "_here": near & (F.col("_plat") == F.col("_lat")) & (F.col("_plon") == F.col("_lon")),
+    })
     here = F.col("_here")
     for i in range(len(classes)):
         load, n = F.col(f"_load{i}"), F.col(f"_n{i}")
