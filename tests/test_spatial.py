@@ -333,3 +333,15 @@ def test_pressure_of_a_crowded_bucket_in_blocks(spark, monkeypatch, block):
         for name, seen in (("all_km", d[i] <= 20), ("live_km", (d[i] <= 20) & live)):
             assert (got[i][name] is None) if not seen.any() else got[i][name] == pytest.approx(d[i][seen].min(), abs=1e-9)
     assert len(got) == len(targets) + 3 and all(got[i]["all"] == 0 and got[i]["all_km"] is None for i in (900, 901))
+
+
+def test_kpis_of_dense_live_clubs_deal_no_pairs(spark):
+    from placerank.plans import live, views
+
+    places = city(600, 10, 0.3)
+    rows = [(str(i), f"c{i}", float(a), float(b), float(i % 9), [live.BATCH, live.LIVE][i % 3 == 0], 0.5) for i, (a, b) in enumerate(places)]
+    clubs = spark.createDataFrame(rows, "place_id string, name string, lat double, lon double, courts double, stream_source string, zone_score double")
+    got = views.kpis(live.live_score(clubs, cut=False))
+    assert dealt_rows(got) < 60 * 600  # of nearly 360 000 pairs
+    (row,) = got.collect()
+    assert (row.visible, row.live, row.impacted_visible, row.impacted) == (600, 200, 600, 600)
